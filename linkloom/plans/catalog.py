@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.plans import skew
+from linkloom.plans import core, core_sql, skew
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(skew.QUERIES)
+    return core.QUERIES | skew.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(skew.SQL)
+    return core_sql.SQL | skew.SQL
+
+
+flagship = core.flagship
