@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linkloom.llm.addresses import address_pairs
 from linkloom.llm.groups import group_links, match_links
 from linkloom.llm.mixing import mix_documents
+from linkloom.llm.names import name_pairs
 from linkloom.llm.tokens import decode_documents, default_path, encode_documents
 from linkloom.sources.tables import table
 
@@ -23,6 +24,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return address_pairs(business_records(spark, sf_dir))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_pairs(business_records(spark, sf_dir))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_links(match_links(table(spark, sf_dir, "matching_results")))
 
@@ -45,7 +50,7 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p5_found, p6_ids, p6_round_trip, p7_mix, p7_shares)}
+    return {f.__name__: f for f in (p1_found, p4_found, p5_found, p6_ids, p6_round_trip, p7_mix, p7_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
