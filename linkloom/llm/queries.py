@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkloom.llm.addresses import address_pairs
-from linkloom.llm.groups import group_links, match_links
+from linkloom.llm.groups import clean_id, group_links, match_links
+from linkloom.llm.matching import CONFIDENCE, match_records
 from linkloom.llm.mixing import mix_documents
 from linkloom.llm.names import name_pairs
+from linkloom.llm.sentences import sentences
 from linkloom.llm.tokens import decode_documents, default_path, encode_documents
 from linkloom.sources.tables import table
 
@@ -24,6 +27,23 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return address_pairs(business_records(spark, sf_dir))
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match_records(business_records(spark, sf_dir), table(spark, sf_dir, "train_matches"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confident matches of the source-1 records that neither list table holds."""
+    lists = [table(spark, sf_dir, t).select(clean_id(F.col("source1_entity_id")).alias("source1_entity_id")) for t in ("train_matches", "matching_results")]
+    listed = lists[0].unionByName(lists[1]).distinct()
+    found = _matches(spark, sf_dir).where(F.col("confidence") >= CONFIDENCE)
+    return found.join(listed, "source1_entity_id", "left_anti").select("source1_entity_id", "candidate_entity_id")
+
+
+def p2_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All candidate pairs and their confidence."""
+    return _matches(spark, sf_dir)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_pairs(business_records(spark, sf_dir))
 
@@ -49,8 +69,12 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p4_found, p5_found, p6_ids, p6_round_trip, p7_mix, p7_shares)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_confidences, p4_found, p5_found, p6_ids, p6_round_trip, p7_mix, p7_shares, p8_found)}
 
 
 def oracle_sql() -> dict[str, str]:
