@@ -161,6 +161,8 @@ def read_address(clean: str | None, postal: str | None) -> tuple | None:
             for g in GLUED:
                 if name.endswith(g) and len(name) - len(g) >= 4:
                     names.append(name[: -len(g)])
+                    if not kind and len(g) >= 4:
+                        kind = TYPE_OF.get(g, "")
                     break
             k = last + 1
             if not direction and k < n and ts[k] in DIRECTION_OF and not used[k]:
