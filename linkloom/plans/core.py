@@ -26,7 +26,8 @@ THRESHOLD, MARGIN = 0.6, 0.1
 
 
 def query(f):
-    QUERIES[f.__name__] = f
+    # A trailing underscore keeps a query apart from the operator of its name.
+    QUERIES[f.__name__.rstrip("_")] = f
     return f
 
 
@@ -181,7 +182,7 @@ for _kind in B.KINDS:
 
 
 @query
-def exact_blocks_800(spark, d):
+def exact_blocks_(spark, d):
     return exact_blocks(*sides(spark, d), 800)
 
 
@@ -219,17 +220,17 @@ def tfidf_weights(spark, d):
 
 
 @query
-def tfidf_neighbours(spark, d):
+def tfidf_topk_(spark, d):
     return tfidf_topk(*sides(spark, d), K)
 
 
 @query
-def candidate_pairs_all(spark, d):
+def candidate_pairs_(spark, d):
     return candidate_pairs(*sides(spark, d), Options(top_k=K))
 
 
 @query
-def pair_attributes_known(spark, d):
+def pair_attributes_(spark, d):
     return attributes(spark, d)
 
 
@@ -280,7 +281,7 @@ def anti_negative(spark, d):
 
 
 @query
-def candidate_pool_capped(spark, d):
+def candidate_pool_(spark, d):
     pos = D.explode_ids(truth(spark, d)).select(F.col("candidate_entity_id").alias("entity_id"))
     return candidate_pool(first_rows(records(spark, d, (2, 3))), pos, 300).select("entity_id", "positive")
 
@@ -291,7 +292,7 @@ def sample_source1(spark, d):
 
 
 @query
-def split_entities(spark, d):
+def entity_split_(spark, d):
     return entity_split(truth(spark, d), 0.2).select("source1_entity_id", "held_out")
 
 

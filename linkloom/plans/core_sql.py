@@ -146,6 +146,32 @@ att2 AS MATERIALIZED (SELECT *, {toks('name1')} AS t1, {toks('name2')} AS t2, li
  greatest(length(name1), length(name2)) AS longest, least(length(name1), length(name2)) AS shortest FROM att)"""
 
 
+def lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence: rows of the usual table, folded over the letters of a; cells are texts, since a fold keeps its type."""
+    cell = f"CASE WHEN substr({b}, j[1]::INT, 1) = ch[1] THEN (row[j[1]::INT]::INT + 1)::VARCHAR ELSE greatest(row[j[1]::INT + 1]::INT, acc[j[1]::INT]::INT)::VARCHAR END"
+    row = f"list_reduce(list_transform(range(1, length({b}) + 1), lambda j: [j::VARCHAR]), lambda acc, j: list_append(acc, {cell}), ['0'])"
+    return f"list_reduce(list_transform(list_filter(string_split({a}, ''), lambda c: c <> ''), lambda c: [c]), lambda row, ch: {row}, list_resize(['0'], length({b}) + 1, '0'))[-1]::INT"
+
+
+def indel(a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 1.0 WHEN length({a}) = 0 OR length({b}) = 0 THEN 0.0 ELSE 2.0 * {lcs(a, b)} / (length({a}) + length({b})) END"
+
+
+def sorted_text(t: str) -> str:
+    return f"array_to_string(list_sort({t}), ' ')"
+
+
+def set_parts(x: str, y: str) -> str:
+    """Texts of the common tokens (base), and of these with either side's own (wx, wy)."""
+    own = lambda a, b: f"list_filter({a}, lambda w: NOT list_contains({b}, w))"
+    both = f"list_intersect({x}, {y})"
+    join = lambda a, b: f"trim({sorted_text(both)} || ' ' || {sorted_text(own(a, b))})"
+    return f"{x} AS x, {y} AS y, {sorted_text(both)} AS base, {join(x, y)} AS wx, {join(y, x)} AS wy, len({both}) AS nb, len({own(x, y)}) AS nx, len({own(y, x)}) AS ny"
+
+
+TOKEN_SET = f"""CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0.0 WHEN nb > 0 AND (nx = 0 OR ny = 0) THEN 1.0
+ WHEN nb = 0 THEN {indel('wx', 'wy')} ELSE greatest({indel('wx', 'wy')}, {indel('base', 'wx')}, {indel('base', 'wy')}) END"""
+
 FILLED = "len(u1) > 0 AND len(u2) > 0"
 BOTH_N = "len(list_intersect(u1, u2))"
 POSTAL_MATCH = "CASE WHEN postal1 = '' OR postal2 = '' THEN 0.5 WHEN postal1 = postal2 THEN 1.0 ELSE 0.0 END"
@@ -160,6 +186,8 @@ FEATURE_SQL = {
     "digit_jaccard": jac("d1", "d2", "1.0"),
     "name_jaro_winkler": "CASE WHEN name1 = '' OR name2 = '' THEN 0.0 ELSE jaro_winkler_similarity(name1, name2) END",
     "addr_jaro_winkler": "CASE WHEN addr1 = '' OR addr2 = '' THEN 0.0 ELSE jaro_winkler_similarity(addr1, addr2) END",
+    "name_fuzz": indel("name1", "name2"),
+    "addr_fuzz": indel("addr1", "addr2"),
     "name_contains": f"CASE WHEN {FILLED} AND {BOTH_N} = least(len(u1), len(u2)) THEN 1.0 ELSE 0.0 END",
     "name_sorted_tokens_exact": f"CASE WHEN {FILLED} AND {BOTH_N} = len(u1) AND {BOTH_N} = len(u2) THEN 1.0 ELSE 0.0 END",
     "name_prefix_match": "CASE WHEN longest > 0 THEN coalesce(list_min(list_filter(range(1, shortest + 1), lambda i: substr(name1, i, 1) <> substr(name2, i, 1))) - 1, shortest) / longest ELSE 0.0 END",
@@ -170,6 +198,12 @@ FEATURE_SQL = {
     "num_token_diff": "CASE WHEN greatest(len(t1), len(t2)) > 0 THEN abs(len(t1) - len(t2)) / greatest(len(t1), len(t2)) ELSE 0.0 END",
 }
 
+WITH_SETS = {
+    "name_token_sort": (f"{sorted_text('t1')} AS wx, {sorted_text('t2')} AS wy", indel("wx", "wy")),
+    "name_token_set": (set_parts("u1", "u2"), TOKEN_SET),
+    "addr_token_set": (set_parts("s1", "s2"), TOKEN_SET),
+}
+
 LABELLED = "a_t AS (SELECT * FROM a_k WHERE entity_id IN (SELECT source1_entity_id FROM train_matches))"
 TRUE = f"truth AS (SELECT source1_entity_id, matched_entity_ids FROM train_matches), links AS ({exploded('train_matches')})"
 THRESHOLD, MARGIN = 0.6, 0.1
@@ -269,27 +303,28 @@ SQL = {
     "block_sizes": f"WITH {BOTH} SELECT kind, country_lc, key, count(*) AS n FROM b_k GROUP BY 1, 2, 3",
     "block_valid_keys": f"WITH {BOTH} SELECT kind, country_lc, key FROM b_k GROUP BY 1, 2, 3 HAVING count(*) <= 20",
     **{f"block_{k}": f"WITH {BOTH} {block(20, k)}" for k in ("first_word", "postal", "sorted_2word", "sorted_nums", "soundex", "rarest_3gram")},
-    "exact_blocks_800": f"WITH {BOTH} {block(800)}",
+    "exact_blocks": f"WITH {BOTH} {block(800)}",
     **{q: f"WITH {BOTH}, p AS ({block(800, 'first_word')}) {collapse('p', ONE)}" for q in ("collapse_ids", "complete_left_join")},
     "pair_cap": f"WITH {BOTH} {block(800, 'postal')} ORDER BY 1, 2 LIMIT 500",
     "char_grams": f"WITH {norm('x', 1, 2, 3)}, {rgrams('g', 'x')} SELECT * FROM g",
     "tfidf_vocab": f"WITH {norm('r', 2, 3)}, {rgrams('rg', 'r')}, {weights(5000)} SELECT country, gram, df, ctf, round(idf, 6) AS idf FROM weights",
     "tfidf_weights": f"WITH {norm('r', 2, 3)}, {rgrams('rg', 'r')}, {weights(30000)}, {vectors('rv', 'rg')} SELECT country, entity_id, gram, round(w, 6) AS w FROM rv",
-    "tfidf_neighbours": f"WITH {LR}, {NEAR} SELECT * FROM near",
-    "candidate_pairs_all": f"WITH {BOTH}, {NEAR} SELECT source1_entity_id, candidate_entity_id FROM near UNION {block(800)}",
-    "pair_attributes_known": f"WITH {LR}, {PAIRS}, {attributes('pairs')} SELECT * FROM att",
+    "tfidf_topk": f"WITH {LR}, {NEAR} SELECT * FROM near",
+    "candidate_pairs": f"WITH {BOTH}, {NEAR} SELECT source1_entity_id, candidate_entity_id FROM near UNION {block(800)}",
+    "pair_attributes": f"WITH {LR}, {PAIRS}, {attributes('pairs')} SELECT * FROM att",
     **{f"feat_{k}": f"WITH {LR}, {PAIRS}, {attributes('pairs')} SELECT source1_entity_id, candidate_entity_id, round(CAST({v} AS DOUBLE), 6) AS {k} FROM att2" for k, v in FEATURE_SQL.items()},
+    **{f"feat_{k}": f"WITH {LR}, {PAIRS}, {attributes('pairs')}, parts AS (SELECT *, {parts} FROM att2) SELECT source1_entity_id, candidate_entity_id, round(CAST({v} AS DOUBLE), 6) AS {k} FROM parts" for k, (parts, v) in WITH_SETS.items()},
     "feature_backfill": f"WITH {LR}, {PAIRS}, {attributes('pairs')} SELECT source1_entity_id, candidate_entity_id, round({jac('u1', 'u2')}, 6) AS name_jaccard, 0.0 AS name_fuzz FROM att2",
     "label_pairs": f"WITH {BOTH}, {LABELLED}, {TRUE}, bp AS ({block(800, left='a_t')}) SELECT bp.*, CASE WHEN links.source1_entity_id IS NULL THEN 0 ELSE 1 END AS label FROM bp LEFT JOIN links USING (source1_entity_id, candidate_entity_id)",
     "class_balance": f"WITH {BOTH}, {LABELLED}, {TRUE}, bp AS ({block(800, left='a_t')}), c AS (SELECT count(links.source1_entity_id) AS pos, count(*) - count(links.source1_entity_id) AS neg FROM bp LEFT JOIN links USING (source1_entity_id, candidate_entity_id)) SELECT pos, neg, round(neg / greatest(pos, 1), 6) AS scale_pos_weight FROM c",
     "positives_by_country": f"WITH {REC23}, {POS} SELECT country, count(*) AS n FROM rec JOIN pos USING (entity_id) GROUP BY 1",
     "semi_positive": f"WITH {REC23}, {POS} SELECT entity_id FROM rec SEMI JOIN pos USING (entity_id)",
     "anti_negative": f"WITH {REC23}, {POS} SELECT entity_id FROM rec ANTI JOIN pos USING (entity_id)",
-    "candidate_pool_capped": f"""WITH {REC23}, {POS}, p AS (SELECT rec.* FROM rec SEMI JOIN pos USING (entity_id)), used AS (SELECT country, count(*) AS u FROM p GROUP BY 1),
+    "candidate_pool": f"""WITH {REC23}, {POS}, p AS (SELECT rec.* FROM rec SEMI JOIN pos USING (entity_id)), used AS (SELECT country, count(*) AS u FROM p GROUP BY 1),
 neg AS (SELECT rec.*, row_number() OVER (PARTITION BY country ORDER BY {order('entity_id')}, entity_id) AS n FROM rec ANTI JOIN pos USING (entity_id))
 SELECT entity_id, true AS positive FROM p UNION ALL SELECT entity_id, false FROM neg LEFT JOIN used USING (country) WHERE n <= 300 - coalesce(u, 0)""",
     "sample_source1": f"SELECT entity_id FROM (SELECT DISTINCT coalesce(entity_id, '') AS entity_id FROM source1) ORDER BY {order('entity_id')}, entity_id LIMIT 100",
-    "split_entities": f"SELECT source1_entity_id, CAST('0x' || substr({order('source1_entity_id')}, 1, 8) AS BIGINT) / 4294967296.0 < 0.2 AS held_out FROM train_matches",
+    "entity_split": f"SELECT source1_entity_id, CAST('0x' || substr({order('source1_entity_id')}, 1, 8) AS BIGINT) / 4294967296.0 < 0.2 AS held_out FROM train_matches",
     "entity_stats": f"WITH {PROXY} SELECT source1_entity_id, round(top_score, 6) AS top_score, n_candidates, n_above, round(second_score, 6) AS second_score, round(margin, 6) AS margin FROM {stats()}",
     "second_best": f"WITH {PROXY} SELECT source1_entity_id, second_score FROM {stats()}",
     "threshold_filter": f"WITH {PROXY} SELECT * FROM scored WHERE prob >= {THRESHOLD}",
