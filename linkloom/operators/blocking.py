@@ -28,13 +28,19 @@ def rarest_3gram(rows: DataFrame, counts: DataFrame) -> DataFrame:
     return counted.groupBy("entity_id").agg(X.text(F.min_by("gram", order)).alias("rarest_3gram"))
 
 
-def with_keys(rows: DataFrame, counts: DataFrame) -> DataFrame:
-    """The keys of deduplicated, normalized records."""
+def with_keys(rows: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """The keys of deduplicated, normalized records; the rarest trigram, which takes a join, only where counts are given."""
     name = F.col("clean_name")
     keyed = rows.withColumns(
         {"country_lc": X.country_key(F.col("country")), "first_word": X.first_word(name), "sorted_2word": X.sorted_2word(name), "sorted_nums": X.sorted_nums(F.col("clean_addr"))}
     ).withColumn("soundex", X.soundex_key(F.col("first_word")))
-    return keyed.join(rarest_3gram(rows, counts), "entity_id")
+    return keyed if counts is None else keyed.join(rarest_3gram(rows, counts), "entity_id")
+
+
+def sides_keys(left: DataFrame, right: DataFrame, kinds: tuple[str, ...] = KINDS) -> tuple[DataFrame, DataFrame]:
+    """Long keys of both sides; trigrams are counted over the right one."""
+    counts = gram_counts(right) if "rarest_3gram" in kinds else None
+    return long_keys(with_keys(left, counts), kinds), long_keys(with_keys(right, counts), kinds)
 
 
 def long_keys(keyed: DataFrame, kinds: tuple[str, ...] = KINDS) -> DataFrame:

@@ -154,9 +154,7 @@ def gram_counts(spark, d):
 
 
 def _long(spark, d, kinds=B.KINDS):
-    left, right = sides(spark, d)
-    counts = B.gram_counts(right)
-    return B.long_keys(B.with_keys(left, counts), kinds), B.long_keys(B.with_keys(right, counts), kinds)
+    return B.sides_keys(*sides(spark, d), kinds)
 
 
 @query
@@ -188,8 +186,8 @@ def exact_blocks_(spark, d):
 
 @query
 def collapse_ids(spark, d):
-    left, _ = sides(spark, d)
-    pairs = B.capped_block_join(*_long(spark, d, ("first_word",)), 800)
+    left, right = sides(spark, d)
+    pairs = B.capped_block_join(*B.sides_keys(left, right, ("first_word",)), 800)
     return B.collapse_ids(pairs, left.selectExpr("entity_id AS source1_entity_id"))
 
 

@@ -20,8 +20,7 @@ from linkloom.sources.records import first_rows, normalize
 
 def exact_blocks(left: DataFrame, right: DataFrame, cap: int) -> DataFrame:
     """Pairs that share any of the six keys; normalized, deduplicated records."""
-    counts = B.gram_counts(right)
-    return B.capped_block_join(B.long_keys(B.with_keys(left, counts)), B.long_keys(B.with_keys(right, counts)), cap)
+    return B.capped_block_join(*B.sides_keys(left, right), cap)
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame, options: Options = Options()) -> DataFrame:
