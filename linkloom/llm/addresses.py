@@ -210,18 +210,17 @@ def no_conflict(a: str, b: str) -> Column:
 
 
 def distinct_readings(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Records with their reading's number, and the distinct readings.
+    """``clean_addr, postal, sig``: the number of each address's reading; and the distinct readings.
 
     Copies of an address collapse to one reading before anything is compared.
     """
-    # Addresses are read once each, however many records bear them.
+    # Addresses are read once each, however many records bear them.  Those without a reading are left out after
+    # writing: a filter in the same plan would move below the distinct and read every address a second time.
     texts = records.select("clean_addr", "postal").where("clean_addr <> ''").distinct()
-    read = texts.withColumn("r", reading(F.col("clean_addr"), F.col("postal"))).where("r IS NOT NULL").select("clean_addr", "postal", "r.*")
-    read = read.withColumn("sig", F.xxhash64("houses", "streets", "direction", "kind", "places"))
-    read = scratch.cut(read)
-    members = records.join(read.select("clean_addr", "postal", "sig"), ["clean_addr", "postal"]).select("entity_id", "sig").distinct()
+    read = scratch.cut(texts.withColumn("r", reading(F.col("clean_addr"), F.col("postal"))))
+    read = read.where("r IS NOT NULL").select("clean_addr", "postal", "r.*").withColumn("sig", F.xxhash64("houses", "streets", "direction", "kind", "places"))
     distinct = scratch.cut(with_towns(read.dropDuplicates(["sig"]).drop("clean_addr", "postal")))
-    return members, distinct
+    return read.select("clean_addr", "postal", "sig"), distinct
 
 
 def with_towns(readings: DataFrame, least: int = 2) -> DataFrame:
@@ -277,8 +276,8 @@ def address_pairs(records: DataFrame) -> DataFrame:
     """
     scratch = Scratch(records.sparkSession, "addresses")
     rows = records.select(F.col("entity_id"), F.col("clean_addr"), F.coalesce("postal", F.lit("")).alias("postal")).where("entity_id <> '' AND clean_addr <> ''")
-    members, readings = distinct_readings(rows, scratch)
-    members = scratch.cut(members)
+    numbers, readings = distinct_readings(rows, scratch)
+    members = scratch.cut(rows.join(numbers, ["clean_addr", "postal"]).select("entity_id", "sig").distinct())
     links = scratch.cut(same_building(readings))
     one = members.select(F.col("entity_id").alias("x"), F.col("sig").alias("a"))
     two = members.select(F.col("entity_id").alias("y"), F.col("sig").alias("b"))
