@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
@@ -33,11 +34,14 @@ def class_balance(labelled: DataFrame) -> DataFrame:
 
 def entity_stats(scored: DataFrame, threshold: float) -> DataFrame:
     """Per record: best and second score (0 if there is none), their difference, candidates, and scores at or above the threshold."""
-    best = F.slice(F.sort_array(F.collect_list("prob"), asc=False), 1, 2)
-    two = scored.groupBy("source1_entity_id").agg(
-        F.max("prob").alias("top_score"), F.count(F.lit(1)).alias("n_candidates"), F.count_if(F.col("prob") >= threshold).alias("n_above"), best.alias("__best")
+    # Ranked and counted in one partitioning; no list of a record's scores is made.
+    ranked = scored.withColumn("__rank", F.row_number().over(W.partitionBy("source1_entity_id").orderBy(F.desc("prob"))))
+    two = ranked.groupBy("source1_entity_id").agg(
+        F.max("prob").alias("top_score"),
+        F.count(F.lit(1)).alias("n_candidates"),
+        F.count_if(F.col("prob") >= threshold).alias("n_above"),
+        F.coalesce(F.max(F.when(F.col("__rank") == 2, F.col("prob"))), F.lit(0.0)).alias("second_score"),
     )
-    two = two.withColumn("second_score", F.coalesce(F.get("__best", F.lit(1)), F.lit(0.0))).drop("__best")
     return two.withColumn("margin", F.col("top_score") - F.col("second_score"))
 
 
