@@ -2,14 +2,13 @@
 
 A name is reduced to its core: the words that are its own, without legal forms, trades, given names and
 other words that very many names share (found by counting), mended and in any order.  Cores are
-joined by tries: each core is put into shards by pairs of word ends, a shard's cores make a trie, and
-an automaton that accepts all words within the distance bound walks it, so a whole shard is searched
-without comparing its members one by one.  A shard fixes which word comes first, so orders of the
-words need no further search.  What is linked directly or through others is one organisation, named by its
-most frequent core.
-
-Two cores within two errors share a shard: of the four ends of the two words (prefix and suffix of
-each) two errors leave two whole, and there is a shard for every pair of ends.
+joined by tries: each core, in every order that a cut between its words gives, is put into shards by
+pairs of pieces, a shard's cores make a trie, and an automaton that accepts all words within the distance
+bound walks it, so a whole shard is searched without comparing its members one by one.  What is linked
+directly or through others is one organisation, named by its most frequent core.
+
+Two cores whose joined letters, in one of those orders each, are within two errors share a shard, however
+many words they are written as (see ``shard_keys``).  Cores of less than LEAST letters link to equal ones only.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +64,8 @@ KNOWN = set(NAME_FILLERS) | set(TRADES) | set(SHORT_TRADES)
 _LOOKALIKE = str.maketrans("01", "ol")
 SHARD_CAP = 500  #: cores of a shard that one task compares at once; larger shards are cut into blocks, and every pair of blocks is compared
 DISTANCE = 2  #: errors between two spellings of a core
+LEAST = 4  #: letters of a core that can have errors; one error in less could make any core any other
+SHORT = 10  #: letters up to which a core has no pieces of two letters or more
 
 
 _SOUNDING: dict[str, str] = {}
@@ -272,43 +273,60 @@ def cores(names: DataFrame, frequent: list[str]) -> DataFrame:
     return names.select("clean_name").mapInArrow(read, out)
 
 
+def shard_keys(text: str) -> set[str]:
+    """Keys of a text: two texts of ``LEAST`` letters or more within the bound of errors have a key in common.
+
+    Of up to SHORT letters, the keys are what is left without one or two of the letters (one in less than six).  A longer
+    text has four pieces of m letters, two from each end, with a letter or more between neighbours, so that no error, not
+    even a swap, touches two pieces.  Two errors leave two pieces whole, and there is a key for every two pieces.  A piece
+    moves only by the errors on its outer side: the longer text gives its letters at each place the piece can have moved to,
+    under the piece lengths of texts up to two letters shorter.
+    """
+    n = len(text)
+    keys: set[str] = set()
+    if n < LEAST:
+        return keys
+    if n <= SHORT + DISTANCE:
+        # Of a longer one only what can be left of a text of SHORT letters.
+        left = {text}
+        for gone in range((DISTANCE if n >= 6 else 1) + 1):
+            if n - gone <= SHORT:
+                keys.update(left)
+            left = {w[:i] + w[i + 1 :] for w in left for i in range(len(w))}
+    for shorter in range(min(DISTANCE, n - SHORT - 1) + 1):
+        m = (n - shorter - 3) // 4
+        head, tail = text[:m], text[n - m :]
+        keys |= {f"12|{m}|{text[: 2 * m + 1]}", f"34|{m}|{text[n - 2 * m - 1 :]}", f"14|{head}|{tail}"}
+        for move in (-1, 0, 1):
+            second, third = m + 1 + move, n - 2 * m - 1 + move
+            keys |= {f"13|{head}|{text[third : third + m]}", f"24|{text[second : second + m]}|{tail}"}
+            if abs(shorter - move) <= 1:
+                keys.add(f"23|{m}|{text[second : n - shorter - m - 1 + move]}")
+    return keys
+
+
 def shards(unique: DataFrame) -> DataFrame:
-    """``shard, text, core``: a core under every pair of its words' ends, its words in the order the pair names.
+    """``shard, text, core, n``: a core under every key of its text; shard is the key's hash.
 
-    Of more than two words, every cut into two parts is taken; a single word can be two glued ones and has its two ends.
+    Of several words, every order that a cut into two parts gives is a text.
     """
+    schema = pa.schema([("key", pa.string()), ("text", pa.string()), ("core", pa.string()), ("n", pa.int64())])
 
-    def spread(core_words: Column) -> Column:
-        n = F.size(core_words)
-        cuts = F.when(
-            n >= 2,
-            F.transform(
-                F.sequence(F.lit(1), n - 1),
-                lambda i: F.struct(F.array_join(F.slice(core_words, F.lit(1), i), "").alias("a"), F.array_join(F.slice(core_words, i + 1, n), "").alias("b")),
-            ),
-        ).otherwise(F.array().cast("array<struct<a:string,b:string>>"))
-
-        def keys(cut: Column) -> Column:
-            a, b = cut["a"], cut["b"]
-            head, tail = (lambda w: F.substr(w, F.lit(1), F.lit(4))), (lambda w: F.right(w, F.lit(4)))
-
-            def key(kind: str, x: Column, y: Column, text: Column) -> Column:
-                return F.struct(F.concat_ws("|", F.lit(kind), x, y).alias("shard"), text.alias("text"))
-
-            ab, ba = F.concat(a, b), F.concat(b, a)
-            return F.array(
-                key("hh", F.least(head(a), head(b)), F.greatest(head(a), head(b)), F.when(head(a) <= head(b), ab).otherwise(ba)),
-                key("tt", F.least(tail(a), tail(b)), F.greatest(tail(a), tail(b)), F.when(tail(a) <= tail(b), ab).otherwise(ba)),
-                key("ht", head(a), tail(b), ab),
-                key("ht", head(b), tail(a), ba),
-                key("w", head(a), tail(a), ab),
-                key("w", head(b), tail(b), ba),
-            )
-
-        glued = F.array(F.struct(F.concat_ws("|", F.lit("ht"), F.substr(core_words[0], F.lit(1), F.lit(4)), F.right(core_words[0], F.lit(4))).alias("shard"), core_words[0].alias("text")))
-        return F.array_distinct(F.when(n >= 2, F.flatten(F.transform(cuts, keys))).otherwise(glued))
-
-    return unique.where(F.length("core") >= 6).select("core", "n", F.explode(spread(F.col("words"))).alias("s")).select("core", "n", "s.shard", "s.text")
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                rows = batch.slice(at, 1000)
+                out = [
+                    (key, text, core, n)
+                    for core, n, words in zip(*(c.to_pylist() for c in rows.columns))
+                    for text in {"".join(words[i:] + words[:i]) for i in range(len(words))}
+                    for key in shard_keys(text)
+                ]
+                columns = zip(*out) if out else [()] * len(schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    keyed = unique.select("core", "n", "words").mapInArrow(spread, "key string, text string, core string, n long")
+    return keyed.select(F.xxhash64("key").alias("shard"), "text", "core", "n")
 
 
 class Automaton:

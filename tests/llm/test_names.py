@@ -5,7 +5,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkloom.llm.names import Automaton, Trie, Words, errors, name_pairs, read_name, trie_links
+from linkloom.llm.names import Automaton, Trie, Words, errors, name_pairs, read_name, shard_keys, shards, trie_links
 
 
 def plain(a, b):
@@ -50,6 +50,36 @@ def test_blocks_of_a_hot_shard_lose_nothing(spark):
         assert {tuple(sorted((x.a, x.b))) for x in trie_links(df, cap=cap).collect()} == want
 
 
+@settings(max_examples=3000, deadline=None)
+@given(st.text("abcdefgh", min_size=4, max_size=30), st.lists(st.tuples(st.sampled_from("irds"), st.integers(0, 40), st.sampled_from("abz")), max_size=2))
+def test_texts_within_the_bound_share_a_key(a, edits):
+    b = a
+    for kind, at, ch in edits:
+        at %= len(b) + (kind == "i")
+        b = {"i": b[:at] + ch + b[at:], "r": b[:at] + ch + b[at + 1 :], "d": b[:at] + b[at + 1 :], "s": b[:at] + b[at : at + 2][::-1] + b[at + 2 :]}[kind]
+    if min(len(a), len(b)) >= 4 and plain(a, b) <= (2 if min(len(a), len(b)) >= 6 else 1):
+        assert shard_keys(a) & shard_keys(b)
+
+
+def test_shards_find_what_comparison_finds(spark):
+    r = random.Random(7)
+    plainly = [["pelmorisk"], ["plemorisk"], ["lorzorju", "dormikmik"], ["lrozorjudormikmik"], ["zoryarful", "hobgnesvik"], ["zoryarfulhobgevik"], ["relpon", "kitgar"], ["rexpon", "kizgar"], ["abcd"], ["abce"]]
+    syllables = ["pel", "mor", "isk", "tav", "jor"]
+    cores = {" ".join(sorted(ws)): ws for ws in plainly}
+    for _ in range(150):
+        ws = ["".join(r.choice(syllables) for _ in range(r.randint(1, 3))) for _ in range(r.randint(1, 3))]
+        if r.random() < 0.5:
+            at = r.randrange(len(ws[0]))
+            ws[0] = ws[0][:at] + r.choice("xyz") + ws[0][at + 1 :]
+        cores.setdefault(" ".join(sorted(ws)), ws)
+    turned = {c: ["".join(ws[i:] + ws[:i]) for i in range(len(ws))] for c, ws in cores.items()}
+    near = lambda x, y: min(len(x), len(y)) >= 4 and errors(x, y, 2 if min(len(x), len(y)) >= 6 else 1)
+    want = {(a, b) for a in cores for b in cores if a < b and any(near(x, y) for x in turned[a] for y in turned[b])}
+    df = spark.createDataFrame([(c, 1, ws) for c, ws in cores.items()], "core string, n long, words array<string>")
+    got = {tuple(sorted((x.a, x.b))) for x in trie_links(shards(df)).collect()}
+    assert got == want and all(tuple(sorted((" ".join(sorted(a)), " ".join(sorted(b))))) in got for a, b in zip(plainly[::2], plainly[1::2]))
+
+
 def test_reading():
     words = Words(["summit", "vikvoville"])
     assert read_name("summit pelmorisk tavjordov pharmacy", words)[0][0] == ["pelmorisk", "tavjordov"]
