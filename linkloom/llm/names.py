@@ -215,6 +215,9 @@ def read_name(clean: str | None, words: Words) -> tuple[list[list[str]], str, st
         everything.insert(at, t)
     if sum(len(t) > 3 for t in own) < 2:
         own = everything
+    if not own:
+        # Nothing but shared words: those that were only counted as such, not listed, are the name.
+        own = everything = [t for t in ts if len(t) > 3 and t.isalpha() and t in words.exact and t not in KNOWN and t not in GIVEN_OF]
     if not own:
         return [], given, full, initial, trades
     joined: list[str] = []
@@ -235,14 +238,41 @@ def read_name(clean: str | None, words: Words) -> tuple[list[list[str]], str, st
 
 
 def frequent_words(names: DataFrame, share: float = 0.001, least: int = 30) -> list[str]:
-    """Words of at least ``share`` of the distinct names (and ``least`` of them).
+    """Words of at least ``share`` of the distinct names (and ``least`` of them), if most of these names have other words of their own.
 
-    At most (words a name) / share words qualify, some thousands, whatever the size of the table.
+    A word is no shared one where half of its names would be left with nothing: so the words of an organisation with
+    very many spellings or branches stay its own.  At most (words a name) / share words qualify, some thousands,
+    whatever the size of the table.
     """
     n = names.count()
     most = max(least, int(n * share))
     words = names.select(F.explode(F.array_distinct(F.split("clean_name", " "))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return sorted(r.w for r in words.where((F.col("n") >= most) & (F.col("w") != "")).select("w").toLocalIterator())
+    frequent = sorted(r.w for r in words.where((F.col("n") >= most) & (F.col("w") != "")).select("w").toLocalIterator())
+    counted = {w for w in frequent if len(w) > 3 and w.isalpha() and w not in KNOWN and w not in GIVEN_OF}
+    if not counted:
+        return frequent
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, listed = Words(frequent), Words([])
+        tally: dict[str, list[int]] = {}
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                theirs = counted.intersection(name.split())
+                if theirs:
+                    # The likeliest core if no word were counted: towns of branches are not in it.
+                    core = (read_name(name, listed)[0] or [[]])[0]
+                    bare = all(len(t) <= 3 or known.look(t)[1] for t in core)
+                    for t in theirs:
+                        both = tally.setdefault(t, [0, 0])
+                        both[0] += 1
+                        both[1] += bare and sound(t) in core
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(tally), pa.string()), pa.array([x for x, _ in tally.values()], pa.int64()), pa.array([x for _, x in tally.values()], pa.int64())], ["w", "names", "bare"]
+        )
+
+    tallies = names.select("clean_name").mapInArrow(left, "w string, names long, bare long").groupBy("w").agg(F.sum("names").alias("names"), F.sum("bare").alias("bare"))
+    own = {r.w for r in tallies.where("bare * 2 >= names").toLocalIterator()}
+    return [w for w in frequent if w not in own]
 
 
 def cores(names: DataFrame, frequent: list[str]) -> DataFrame:

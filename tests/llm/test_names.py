@@ -5,7 +5,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkloom.llm.names import Automaton, Trie, Words, errors, name_pairs, read_name, shard_keys, shards, trie_links
+from linkloom.llm.names import Automaton, Trie, Words, errors, frequent_words, name_pairs, read_name, shard_keys, shards, trie_links
 
 
 def plain(a, b):
@@ -98,6 +98,28 @@ ORGS = {
 }
 
 
+def test_words_of_a_large_organisation_are_its_own(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(4)) + r.choice("kmnrt")
+    towns = [word() for _ in range(60)]
+    slip = lambda w: (lambda i: w[:i] + r.choice("aeiou") + w[i + 1 :])(r.randrange(len(w)))
+    exact = sorted({f"pelmorisk tavjordov {t} {town} branch" for town in towns for t in ("pharmacy", "bakery")} | {"pelmorisk tavjordov", "tavjordov pelmorisk hospital"})
+    slips = [f"{slip('pelmorisk')} tavjordov" for _ in range(40)] + [f"pelmorisk {slip('tavjordov')} clinic" for _ in range(40)]
+    others = [f"heritage {word()} {word()}" for _ in range(300)]
+    df = spark.createDataFrame([(n,) for n in sorted({*exact, *slips, *others})], "clean_name string")
+    shared = frequent_words(df)
+    assert "heritage" in shared and "pelmorisk" not in shared and "tavjordov" not in shared
+    got = {tuple(x) for x in name_pairs(df).collect()}
+    assert all((a, b) in got for a in exact for b in exact if a < b)
+    assert not any("heritage" in a or "heritage" in b for a, b in got)
+
+
+def test_a_name_of_counted_words_only_keeps_them():
+    words = Words(["pelmorisk", "tavjordov"])
+    assert read_name("pelmorisk tavjordov bakery", words)[0] == [["pelmorisk", "tavjordov"]]
+    assert read_name("pelmorisk tavjordov humlatvik grisonber", words)[0][0] == ["humlatvik", "grisonber"]
+
+
 def test_pairs(spark):
     rows = [(n, "x") for names in ORGS.values() for n in names] * 2 + [(None, "x"), ("", "x"), ("bakery and sons", "x"), ("q" * 4000, "x")]
     got = {tuple(r) for r in name_pairs(spark.createDataFrame(rows, "clean_name string, core string")).collect()}
