@@ -10,7 +10,7 @@ class Options:
     block_cap: int = 800  #: largest block, in candidate rows, that a key may have
     top_k: int = 25  #: neighbours of a record
     vocabulary: int | None = 30_000  #: grams of a country that the neighbour search weighs; None: all
-    pair_cap: int | None = 10_000_000  #: candidate pairs kept, in order of their ids; None: all
+    pair_cap: int | None = None  #: candidate pairs kept, in order of their ids; None: all
     threshold: float = 0.90  #: least score of a match
     margin: float = 0.10  #: least lead of a sole match over the next candidate
     slack: float = 0.05  #: a sole match this far above the threshold needs no lead

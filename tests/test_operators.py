@@ -13,7 +13,7 @@ from linkloom.operators.eager import eager_join_aggregate, heavy_keys
 from linkloom.operators.features import FEATURES, build_features
 from linkloom.operators.model import Classifier, train
 from linkloom.operators.neighbors import tfidf_topk
-from linkloom.plans.pipeline import exact_blocks, run_inference, run_training
+from linkloom.plans.pipeline import candidate_pairs, exact_blocks, run_inference, run_training
 from linkloom.sources import records as R
 from linkloom.streaming.incremental import stream_candidates
 
@@ -254,3 +254,10 @@ def test_stream_gives_the_batch_lists(spark, sides, tmp_path):
     q.awaitTermination(120)
     want = {r[0]: r[1] for r in B.collapse_ids(exact_blocks(left, right, 800), left.selectExpr("entity_id AS source1_entity_id"), "x").collect()}
     assert got == want
+
+
+def test_no_pair_is_dropped_unasked(sides):
+    left, right = sides
+    assert Options().pair_cap is None
+    every = candidate_pairs(left, right, Options(top_k=1)).count()
+    assert every > 1 and candidate_pairs(left, right, Options(top_k=1, pair_cap=1)).count() == 1
