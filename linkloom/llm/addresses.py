@@ -6,6 +6,8 @@ place.  Every combination of a house number, an end of the street's name and one
 (postal code, town, district, state) is hashed; readings that share any hash are candidates.
 They are kept if their street names are the same up to typing errors and nothing contradicts: the house
 number is part of every hash, so a conflicting one never meets, and directions and street types may not differ.
+Of an address all readings take part, but two that are both unlikely prove nothing.  A street name of more than six
+letters with errors at both its ends is not found.
 """
 
 from __future__ import annotations
@@ -56,6 +58,7 @@ READING = T.StructType(
         T.StructField("kind", T.StringType()),
         T.StructField("places", T.ArrayType(T.StringType(), False)),
         T.StructField("code", T.StringType()),
+        T.StructField("sure", T.BooleanType()),
     ]
 )
 _LOOKALIKE = str.maketrans("01", "ol")
@@ -69,16 +72,20 @@ def _word(t: str) -> str:
 
 
 def read_address(clean: str | None, postal: str | None) -> tuple | None:
-    """Plausible readings of a cleaned address: house numbers, street names, direction, street type, place tokens and postal code.
+    """The likeliest of ``read_all``, without its last part; None where no house number with a street can be read."""
+    found = read_all(clean, postal)
+    return found[0][:-1] if found else None
 
-    None where no house number with a street can be read.
-    """
+
+def read_all(clean: str | None, postal: str | None) -> list[tuple]:
+    """All plausible readings of a cleaned address, the likeliest first: house number, spellings of the street's name,
+    direction, street type, place tokens, postal code, and whether none is surer but for the order of the parts."""
     if not clean:
-        return None
+        return []
     ts = [_word(t) for t in _GLUED_ORDINAL.sub(r"\1 \2", clean).split()]
     n = len(ts)
     if all(t in NO_ADDRESS for t in ts):
-        return None
+        return []
     used = [False] * n
     code = ""
     # Postal code: the last token of five or six digits that is no unit's number, or one broken in two.
@@ -155,8 +162,9 @@ def read_address(clean: str | None, postal: str | None) -> tuple | None:
             if k < n and not used[k] and ts[k] in TYPE_OF:
                 kind, last = TYPE_OF[ts[k]], k
             elif k + 1 < n and not used[k] and ts[k].isalpha() and ts[k + 1] in TYPE_OF and ts[k] not in DIRECTION_OF and len(ts[k]) > 1:
-                # A name broken in two.
-                names.append(name + ts[k])
+                # A name of two words, or broken in two.
+                name += ts[k]
+                names = [name]
                 kind, last = TYPE_OF[ts[k + 1]], k + 1
             for g in GLUED:
                 if name.endswith(g) and len(name) - len(g) >= 4:
@@ -167,36 +175,41 @@ def read_address(clean: str | None, postal: str | None) -> tuple | None:
             k = last + 1
             if not direction and k < n and ts[k] in DIRECTION_OF and not used[k]:
                 direction, last = DIRECTION_OF[ts[k]], k
-        sure = 2 * bool(kind) + bool(i and ts[i - 1] in NUMBER_WORDS) + (i == 0) - (name in DISTRICT_WORDS or name in PLACE_FILLERS)
-        found.append((sure, -i, t, names, direction, kind, i, last))
-    if not found:
-        return None
+        sure = 2 * bool(kind) + bool(i and ts[i - 1] in NUMBER_WORDS) - (ts[j] in DISTRICT_WORDS or ts[j] in PLACE_FILLERS)
+        found.append((sure + (i == 0), -i, t, names, direction, kind, i, last, sure))
     found.sort(reverse=True)
-    best = found[0]
-    streets = list(dict.fromkeys(best[3]))
-    houses = [best[2]]
-    inside = set(range(best[6], best[7] + 1))
-    places = {code} if code else set()
-    for k, t in enumerate(ts):
-        if k in inside or used[k] or not t.isalpha() or len(t) < 4 or t in TYPE_OF or t in DISTRICT_WORDS or t in PLACE_FILLERS or t in NUMBER_WORDS or t in DIRECTION_OF:
+    surest = max((r[8] for r in found), default=0)
+    out = []
+    for _, _, house, names, direction, kind, first, last, sure in found:
+        # A number before a word of districts is a reading only where there is none better.
+        if sure < 0 and out:
             continue
-        places.add(t)
-    # A state's code places an address that has nothing else.
-    if len(places) < 2:
-        places.update(t for k, t in enumerate(ts) if k not in inside and not used[k] and len(t) == 2 and t.isalpha() and t not in TYPE_OF and t not in PARTICLES and t not in ROMAN)
-    return houses, streets, best[4], best[5], sorted(places), code
+        inside = set(range(first, last + 1))
+        places = {code} if code else set()
+        for k, t in enumerate(ts):
+            if k in inside or used[k] or not t.isalpha() or len(t) < 4 or t in TYPE_OF or t in DISTRICT_WORDS or t in PLACE_FILLERS or t in NUMBER_WORDS or t in DIRECTION_OF:
+                continue
+            places.add(t)
+        # A state's code places an address that has nothing else.
+        if len(places) < 2:
+            places.update(t for k, t in enumerate(ts) if k not in inside and not used[k] and len(t) == 2 and t.isalpha() and t not in TYPE_OF and t not in PARTICLES and t not in ROMAN)
+        out.append(([house], list(dict.fromkeys(names)), direction, kind, sorted(places), code, sure == surest or not out))
+    return out
 
 
 def reading(clean: Column, postal: Column) -> Column:
-    """``read_address`` over Arrow batches."""
+    """``read_all`` over Arrow batches."""
     return _reading(clean, postal)
 
 
-@F.arrow_udf(READING)
+@F.arrow_udf(T.ArrayType(READING, False))
 def _reading(clean: pa.Array, postal: pa.Array) -> pa.Array:
-    rows = [read_address(a, p) for a, p in zip(clean.to_pylist(), postal.to_pylist())]
     names = [f.name for f in READING]
-    return pa.array([None if r is None else dict(zip(names, r)) for r in rows], pa.struct([("houses", pa.list_(pa.string())), ("streets", pa.list_(pa.string())), ("direction", pa.string()), ("kind", pa.string()), ("places", pa.list_(pa.string())), ("code", pa.string())]))
+    rows = [[dict(zip(names, r)) for r in read_all(a, p)] for a, p in zip(clean.to_pylist(), postal.to_pylist())]
+    one = pa.struct(
+        [("houses", pa.list_(pa.string())), ("streets", pa.list_(pa.string())), ("direction", pa.string()), ("kind", pa.string()), ("places", pa.list_(pa.string())), ("code", pa.string()), ("sure", pa.bool_())]
+    )
+    return pa.array([r or None for r in rows], pa.list_(one))
 
 
 def same_street(a: Column, b: Column) -> Column:
@@ -210,16 +223,17 @@ def no_conflict(a: str, b: str) -> Column:
 
 
 def distinct_readings(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``clean_addr, postal, sig``: the number of each address's reading; and the distinct readings.
+    """``clean_addr, postal, sig``: the number of each address's readings; and the readings of each number, the likeliest marked ``first``.
 
-    Copies of an address collapse to one reading before anything is compared.
+    Copies of an address collapse to one set of readings before anything is compared.
     """
     # Addresses are read once each, however many records bear them.  Those without a reading are left out after
     # writing: a filter in the same plan would move below the distinct and read every address a second time.
     texts = records.select("clean_addr", "postal").where("clean_addr <> ''").distinct()
     read = scratch.cut(texts.withColumn("r", reading(F.col("clean_addr"), F.col("postal"))))
-    read = read.where("r IS NOT NULL").select("clean_addr", "postal", "r.*").withColumn("sig", F.xxhash64("houses", "streets", "direction", "kind", "places"))
-    distinct = scratch.cut(with_towns(read.dropDuplicates(["sig"]).drop("clean_addr", "postal")))
+    read = read.where("r IS NOT NULL").withColumn("sig", F.xxhash64("r"))
+    each = read.select("sig", "r").dropDuplicates(["sig"]).select("sig", F.posexplode("r").alias("at", "x")).select("sig", "x.*", (F.col("at") == 0).alias("first"))
+    distinct = scratch.cut(with_towns(each))
     return read.select("clean_addr", "postal", "sig"), distinct
 
 
@@ -229,8 +243,9 @@ def with_towns(readings: DataFrame, least: int = 2) -> DataFrame:
     So an address with nothing but a code meets one with nothing but the town, and a mistyped town its right form.
     A code needs ``least`` readings, half of them with the token; of equals the more frequent token anywhere counts.
     """
-    pairs = readings.where("code <> ''").select("code", F.explode("places").alias("place")).where("place <> code")
-    n = readings.where("code <> ''").groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    likeliest = readings.where("first AND code <> ''")
+    pairs = likeliest.select("code", F.explode("places").alias("place")).where("place <> code")
+    n = likeliest.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     counts = pairs.groupBy("code", "place").agg(F.count(F.lit(1)).alias("k"))
     everywhere = counts.groupBy("place").agg(F.sum("k").alias("all"))
     best = counts.join(everywhere, "place").groupBy("code").agg(F.max(F.struct("k", "all", "place")).alias("b"))
@@ -242,24 +257,28 @@ def with_towns(readings: DataFrame, least: int = 2) -> DataFrame:
 def hashes(readings: DataFrame) -> DataFrame:
     """One row for each combination of a house number, a part of a street name and a place token.
 
-    Parts are both ends and, for short names, the letters in order, which two swapped letters leave as they are.
+    Parts are both ends and, for short names, the letters in order, which two swapped letters leave as they are, and the
+    name without one of its letters.
     """
-    rows = readings.select("sig", "direction", "kind", F.explode("houses").alias("house"), "streets", "places")
-    rows = rows.select("sig", "direction", "kind", "house", F.explode("streets").alias("street"), "places")
+    rows = readings.select("sig", "sure", "direction", "kind", F.explode("houses").alias("house"), "streets", "places")
+    rows = rows.select("sig", "sure", "direction", "kind", "house", F.explode("streets").alias("street"), "places")
     letters = F.array_join(F.array_sort(F.split("street", "")), "")
     ends = F.array_compact(
         F.array(F.concat(F.lit("<"), F.substring("street", 1, 3)), F.concat(F.lit(">"), F.expr("right(street, 3)")), F.when(F.length("street") <= 8, letters))
     )
-    rows = rows.select("sig", "direction", "kind", "house", "street", F.explode("places").alias("place"), ends.alias("ends"))
-    return rows.select("sig", "direction", "kind", "street", F.explode(F.transform("ends", lambda e: F.xxhash64("house", e, "place"))).alias("h"))
+    # Names of up to six letters: one error in the middle can change both ends.
+    without = F.expr("transform(sequence(1, length(street)), i -> concat('-', left(street, i - 1), substr(street, i + 1)))")
+    short = F.when(F.length("street") <= 6, F.array_distinct(F.concat(F.array(F.concat(F.lit("-"), "street")), without))).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("sig", "sure", "direction", "kind", "house", "street", F.explode("places").alias("place"), F.concat(ends, short).alias("ends"))
+    return rows.select("sig", "sure", "direction", "kind", "street", F.explode(F.transform("ends", lambda e: F.xxhash64("house", e, "place"))).alias("h"))
 
 
 def same_building(readings: DataFrame) -> DataFrame:
-    """``a < b``: numbers of readings of the same building."""
+    """``a < b``: numbers of readings of the same building: any two that agree, one of them at least a sure one."""
     left = hashes(readings)
-    cols = {c: f"{c}2" for c in ("sig", "direction", "kind", "street")}
+    cols = {c: f"{c}2" for c in ("sig", "sure", "direction", "kind", "street")}
     right = left.withColumnsRenamed(cols)
-    met = left.join(right, "h").where(F.col("sig") < F.col("sig2"))
+    met = left.join(right, "h").where((F.col("sig") < F.col("sig2")) & (F.col("sure") | F.col("sure2")))
     kept = met.where(no_conflict("direction", "direction2") & no_conflict("kind", "kind2") & same_street(F.col("street"), F.col("street2")))
     return kept.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct()
 

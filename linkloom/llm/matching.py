@@ -47,7 +47,7 @@ def described(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     links = scratch.cut(same_building(readings))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     lowest = both.groupBy("a").agg(F.min("b").alias("low"))
-    sites = readings.join(lowest, F.col("sig") == F.col("a"), "left").select(
+    sites = readings.where("first").join(lowest, F.col("sig") == F.col("a"), "left").select(
         "sig", F.least("sig", F.coalesce("low", "sig")).alias("site"), F.col("houses")[0].alias("house"), "places", "code"
     )
     orgs = organisations(distinct_names(slim), scratch)

@@ -57,3 +57,13 @@ def test_pairs(spark):
 def test_long_text(spark):
     df = spark.createDataFrame([("a", "12 mill road relpon " + "word " * 20000, ""), ("b", "12 mill road relpon", "")], "entity_id string, clean_addr string, postal string")
     assert [tuple(r) for r in address_pairs(df).collect()] == [("a", "b")]
+
+
+def test_every_plausible_reading_is_used(spark):
+    rows = [
+        ("a", "8258 temple thonyville 21213"), ("b", "39 lemwenfield 8258 temple thonyville 21213"), ("c", "5 hill street 12 park road relpon 21213"),
+        ("d", "12 park road 5 hill street relpon 21213"), ("e", "12 park hill road morixton 20011"), ("f", "12 park view road morixton 20011"),
+        ("g", "7 hill road morixton 20011"), ("h", "7 hull road morixton 20011"),
+    ]
+    df = spark.createDataFrame([(i, a, "") for i, a in rows], "entity_id string, clean_addr string, postal string")
+    assert {tuple(r) for r in address_pairs(df).collect()} == {("a", "b"), ("c", "d"), ("g", "h")}
