@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkloom.llm.addresses import distinct_readings, same_building
@@ -21,7 +22,7 @@ from linkloom.runtime import Scratch
 
 TRAIN_PAIRS = 20_000  #: labelled pairs the model is fitted on, at most
 CONFIDENCE = 0.5  #: least confidence of a match
-BRANCHES = 20  #: a record without address among more equal businesses than 1 / CONFIDENCE is no match; this many are weighed all the same
+BRANCHES = 20  #: businesses of an organisation up to which a record without address meets each of them singly; see ``crowded``
 ROUNDS = 12
 CHANGE = 0.002  #: largest change of a probability at which the messages have converged
 KEEP = 0.2  #: share of the old message that is kept, which calms circles of competitors
@@ -64,7 +65,7 @@ def candidates(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame
     b = lambda *c: other.select(F.col("row").alias("rb"), *c)
     house = a("org", "house").join(b("org", "house"), ["org", "house"])
     place = a("org", F.explode("places").alias("place")).join(b("org", F.explode("places").alias("place")), ["org", "place"])
-    # Without an address only the name speaks; beyond BRANCHES equal businesses none can be told apart.
+    # Without an address only the name speaks; organisations of more than BRANCHES businesses are left to ``crowded``.
     few = one.groupBy("org").agg(F.count_distinct("entity_id").alias("n")).where(F.col("n") <= BRANCHES).select("org")
     bare = a("org").join(few, "org", "left_semi").join(other.where("sig IS NULL").select(F.col("row").alias("rb"), "org"), "org")
     lost = one.where("sig IS NULL").select(F.col("row").alias("ra"), "org").join(b("org"), "org")
@@ -82,6 +83,36 @@ def candidates(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame
     return scratch.cut(named.join(built, ["ra", "rb"], "full").select("ra", "rb", F.coalesce("built", F.lit(0)).alias("built")))
 
 
+def crowded(rows: DataFrame, weights: tuple[float, ...], scratch: Scratch) -> DataFrame:
+    """``a, c, site, logit`` of records without address whose organisation has more than BRANCHES businesses.
+
+    Their odds depend on core, words and trades alone, so these states are weighed once for all their records.  The best states
+    with up to BRANCHES businesses together are joined back; all others count with their number, as one competitor of the
+    empty id: each of them has as many rivals at least as likely, so none is above a confidence of 1 / (BRANCHES + 1).
+    """
+    own = F.col("entity_id").startswith("S1-")
+    state = ["org", "core", "words", "trades"]
+    many = rows.where(own & F.col("org").isNotNull()).groupBy("org").agg(F.count_distinct("entity_id").alias("k")).where(F.col("k") > BRANCHES).select("org")
+    # A record of source 1 without address meets all others of its organisation already.
+    one = rows.where(own & F.col("sig").isNotNull()).join(many, "org", "left_semi")
+    other = rows.where(~own & F.col("sig").isNull()).join(many, "org", "left_semi")
+    mine = scratch.cut(one.groupBy(*state).agg(F.min("row").alias("ra"), F.count_distinct("entity_id").alias("n")))
+    theirs = scratch.cut(other.groupBy(*state).agg(F.min("row").alias("rb")))
+    pairs = mine.select("org", "ra").join(theirs.select("org", "rb"), "org").select("ra", "rb", F.lit(0).alias("built"))
+    weighed = features(pairs, rows).select("ra", "rb", log_odds(weights).alias("logit")).join(mine.select("ra", "n"), "ra")
+    ranked = scratch.cut(weighed.withColumn("upto", F.sum("n").over(W.partitionBy("rb").orderBy(F.desc("logit")).rangeBetween(W.unboundedPreceding, 0))))
+    a = one.join(mine, state).select("ra", F.col("entity_id").alias("a")).distinct()
+    c = other.join(theirs, state).select("rb", F.col("entity_id").alias("c")).distinct()
+    best = ranked.where(F.col("upto") <= BRANCHES).select("ra", "rb", "logit").join(a, "ra").join(c, "rb")
+    rest = ranked.where(F.col("upto") > BRANCHES).groupBy("rb").agg(F.log(F.sum(F.col("n") * F.exp("logit"))).alias("logit")).join(c, "rb")
+    site = F.lit(None).cast("long").alias("site")
+    return best.select("a", "c", site, "logit").unionByName(rest.select(F.lit("").alias("a"), "c", site, "logit"))
+
+
+def log_odds(weights: tuple[float, ...]) -> Column:
+    return sum((F.col(k) * w for k, w in zip(FEATURES, weights)), F.lit(weights[-1]))
+
+
 def features(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     cols = ("entity_id", "words", "core", "org", "trades", "sig", "site", "house", "places", "code")
     side = lambda s: rows.select(F.col("row").alias(f"r{s}"), *[F.col(c).alias(f"{c}_{s}") for c in cols])
@@ -102,7 +133,7 @@ def features(pairs: DataFrame, rows: DataFrame) -> DataFrame:
         "same_code": codes & (c("code_a") == c("code_b")), "other_code": codes & (c("code_a") != c("code_b")), "shared_place": F.arrays_overlap("places_a", "places_b"),
         "org_and_building": same_org & built, "org_no_address": same_org & no_address, "building_no_name": built & no_name,
     }
-    return p.select(c("entity_id_a").alias("a"), c("entity_id_b").alias("c"), c("site_b").alias("site"), *[flag(f[k]).alias(k) for k in FEATURES])
+    return p.select("ra", "rb", c("entity_id_a").alias("a"), c("entity_id_b").alias("c"), c("site_b").alias("site"), *[flag(f[k]).alias(k) for k in FEATURES])
 
 
 def fit(labelled: DataFrame, most: int = TRAIN_PAIRS, ridge: float = 1.0, steps: int = 30) -> tuple[float, ...]:
@@ -173,7 +204,7 @@ def propagate(pairs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, change:
 
 
 def match_records(records: DataFrame, labels: DataFrame) -> DataFrame:
-    """``source1_entity_id, candidate_entity_id, confidence`` of all candidate pairs.
+    """``source1_entity_id, candidate_entity_id, confidence`` of all candidate pairs, except those ``crowded`` sums up.
 
     records: ``entity_id, clean_name, clean_addr, postal``, ids of source 1 beginning with S1-; labels: ``source1_entity_id,
     matched_entity_ids``, the true matches of some records (may be empty: then the weights of PRIOR hold).  Null and
@@ -182,12 +213,11 @@ def match_records(records: DataFrame, labels: DataFrame) -> DataFrame:
     """
     scratch = Scratch(records.sparkSession, "matching")
     rows, links = described(records, scratch)
-    pairs = scratch.cut(features(candidates(rows, links, scratch), rows))
+    pairs = scratch.cut(features(candidates(rows, links, scratch), rows).drop("ra", "rb"))
     known = labels.select(clean_id(F.col("source1_entity_id")).alias("a"), F.split(F.coalesce("matched_entity_ids", F.lit("")), ",").alias("ids")).where("a <> ''")
     true = known.select("a", F.explode("ids").alias("c")).select("a", clean_id(F.col("c")).alias("c"), F.lit(1).alias("label")).distinct()
     labelled = pairs.join(known.select("a").distinct(), "a", "left_semi").join(true, ["a", "c"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
     weights = fit(labelled)
-    logit = sum((F.col(k) * w for k, w in zip(FEATURES, weights)), F.lit(weights[-1]))
-    scored = pairs.withColumn("logit", logit).groupBy("a", "c").agg(F.max_by(F.struct("logit", "site"), "logit").alias("x")).select("a", "c", "x.site", "x.logit")
-    beliefs = propagate(scored, scratch)
+    scored = pairs.select("a", "c", "site", log_odds(weights).alias("logit")).unionByName(crowded(rows, weights, scratch)).groupBy("a", "c").agg(F.max_by(F.struct("logit", "site"), "logit").alias("x")).select("a", "c", "x.site", "x.logit")
+    beliefs = propagate(scored, scratch).where("a <> ''")
     return beliefs.select(F.col("a").alias("source1_entity_id"), F.col("c").alias("candidate_entity_id"), "confidence")

@@ -71,6 +71,20 @@ def test_matches(spark):
     assert match_records(df.limit(0), none).count() == 0
 
 
+def test_one_clear_partner_among_many_branches(spark):
+    rows = [(f"S1-{i:08d}", "pelmorisk tavjordov bakery", f"{100 + i} mill road relpon falls 21213", "21213", "") for i in range(30)]
+    rows += [("S1-00000099", "pelmorisk tavjordov pharmacy", "7 quarry lane vikvoville 20011", "20011", "")]
+    rows += [("S2-00000001", "pelmorisk tavjordov pharmacy", None, None, ""), ("S2-00000002", "pelmorisk tavjordov bakery", "", "", "")]
+    none = spark.createDataFrame([], "source1_entity_id string, matched_entity_ids string")
+    got = {(r[0], r[1]): r[2] for r in match_records(spark.createDataFrame(rows, REC), none).collect()}
+    # Odds with PRIOR: the partner of the same trade against thirty of another trade.
+    same, other = (math.exp(3.0 + 1.5 + 2.0 - 5.0 + x) for x in (0.5, -0.5))
+    assert abs(got[("S1-00000099", "S2-00000001")] - same / (1 + same + 30 * other)) < 0.01
+    best = max((v, k) for k, v in got.items() if k[1] == "S2-00000001")
+    assert best[1] == ("S1-00000099", "S2-00000001")
+    assert all(v < 1 / 21 for (a, c), v in got.items() if c == "S2-00000002") and all(a for a, _ in got)
+
+
 def test_held_out_labels(spark, data):
     from linkloom.llm.queries import business_records
     from linkloom.sources.tables import table
