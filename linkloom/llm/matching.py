@@ -10,6 +10,8 @@ probability is its confidence.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,7 +25,7 @@ from linkloom.runtime import Scratch
 TRAIN_PAIRS = 20_000  #: labelled pairs the model is fitted on, at most
 CONFIDENCE = 0.5  #: least confidence of a match
 BRANCHES = 20  #: businesses of an organisation up to which a record without address meets each of them singly; see ``crowded``
-ROUNDS = 12
+ROUNDS = 100  #: a bound for circles that never settle; reached, it is reported
 CHANGE = 0.002  #: largest change of a probability at which the messages have converged
 KEEP = 0.2  #: share of the old message that is kept, which calms circles of competitors
 FAINT = -12.0  #: log-odds below which a pair is settled: its competition changes no other pair by more than 1 in 100,000
@@ -198,6 +200,8 @@ def propagate(pairs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, change:
         top = live.agg(F.max("moved")).first()[0]
         if top is None or top < change:
             break
+    else:
+        warnings.warn(f"beliefs still move by {top:.4f} after {rounds} rounds", RuntimeWarning, stacklevel=2)
     total = live.select("a", "c", (F.col("logit") + F.col("from_a") + F.col("from_c")).alias("logit"))
     settled = marked.where("NOT live").select("a", "c", "logit").unionByName(pairs.where(F.col("logit") < FAINT).select("a", "c", "logit"))
     return settled.unionByName(total).select("a", "c", sigmoid(F.col("logit")).alias("confidence"))

@@ -500,34 +500,39 @@ def trie_links(sharded: DataFrame, distance: int = DISTANCE, cap: int = SHARD_CA
     return groups.select(F.col("g.i"), F.col("g.j"), "members").mapInArrow(search, "a string, b string, na long, nb long").distinct()
 
 
-def best_reached(links: DataFrame, scratch: Scratch, most: int = 50) -> DataFrame:
+def best_reached(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``core, org, n``: the most frequent core reachable over links (the smallest of equals), for each linked core.
 
-    Labels pass along the links until none changes; after the first round only changed labels are passed on.
+    Labels pass along the links until none changes; after the first round only changed labels are passed on.  A core also
+    takes the label that the core it is named by has got, so the rounds grow with the logarithm of a chain of links.
     """
     ends = lambda a, b: F.struct(F.col(a).alias("a"), F.col(f"n{a}").alias("na"), F.col(b).alias("b"), F.col(f"n{b}").alias("nb"))
     both = scratch.cut(links.select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("e")).select("e.*"))
     label = lambda n, c: F.struct((-F.col(n)).alias("k"), F.col(c).alias("org"))
     first = scratch.cut(both.groupBy("a").agg(F.min(F.least(label("na", "a"), label("nb", "b"))).alias("l")))
     known = [first]
-    passing = first.where("l.org <> a")
-    for _ in range(most):
-        heard = both.join(passing.select(F.col("a").alias("b"), "l"), "b").groupBy("a").agg(F.min("l").alias("m"))
-        # A linked core stands in ``first`` once and in a later table where its label improved.
-        now = known[0].select("a", "l")
+
+    def labels() -> DataFrame:
+        """A linked core stands in ``first`` once and in a later table where its label improved."""
+        out = known[0]
         for later in known[1:]:
-            now = now.unionByName(later)
-        mine = now.join(heard, "a").groupBy("a").agg(F.min("l").alias("l"), F.min("m").alias("m"))
+            out = out.unionByName(later)
+        return out.groupBy("a").agg(F.min("l").alias("l")) if len(known) > 1 else out
+
+    passing = first.where("l.org <> a")
+    while True:
+        now = labels()
+        heard = both.join(passing.select(F.col("a").alias("b"), "l"), "b").select("a", F.col("l").alias("m"))
+        named = now.join(passing.select(F.col("a").alias("o"), F.col("l").alias("m")), F.col("l.org") == F.col("o")).select("a", "m")
+        mine = now.join(heard.unionByName(named).groupBy("a").agg(F.min("m").alias("m")), "a")
         better = scratch.cut(mine.where("m < l").select("a", F.col("m").alias("l")))
         if better.isEmpty():
             break
         known.append(better)
         passing = better
-    final = known[0]
-    for later in known[1:]:
-        final = final.unionByName(later)
-    final = final.groupBy("a").agg(F.min("l").alias("l")) if len(known) > 1 else final
-    return final.select(F.col("a").alias("core"), F.col("l.org").alias("org"), (-F.col("l.k")).alias("n"))
+        if len(known) > 8:
+            known = [scratch.cut(labels())]
+    return labels().select(F.col("a").alias("core"), F.col("l.org").alias("org"), (-F.col("l.k")).alias("n"))
 
 
 def organisations(names: DataFrame, scratch: Scratch) -> DataFrame:

@@ -51,6 +51,12 @@ def test_propagation_settles_on_a_ring(spark):
     assert got[("a", "x")] > 0.9 and got[("b", "y")] > 0.9 and got[("b", "x")] < 0.2 and got[("a", "y")] < 0.2
 
 
+def test_propagation_reports_that_it_did_not_settle(spark):
+    df = spark.createDataFrame([("a", "x", 1, 2.0), ("b", "x", 1, 2.0)], "a string, c string, site long, logit double")
+    with pytest.warns(RuntimeWarning, match="after 1 rounds"):
+        propagate(df, Scratch(spark, "t"), rounds=1)
+
+
 REC = "entity_id string, clean_name string, clean_addr string, postal string, confidence string"
 ROWS = [
     ("S1-00000001", "summit pelmorisk tavjordov pharmacy", "12 mill road relpon falls 21213", "21213"), ("S1-00000002", "summit pelmorisk tavjordov pharmacy", "77 quarry lane vikvoville 20011", "20011"),

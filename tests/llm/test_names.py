@@ -5,7 +5,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkloom.llm.names import Automaton, Trie, Words, errors, frequent_words, name_pairs, read_name, shard_keys, shards, trie_links
+from linkloom.llm.names import Automaton, Trie, Words, best_reached, errors, frequent_words, name_pairs, read_name, shard_keys, shards, trie_links
 
 
 def plain(a, b):
@@ -80,6 +80,14 @@ def test_shards_find_what_comparison_finds(spark):
     assert got == want and all(tuple(sorted((" ".join(sorted(a)), " ".join(sorted(b))))) in got for a, b in zip(plainly[::2], plainly[1::2]))
 
 
+def test_a_long_chain_is_one_organisation(spark):
+    from linkloom.runtime import Scratch
+
+    links = spark.createDataFrame([(f"c{i:03}", f"c{i + 1:03}", 1, 1) for i in range(150)], "a string, b string, na long, nb long")
+    got = best_reached(links, Scratch(spark, "chain")).collect()
+    assert len(got) == 151 and {r.org for r in got} == {"c000"}
+
+
 def test_reading():
     words = Words(["summit", "vikvoville"])
     assert read_name("summit pelmorisk tavjordov pharmacy", words)[0][0] == ["pelmorisk", "tavjordov"]
