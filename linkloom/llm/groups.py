@@ -2,9 +2,9 @@
 
 Connected components by reduction: vertices of degree one are stripped again and again, maximal
 chains of degree-two vertices are contracted in logarithmically many steps of pointer jumping
-(list ranking), what remains (every vertex has three links or more) is solved by contraction
-towards the smallest neighbour, and the removed vertices then take over the label of the vertex
-they were removed towards, in reverse order.
+(list ranking), what remains is solved: in one task by union-find once it has at most CORE_LINKS links, before
+that by contraction towards the smallest neighbour; and the removed vertices then take over the label of the
+vertex they were removed towards, in reverse order.
 
 Each step is a join of the shrinking edge table with itself; a hub of millions of links is split by
 adaptive execution, its links are never gathered.  A group's smallest id is a plain minimum, reduced
@@ -13,13 +13,19 @@ before it is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.runtime import Scratch
 
+CORE_LINKS = 500_000  #: links of a reduced core that one task solves, some 50 MB; a larger one is contracted further
 #: An id: prefix S1-, S2- or S3- and eight digits, in any letter case, with any white space around it.
 ID = r"(?U)^\s*([sS][123]-[0-9]{8})\s*$"
+#: What stands between the ids of a list.
+SEPARATORS = r"(?U)[,;|\s]+"
 
 
 def clean_id(c):
@@ -27,34 +33,57 @@ def clean_id(c):
     return F.upper(F.regexp_extract(F.coalesce(c, F.lit("")), ID, 1))
 
 
+def list_ids(c):
+    """The items of an id list, as they stand; commas, semicolons, bars and white space separate them."""
+    return F.split(F.coalesce(c, F.lit("")), SEPARATORS)
+
+
+def id_number(c):
+    """An id's source and number as one long in the order of the ids, null for anything else."""
+    clean = clean_id(c)
+    return F.when(clean != "", F.substring(clean, 2, 1).cast("long") * 100_000_000 + F.substring(clean, 4, 8).cast("long"))
+
+
+def number_id(n):
+    """The id of an ``id_number``."""
+    return F.concat(F.lit("S"), F.floor(n / 100_000_000).cast("string"), F.lit("-"), F.lpad((n % 100_000_000).cast("string"), 8, "0"))
+
+
 def match_links(matches: DataFrame, key: str = "source1_entity_id", ids: str = "matched_entity_ids") -> DataFrame:
-    """``a``, ``b``: a link for every valid id in every row's list, and (id, id) for each valid id, also one that is alone.
+    """``a``, ``b``, as ``id_number``: a link for every valid id in every row's list, and (id, id) for each valid id, also one that is alone.
 
     Null, empty or malformed lists and keys give no link; valid ids of a row whose key is no id still
     occur as vertices.  A list is not gathered from other rows: repeated rows give repeated links, removed here.
     """
-    rows = matches.select(clean_id(F.col(f"`{key}`")).alias("a"), F.explode_outer(F.split(F.coalesce(F.col(f"`{ids}`"), F.lit("")), ",")).alias("b"))
-    rows = rows.select("a", clean_id(F.col("b")).alias("b"))
+    rows = matches.select(id_number(F.col(f"`{key}`")).alias("a"), F.explode_outer(list_ids(F.col(f"`{ids}`"))).alias("b"))
+    rows = rows.select("a", id_number(F.col("b")).alias("b"))
     ends = F.array(
         F.struct(F.col("a").alias("x"), F.col("a").alias("y")),
         F.struct(F.col("b").alias("x"), F.col("b").alias("y")),
         F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
     )
-    return rows.select(F.explode(ends).alias("e")).select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).where("a <> '' AND b <> ''").distinct()
+    return rows.select(F.explode(ends).alias("e")).select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct()
+
+
+def record_groups(matches: DataFrame) -> DataFrame:
+    """``entity_id``, ``group_id`` of every id in the lists of matches (see ``match_links``), in upper case."""
+    found = group_links(match_links(matches))
+    return found.select(number_id(F.col("entity_id")).alias("entity_id"), number_id(F.col("group_id")).alias("group_id"))
 
 
 def _count(df: DataFrame) -> int:
     return df.count()
 
 
-def group_links(links: DataFrame, max_rounds: int = 200) -> DataFrame:
+def group_links(links: DataFrame, max_rounds: int = 200, core_links: int = CORE_LINKS) -> DataFrame:
     """``entity_id``, ``group_id`` (the smallest id of the group) of each id in ``a`` or ``b`` of ``links``.
 
-    Ids are strings, compared by their bytes.  Links with a null end count for the other end only; loops, repeated
-    and reversed links do no harm; extra columns are ignored; an empty table gives an empty result.
+    Ids are of any one type with an order: strings, compared by their bytes, or numbers, which are faster.  Links with a
+    null end count for the other end only; loops, repeated and reversed links do no harm; extra columns are ignored; an
+    empty table gives an empty result.  core_links bounds what one task solves; it does not change the result.
     """
     scratch = Scratch(links.sparkSession, "groups")
-    ends = links.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"))
+    ends = links.select("a", "b")
     vertices = ends.select(F.explode(F.array("a", "b")).alias("v")).where("v IS NOT NULL").distinct()
     vertices = scratch.cut(vertices)
     edges = ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -62,18 +91,17 @@ def group_links(links: DataFrame, max_rounds: int = 200) -> DataFrame:
     layers: list[DataFrame] = []  # v, up: removed vertices and whom to ask for their label
     left = _count(edges)
     for _ in range(max_rounds):
-        if left == 0:
-            break
         before = left
-        edges, layer = _strip_leaves(scratch, edges)
-        layers.append(layer)
-        left = _count(edges)
-        if left == 0:
+        for step in (_strip_leaves, _compress_chains):
+            if left:
+                edges, layer = step(scratch, edges)
+                layers.append(layer)
+                left = _count(edges)
+        if not left:
+            break
+        if left <= core_links:
+            layers.append(_solve_core(scratch, edges))
             break
-        if left > before // 2:
-            edges, layer = _compress_chains(scratch, edges)
-            layers.append(layer)
-            left = _count(edges)
         if left > before * 3 // 4:
             edges, layer = _contract_core(scratch, edges)
             layers.append(layer)
@@ -84,6 +112,33 @@ def group_links(links: DataFrame, max_rounds: int = 200) -> DataFrame:
     return _restore(scratch, vertices, layers)
 
 
+def _solve_core(scratch: Scratch, edges: DataFrame) -> DataFrame:
+    """Union-find in one task over a core that is known to be small."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict = {}
+
+        def find(v):
+            while root.setdefault(v, v) != v:
+                root[v] = root[root[v]]
+                v = root[v]
+            return v
+
+        kind = None
+        for batch in batches:
+            kind = batch.column(0).type
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+        if root:
+            rows = [(v, find(v)) for v in root if find(v) != v]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in rows], kind), pa.array([up for _, up in rows], kind)], ["v", "up"])
+
+    kind = edges.schema["a"].dataType.simpleString()
+    return scratch.cut(edges.coalesce(1).mapInArrow(solve, f"v {kind}, up {kind}"))
+
+
 def _arcs(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("w")), F.struct(F.col("b").alias("u"), F.col("a").alias("w")))).alias("e")).select("e.*")
 
@@ -133,23 +188,10 @@ def _compress_chains(scratch: Scratch, edges: DataFrame) -> tuple[DataFrame, Dat
     pointers = scratch.cut(pointers)
     passed = 1
     while passed <= 2 * n and _count(pointers.where("open").limit(1)):
-        # The pointer to follow sits at ``to`` and came from ``last``.
-        onward = pointers.select(
-            F.col("v").alias("to"), F.col("back").alias("last"), F.col("to").alias("to2"), F.col("last").alias("last2"), F.col("low").alias("low2"), F.col("open").alias("open2")
-        )
-        going = pointers.where("open").join(onward, ["to", "last"], "left")
-        moved = going.select(
-            F.coalesce("to2", "to").alias("to"),
-            "v",
-            "back",
-            F.coalesce("last2", "last").alias("last"),
-            F.least("low", F.coalesce("low2", "low")).alias("low"),
-            F.coalesce("open2", F.lit(False)).alias("open"),
-        )
-        new = scratch.cut(pointers.where("NOT open").unionByName(moved))
+        new = scratch.cut(_jump(_jump(pointers)))
         scratch.drop(pointers)
         pointers = new
-        passed *= 2
+        passed *= 4
     # One row a chain vertex: its two ends; a ring's vertices have none and point at its smallest vertex.
     ends = pointers.groupBy("v").agg(
         F.min(F.when(~F.col("open"), F.col("to"))).alias("x"),
@@ -171,6 +213,24 @@ def _compress_chains(scratch: Scratch, edges: DataFrame) -> tuple[DataFrame, Dat
     return out, layer
 
 
+def _jump(pointers: DataFrame) -> DataFrame:
+    """Each open pointer moves on to where the pointer at its end leads."""
+    # The pointer to follow sits at ``to`` and came from ``last``.
+    onward = pointers.select(
+        F.col("v").alias("to"), F.col("back").alias("last"), F.col("to").alias("to2"), F.col("last").alias("last2"), F.col("low").alias("low2"), F.col("open").alias("open2")
+    )
+    going = pointers.where("open").join(onward, ["to", "last"], "left")
+    moved = going.select(
+        F.coalesce("to2", "to").alias("to"),
+        "v",
+        "back",
+        F.coalesce("last2", "last").alias("last"),
+        F.least("low", F.coalesce("low2", "low")).alias("low"),
+        F.coalesce("open2", F.lit(False)).alias("open"),
+    )
+    return pointers.where("NOT open").unionByName(moved)
+
+
 def _contract_core(scratch: Scratch, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Hooks every vertex that has a smaller neighbour onto the smallest one, follows the hooks to their roots and relinks the roots.
 

@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkloom.llm.addresses import distinct_readings, same_building
-from linkloom.llm.groups import clean_id
+from linkloom.llm.groups import clean_id, list_ids
 from linkloom.llm.names import distinct_names, organisations
 from linkloom.runtime import Scratch
 
@@ -218,7 +218,7 @@ def match_records(records: DataFrame, labels: DataFrame) -> DataFrame:
     scratch = Scratch(records.sparkSession, "matching")
     rows, links = described(records, scratch)
     pairs = scratch.cut(features(candidates(rows, links, scratch), rows).drop("ra", "rb"))
-    known = labels.select(clean_id(F.col("source1_entity_id")).alias("a"), F.split(F.coalesce("matched_entity_ids", F.lit("")), ",").alias("ids")).where("a <> ''")
+    known = labels.select(clean_id(F.col("source1_entity_id")).alias("a"), list_ids(F.col("matched_entity_ids")).alias("ids")).where("a <> ''")
     true = known.select("a", F.explode("ids").alias("c")).select("a", clean_id(F.col("c")).alias("c"), F.lit(1).alias("label")).distinct()
     labelled = pairs.join(known.select("a").distinct(), "a", "left_semi").join(true, ["a", "c"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
     weights = fit(labelled)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.addresses import address_pairs
-from linkloom.llm.groups import clean_id, group_links, match_links
+from linkloom.llm.groups import clean_id, record_groups
 from linkloom.llm.matching import CONFIDENCE, match_records
 from linkloom.llm.mixing import mix_documents
 from linkloom.llm.names import name_pairs
@@ -49,7 +49,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return group_links(match_links(table(spark, sf_dir, "matching_results")))
+    return record_groups(table(spark, sf_dir, "matching_results"))
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,15 +79,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        # Groups by a recursive walk; exact, for small inputs.
+        # Groups by a recursive walk; exact, for small inputs.  An id is what is left of a list between anything but letters, digits,
+        # hyphens and signs; the engine splits lists instead.
         "p5_found": r"""
 WITH RECURSIVE raw AS (
-  SELECT upper(regexp_extract(coalesce(source1_entity_id, ''), '^[\s\p{Z}]*([sS][123]-[0-9]{8})[\s\p{Z}]*$', 1)) AS a,
-         unnest(string_split(coalesce(matched_entity_ids, ''), ',')) AS item
-  FROM matching_results),
-pairs AS (SELECT a, upper(regexp_extract(item, '^[\s\p{Z}]*([sS][123]-[0-9]{8})[\s\p{Z}]*$', 1)) AS b FROM raw),
-arcs AS (SELECT a, b FROM pairs WHERE a <> '' AND b <> '' UNION SELECT b, a FROM pairs WHERE a <> '' AND b <> ''),
-ids AS (SELECT a AS id FROM pairs WHERE a <> '' UNION SELECT b FROM pairs WHERE b <> ''),
+  SELECT trim(upper(coalesce(source1_entity_id, '')), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS k, upper(coalesce(matched_entity_ids, '')) AS l FROM matching_results),
+items AS (SELECT k, unnest(regexp_extract_all(l, '[^,;|\s\p{Z}]+')) AS b FROM raw UNION ALL SELECT k, '' FROM raw),
+marked AS (SELECT CASE WHEN k SIMILAR TO 'S[123]-[0-9]{8}' THEN k ELSE '' END AS a, CASE WHEN b SIMILAR TO 'S[123]-[0-9]{8}' THEN b ELSE '' END AS b FROM items),
+arcs AS (SELECT a, b FROM marked WHERE a <> '' AND b <> '' UNION SELECT b, a FROM marked WHERE a <> '' AND b <> ''),
+ids AS (SELECT a AS id FROM marked WHERE a <> '' UNION SELECT b FROM marked WHERE b <> ''),
 reach AS (SELECT id, id AS other FROM ids UNION SELECT r.id, arcs.b FROM reach r JOIN arcs ON r.other = arcs.a)
 SELECT id AS entity_id, min(other) AS group_id FROM reach GROUP BY id""",
         "p6_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from linkloom.llm.groups import group_links, match_links
+from linkloom.llm.groups import group_links, record_groups
 
 
 def brute(links):
@@ -53,7 +53,14 @@ def graphs():
 @pytest.mark.parametrize("what,links", list(graphs()), ids=[k for k, _ in graphs()])
 def test_groups(spark, what, links):
     df = spark.createDataFrame([(a, b, "v") for a, b in links], "a string, b string, entity_id string")
-    got = [(r.entity_id, r.group_id) for r in group_links(df).collect()]
+    got = [(r.entity_id, r.group_id) for r in group_links(df, core_links=0).collect()]
+    assert len(got) == len(dict(got))
+    assert dict(got) == brute(links)
+
+
+def test_core_in_one_task(spark):
+    links = [(a and f"{what} {a}", b and f"{what} {b}") for what, some in graphs() for a, b in some]
+    got = [(r.entity_id, r.group_id) for r in group_links(spark.createDataFrame(links, "a string, b string")).collect()]
     assert len(got) == len(dict(got))
     assert dict(got) == brute(links)
 
@@ -68,9 +75,22 @@ def test_ids_in_lists(spark):
         (None, "S2-00000006"), ("S1-00000001", "S2-00000002"), ("S1-00000004", "S2-00000005,S2-00000005"),
     ]
     df = spark.createDataFrame(rows, "source1_entity_id string, matched_entity_ids string")
-    got = {r.entity_id: r.group_id for r in group_links(match_links(df)).collect()}
+    got = {r.entity_id: r.group_id for r in record_groups(df).collect()}
     one = "S1-00000001"
     assert got == {
         one: one, "S2-00000002": one, "S2-00000003": one, "S3-00000009": one, "S1-00000002": "S1-00000002", "S1-00000003": "S1-00000003",
         "S2-00000005": "S1-00000004", "S1-00000004": "S1-00000004", "S2-00000006": "S2-00000006",
     }
+
+
+@pytest.mark.parametrize("between", [",", ", ", ";", " ; ", "|", " ", "\t", " ,\t", "\u00a0,", ",,", "\n"])
+def test_separators(spark, between):
+    rows = [("S1-00000009", between.join(["S2-00000002", "s3-00000003", "S9", "S2-000000021", "00000004", "n/a", "S1-00000001"]) + between)]
+    df = spark.createDataFrame(rows, "source1_entity_id string, matched_entity_ids string")
+    got = {r.entity_id: r.group_id for r in record_groups(df).collect()}
+    assert got == dict.fromkeys(["S1-00000009", "S2-00000002", "S3-00000003", "S1-00000001"], "S1-00000001")
+
+
+def test_numbers(spark):
+    df = spark.createDataFrame([(5, 3), (3, 9), (7, 7), (None, 1)], "a long, b long")
+    assert {r.entity_id: r.group_id for r in group_links(df).collect()} == {3: 3, 5: 3, 9: 3, 7: 7, 1: 1}
