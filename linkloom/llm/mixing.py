@@ -89,7 +89,7 @@ def mix_documents(
     taken = (
         running_sums(sized, seed)
         .join(plan.where("target_share > 0"), "source")
-        .withColumn("repeats", F.col("epochs") + F.when(F.col("running") <= F.col("rest"), 1).otherwise(0))
+        .withColumn("repeats", F.least(F.col("max_repeats"), F.col("epochs") + F.when((F.col("rest") > 0) & (F.col("running") <= F.col("rest")), 1).otherwise(0)))
         .where("repeats > 0")
         .select("mix_name", "source", "doc_id", "n_tokens", F.col("repeats").cast("int").alias("repeats"))
     )

@@ -42,6 +42,14 @@ def test_given_total(spark):
     assert shares["big"].budget == 300 and shares["small"].budget == 100
 
 
+def test_empty_texts_keep_the_cap(spark):
+    # Half of the documents have no tokens and the budget is a whole number of epochs: none of them may appear once more.
+    rows = [(i, "" if i % 2 else "one two three", "s") for i in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_documents(d, spark.createDataFrame([("m", "s", 1.0, 2)], TARGETS))[0].collect()
+    assert len(got) == 200 and {r.repeats for r in got} == {2}
+
+
 def test_running_sums_equal_one_window(spark):
     sized = spark.createDataFrame([("a" if i % 3 else "b", i, i % 7) for i in range(500)], "source string, doc_id long, n_tokens long")
     few, many = ({(r.source, r.doc_id): r.running for r in running_sums(sized, 3, n).collect()} for n in (10, 10_000))
