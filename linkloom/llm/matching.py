@@ -55,7 +55,7 @@ def described(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     )
     orgs = organisations(distinct_names(slim), scratch)
     out = slim.join(sites, "sig", "left").join(orgs, "clean_name", "left")
-    out = out.select("entity_id", "words", "core", "org", "trades", "sig", "site", "house", "places", "code")
+    out = out.withColumn("words", F.split("core", " ")).select("entity_id", "words", "core", "org", "trades", "sig", "site", "house", "places", "code")
     return scratch.cut(out.withColumn("row", F.xxhash64("entity_id", "core", "sig"))), links
 
 

@@ -2,25 +2,31 @@
 
 A name is reduced to its core: the words that are its own, without legal forms, trades, given names and
 other words that very many names share (found by counting), mended and in any order.  Cores are
-joined by tries: each core, in every order that a cut between its words gives, is put into shards by
-pairs of pieces, a shard's cores make a trie, and an automaton that accepts all words within the distance
-bound walks it, so a whole shard is searched without comparing its members one by one.  What is linked
+joined by tries: the joined letters of each core, in the orders of its words, go into shards by their beginning and
+their end, a shard's texts make a trie, and automata that accept all words within the distance
+bound walk it, so a whole shard is searched without comparing its members one by one.  What is linked
 directly or through others is one organisation, named by its most frequent core.
 
-Two cores whose joined letters, in one of those orders each, are within two errors share a shard, however
-many words they are written as (see ``shard_keys``).  Cores of less than LEAST letters link to equal ones only.
+No link is lost.  Of two texts within two errors, the shorter of s letters, take the first and the last m = (s - 1) // 2
+letters (HALF at most): no error touches both ends.  If both errors touch the beginnings, the ends are equal and a
+shard of an end holds both texts.  If one at most does, the beginnings are equal, or leaving out one letter of each makes them
+equal; then the texts of the rarer beginning visit the shard of the other.  Shards beyond a cap are split by pieces
+of the rest (see ``piece_keys``), which lose nothing either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+from functools import lru_cache
+from itertools import permutations
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from linkloom.llm.tries import MOST, near, spanning, whole_groups
 from linkloom.runtime import Scratch
 
 # Legal forms, honorifics, connectives, trades, and given names with their short forms.
@@ -62,10 +68,12 @@ GIVEN_OF = {v: k for k, vs in GIVEN_NAMES.items() for v in (k, *vs.split())}
 TRADE_SET = set(TRADES)
 KNOWN = set(NAME_FILLERS) | set(TRADES) | set(SHORT_TRADES)
 _LOOKALIKE = str.maketrans("01", "ol")
-SHARD_CAP = 500  #: cores of a shard that one task compares at once; larger shards are cut into blocks, and every pair of blocks is compared
+SHARD_CAP = 20_000  #: texts of a shard beyond which it is split by pieces of the rest, and into blocks if that does not help
 DISTANCE = 2  #: errors between two spellings of a core
 LEAST = 4  #: letters of a core that can have errors; one error in less could make any core any other
-SHORT = 10  #: letters up to which a core has no pieces of two letters or more
+SURE = 6  #: letters from which a core can have two errors
+HALF = 7  #: letters of the beginning and end that make a shard, at most
+SHORT = 10  #: letters up to which a text has no pieces of two letters or more
 
 
 _SOUNDING: dict[str, str] = {}
@@ -144,6 +152,12 @@ class Words:
         return got
 
 
+@lru_cache(maxsize=2)
+def known_words(frequent: tuple[str, ...]) -> Words:
+    """One vocabulary a worker process."""
+    return Words(list(frequent))
+
+
 def _shortened(w: str) -> set[str]:
     """The word and all words one letter shorter."""
     return {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}
@@ -253,7 +267,7 @@ def frequent_words(names: DataFrame, share: float = 0.001, least: int = 30) -> l
         return frequent
 
     def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, listed = Words(frequent), Words([])
+        known, listed = known_words(tuple(frequent)), known_words(())
         tally: dict[str, list[int]] = {}
         for batch in batches:
             for name in batch.column(0).to_pylist():
@@ -276,17 +290,17 @@ def frequent_words(names: DataFrame, share: float = 0.001, least: int = 30) -> l
 
 
 def cores(names: DataFrame, frequent: list[str]) -> DataFrame:
-    """``clean_name, words, core, first, several, given, full, initial, trades``: each plausible core of each name.
+    """``clean_name, core, first, several, given, full, initial, trades``: each plausible core of each name.
 
-    words are the core's words, core the same in order of their letters, joined by a space; first marks the likeliest;
-    several: the name has more than one.
+    core: its words in the order of their letters, joined by a space; first marks the likeliest; several: the name has
+    more than one.
     """
     schema = pa.schema(
-        [("clean_name", pa.string()), ("words", pa.list_(pa.string())), ("core", pa.string()), ("first", pa.bool_()), ("several", pa.bool_()), ("given", pa.string()), ("full", pa.string()), ("initial", pa.string()), ("trades", pa.list_(pa.string()))]
+        [("clean_name", pa.string()), ("core", pa.string()), ("first", pa.bool_()), ("several", pa.bool_()), ("given", pa.string()), ("full", pa.string()), ("initial", pa.string()), ("trades", pa.list_(pa.string()))]
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(frequent)
+        known = known_words(tuple(frequent))
         for batch in batches:
             rows = []
             for name in batch.column(0).to_pylist():
@@ -294,19 +308,19 @@ def cores(names: DataFrame, frequent: list[str]) -> DataFrame:
                 by_core: dict[str, list[str]] = {}
                 for own in plausible or [[]]:
                     by_core.setdefault(" ".join(sorted(own)), own)
-                for k, (core, own) in enumerate(by_core.items()):
-                    rows.append((name, own, core, k == 0, len(by_core) > 1, given, full, initial, trades))
+                for k, core in enumerate(by_core):
+                    rows.append((name, core, k == 0, len(by_core) > 1, given, full, initial, trades))
             columns = zip(*rows) if rows else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    out = "clean_name string, words array<string>, core string, first boolean, several boolean, given string, full string, initial string, trades array<string>"
+    out = "clean_name string, core string, first boolean, several boolean, given string, full string, initial string, trades array<string>"
     return names.select("clean_name").mapInArrow(read, out)
 
 
-def shard_keys(text: str) -> set[str]:
-    """Keys of a text: two texts of ``LEAST`` letters or more within the bound of errors have a key in common.
+def piece_keys(text: str) -> set[str]:
+    """Keys of a text: two texts within DISTANCE errors have a key in common.
 
-    Of up to SHORT letters, the keys are what is left without one or two of the letters (one in less than six).  A longer
+    Of up to SHORT letters, the keys are what is left without one or two of the letters.  A longer
     text has four pieces of m letters, two from each end, with a letter or more between neighbours, so that no error, not
     even a swap, touches two pieces.  Two errors leave two pieces whole, and there is a key for every two pieces.  A piece
     moves only by the errors on its outer side: the longer text gives its letters at each place the piece can have moved to,
@@ -314,12 +328,10 @@ def shard_keys(text: str) -> set[str]:
     """
     n = len(text)
     keys: set[str] = set()
-    if n < LEAST:
-        return keys
     if n <= SHORT + DISTANCE:
         # Of a longer one only what can be left of a text of SHORT letters.
         left = {text}
-        for gone in range((DISTANCE if n >= 6 else 1) + 1):
+        for gone in range(DISTANCE + 1):
             if n - gone <= SHORT:
                 keys.update(left)
             left = {w[:i] + w[i + 1 :] for w in left for i in range(len(w))}
@@ -335,195 +347,139 @@ def shard_keys(text: str) -> set[str]:
     return keys
 
 
-def shards(unique: DataFrame) -> DataFrame:
-    """``shard, text, core, n``: a core under every key of its text; shard is the key's hash.
+def texts_of(core: str) -> set[str]:
+    """The joined letters of a core in the orders of its words: all orders of up to four words, all turns of more.
 
-    Of several words, every order that a cut into two parts gives is a text.
+    Cores of more than MOST letters are taken in one order, that of the letters.
     """
-    schema = pa.schema([("key", pa.string()), ("text", pa.string()), ("core", pa.string()), ("n", pa.int64())])
+    words = core.split(" ")
+    if len(core) - len(words) + 1 > MOST:
+        return {"".join(words)}
+    orders = permutations(words) if len(words) <= 4 else (words[i:] + words[:i] for i in range(len(words)))
+    return {"".join(o) for o in orders}
+
+
+def ends_of(text: str) -> set[tuple[str, str]]:
+    """Shards of a text, by its beginning and, read backwards, by its end, each with the text read that way."""
+    n = len(text)
+    back = text[::-1]
+    sizes = {min(HALF, (s - 1) // 2) for s in (n, n - 1, n - 2) if s >= LEAST}
+    return {("<" + text[:m], text) for m in sizes} | {(">" + back[:m], back) for m in sizes}
+
+
+def shards(unique: DataFrame) -> DataFrame:
+    """``key, text, id, home``: every text of a core (``core, id``) in its shards."""
+    schema = pa.schema([("key", pa.string()), ("text", pa.string()), ("id", pa.int64())])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = batch.slice(at, 1000)
-                out = [
-                    (key, text, core, n)
-                    for core, n, words in zip(*(c.to_pylist() for c in rows.columns))
-                    for text in {"".join(words[i:] + words[:i]) for i in range(len(words))}
-                    for key in shard_keys(text)
-                ]
+            for at in range(0, batch.num_rows, 2000):
+                rows = batch.slice(at, 2000)
+                out = [(key, read, i) for core, i in zip(*(c.to_pylist() for c in rows.columns)) for text in texts_of(core) for key, read in ends_of(text)]
                 columns = zip(*out) if out else [()] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    keyed = unique.select("core", "n", "words").mapInArrow(spread, "key string, text string, core string, n long")
-    return keyed.select(F.xxhash64("key").alias("shard"), "text", "core", "n")
+    return unique.select("core", "id").mapInArrow(spread, "key string, text string, id long").withColumn("home", F.lit(True))
 
 
-class Automaton:
-    """Accepts all words within one or two errors of a text: letters put in, left out, replaced, or two neighbours swapped.
+def with_visits(homes: DataFrame, halves: DataFrame) -> DataFrame:
+    """Adds to the texts of each shard those whose beginning becomes equal to the shard's by leaving out a letter of each.
 
-    A state holds, for each number of errors, a bit for each prefix of the text that the letters read so far can have
-    come from; a letter moves all of them at once.
+    halves: ``key, n``, the shards and their sizes.  Of two beginnings the texts of the rarer one visit.
     """
+    half = F.substring("key", 2, HALF)
+    without = F.transform(F.sequence(F.lit(1), F.length(half)), lambda i: F.xxhash64(F.length(half), F.concat(F.left(half, i - 1), F.substr(half, i + 1))))
+    left = halves.where("key LIKE '<%'").select("key", "n", F.explode(F.array_distinct(without)).alias("h"))
+    other = left.select("h", F.col("key").alias("to"), F.col("n").alias("m"))
+    # Equal hashes of different letters only cause a visit that finds nothing.
+    pairs = left.join(other, "h").where("n < m OR n = m AND key < to").select("key", "to").distinct()
+    visits = homes.join(pairs, "key").select(F.col("to").alias("key"), "text", "id", F.lit(False).alias("home"))
+    return homes.unionByName(visits)
+
+
+def split_hot(rows: DataFrame, hot: DataFrame, cap: int, scratch: Scratch) -> DataFrame:
+    """The rows of the shards in ``hot``, each in smaller shards, so that no two texts within the bound are parted.
 
-    def __init__(self, text: str):
-        at: dict[str, int] = {}
-        for i, ch in enumerate(text):
-            at[ch] = at.get(ch, 0) | 1 << i
-        self.at = at
-        self.end = 1 << len(text)
-        self.full = (2 << len(text)) - 1
-
-    def accepts(self, word: str, most: int) -> bool:
-        get, full = self.at.get, self.full
-        r0, r1, r2, o0, o1, before = 1, 3 & full, 7 & full, 0, 0, 0
-        for ch in word:
-            m = get(ch, 0)
-            swap = m & before >> 1
-            n0 = (r0 & m) << 1
-            n1 = ((r1 & m | r0 | n0) << 1 | r0 | (o0 & swap) << 2) & full
-            n2 = ((r2 & m | r1 | n1) << 1 | r1 | (o1 & swap) << 2) & full
-            if not n2:
-                return False
-            o0, o1, before, r0, r1, r2 = r0, r1, m, n0, n1, n2
-        return bool((r2 if most > 1 else r1) & self.end)
-
-
-class Trie:
-    """Texts by their letters; a leaf holds the numbers of its texts under the key ''."""
-
-    def __init__(self) -> None:
-        self.root: dict = {}
-
-    def add(self, text: str, number: int) -> None:
-        node = self.root
-        for ch in text:
-            node = node.setdefault(ch, {})
-        node.setdefault("", []).append(number)
-
-    def within(self, a: Automaton, most: int) -> list[int]:
-        """Numbers of all texts the automaton accepts: it walks the trie and leaves a branch when no state is left."""
-        get, full, end = a.at.get, a.full, a.end
-        out: list[int] = []
-        stack = [(self.root, 1, 3 & full, 7 & full, 0, 0, 0)]
-        while stack:
-            node, r0, r1, r2, o0, o1, before = stack.pop()
-            for ch, child in node.items():
-                if not ch:
-                    if (r2 if most > 1 else r1) & end:
-                        out += child
-                    continue
-                m = get(ch, 0)
-                swap = m & before >> 1
-                n0 = (r0 & m) << 1
-                n1 = ((r1 & m | r0 | n0) << 1 | r0 | (o0 & swap) << 2) & full
-                n2 = ((r2 & m | r1 | n1) << 1 | r1 | (o1 & swap) << 2) & full
-                if n2:
-                    stack.append((child, n0, n1, n2, r0, r1, m))
-        return out
-
-
-def trie_links(sharded: DataFrame, distance: int = DISTANCE, cap: int = SHARD_CAP, spanning: bool = False) -> DataFrame:
-    """``a, b, na, nb``: different cores of a shard within ``distance`` errors, two at most, and one in short texts.
-
-    spanning: of the links of a group of cores only those from each core to the most frequent one it is linked to,
-        directly or through others; they connect the same cores.
-
-    A shard beyond ``cap`` cores is cut into blocks and each pair of blocks is a group of its own: all pairs are
-    still searched, and no group exceeds two blocks.
+    A shard is split by pieces of its texts' rests; what is still beyond ``cap`` is cut into blocks, and every text
+    searches every block of its shard.
     """
-    w = W.partitionBy("shard")
-    numbered = sharded.withColumns({"size": F.count(F.lit(1)).over(w), "rank": F.row_number().over(w.orderBy("core", "text"))})
-    numbered = numbered.where("size > 1").withColumns({"blocks": F.ceil(F.col("size") / F.lit(cap)).cast("int"), "block": F.floor((F.col("rank") - 1) / F.lit(cap)).cast("int")})
-    # Block i meets every block j: the group is the pair in order.
-    met = numbered.select(
-        "shard", "text", "core", "n", "block", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")))).alias("g")
-    )
-    groups = met.groupBy("shard", "g").agg(F.collect_list(F.struct("text", "core", "n", "block")).alias("members"))
+    out = "key string, text string, id long, home boolean"
+    schema = pa.schema([("key", pa.string()), ("text", pa.string()), ("id", pa.int64()), ("home", pa.bool_())])
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
-            members = lists.flatten()
-            text, core, n, block = (members.field(f).to_pylist() for f in ("text", "core", "n", "block"))
-            starts = lists.offsets.to_pylist()
-            hits: list[tuple[int, int]] = []
-
-            def span(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
-                """Union-find whose roots are the most frequent members; rows of different groups are never linked."""
-                root: dict[int, int] = {}
-
-                def find(r: int) -> int:
-                    while root.setdefault(r, r) != r:
-                        root[r] = root[root[r]]
-                        r = root[r]
-                    return r
-
-                for x, y in links:
-                    x, y = find(x), find(y)
-                    if x != y:
-                        if (-n[x], core[x]) > (-n[y], core[y]):
-                            x, y = y, x
-                        root[y] = x
-                return [(find(r), r) for r in root if find(r) != r]
-
-            for g, (i, j) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                rows = range(starts[g] - starts[0], starts[g + 1] - starts[0])
-                if len(rows) == 2:
-                    x, y = rows
-                    if core[x] != core[y] and abs(len(text[x]) - len(text[y])) <= distance and Automaton(text[x]).accepts(text[y], bound(text[x], text[y])):
-                        hits.append((x, y))
-                    continue
-                trie = Trie()
-                base = [r for r in rows if block[r] == i]
-                probes = base if i == j else [r for r in rows if block[r] == j]
-                if i != j:
-                    for r in base:
-                        trie.add(text[r], r)
-                for r in probes:
-                    # Within a block each text searches those before it.
-                    for found in trie.within(Automaton(text[r]), distance):
-                        if core[found] != core[r] and (distance < 2 or bound(text[found], text[r]) > 1 or errors(text[found], text[r], 1)):
-                            hits.append((found, r))
-                    if i == j:
-                        trie.add(text[r], r)
-            if spanning:
-                hits = span(hits)
-            out = [pa.array([core[x] for x, _ in hits], pa.string()), pa.array([core[y] for _, y in hits], pa.string())]
-            out += [pa.array([n[x] for x, _ in hits], pa.int64()), pa.array([n[y] for _, y in hits], pa.int64())]
-            yield pa.RecordBatch.from_arrays(out, ["a", "b", "na", "nb"])
-
-    def bound(x: str, y: str) -> int:
-        """One error in texts of less than six letters."""
-        return distance if min(len(x), len(y)) >= 6 else min(distance, 1)
-
-    return groups.select(F.col("g.i"), F.col("g.j"), "members").mapInArrow(search, "a string, b string, na long, nb long").distinct()
-
-
-def best_reached(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """``core, org, n``: the most frequent core reachable over links (the smallest of equals), for each linked core.
-
-    Labels pass along the links until none changes; after the first round only changed labels are passed on.  A core also
-    takes the label that the core it is named by has got, so the rounds grow with the logarithm of a chain of links.
+            for at in range(0, batch.num_rows, 500):
+                rows = [(f"{key}|{piece}", text, i, home) for key, text, i, home in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)) for piece in piece_keys(text[len(key) - 1 :])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    finer = scratch.cut(rows.join(hot.select("key"), "key", "left_semi").select(*schema.names).mapInArrow(pieces, out))
+    size = finer.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap)
+    sized = finer.join(size, "key", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / F.lit(cap)), F.lit(1)).cast("int"))
+    sized = sized.withColumn("mine", F.pmod(F.xxhash64("id", "text"), F.col("blocks")).cast("int"))
+    met = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select(F.when(F.col("blocks") > 1, F.concat_ws("|", "key", "block")).otherwise(F.col("key")).alias("key"), "text", "id", (F.col("home") & (F.col("block") == F.col("mine"))).alias("home"))
+
+
+def trie_links(homes: DataFrame, scratch: Scratch, cap: int = SHARD_CAP) -> DataFrame:
+    """``a < b``: ids linked by texts within the bound; of the links of a group of ids in a task only those that span it.
+
+    homes: what ``shards`` gives.  The bound is DISTANCE errors, one in texts of less than SURE letters.
     """
-    ends = lambda a, b: F.struct(F.col(a).alias("a"), F.col(f"n{a}").alias("na"), F.col(b).alias("b"), F.col(f"n{b}").alias("nb"))
-    both = scratch.cut(links.select(F.explode(F.array(ends("a", "b"), ends("b", "a"))).alias("e")).select("e.*"))
-    label = lambda n, c: F.struct((-F.col(n)).alias("k"), F.col(c).alias("org"))
-    first = scratch.cut(both.groupBy("a").agg(F.min(F.least(label("na", "a"), label("nb", "b"))).alias("l")))
+    homes = scratch.cut(homes)
+    halves = scratch.cut(homes.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    rows = with_visits(homes, halves)
+    hot = halves.where(F.col("n") > cap)
+    if not hot.isEmpty():
+        rows = rows.join(hot.select("key"), "key", "left_anti").unionByName(split_hot(rows, hot, cap, scratch))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches):
+            n = table.num_rows
+            members = np.diff(np.append(starts, n))
+            # A text alone in its shard meets nothing.
+            kept = np.flatnonzero(np.repeat(members > 1, members))
+            group = np.repeat(np.cumsum(members > 1) - 1, members)[kept]
+            table = table.take(pa.array(kept)) if len(kept) < n else table
+            text = table.column("text").combine_chunks()
+            ids = table.column("id").to_numpy()
+            size = pa.compute.utf8_length(text).to_numpy()
+            home = table.column("home").to_numpy()
+            low, high = [], []
+            for a, b, wrong in near(text, group, home):
+                x, y = ids[a], ids[b]
+                linked = (x != y) & ((wrong < 2) | (np.minimum(size[a], size[b]) >= SURE))
+                low.append(x[linked])
+                high.append(y[linked])
+            if low:
+                a, b = spanning(np.concatenate(low), np.concatenate(high))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return rows.select("key", "text", "id", "home").repartition("key").sortWithinPartitions("key").mapInArrow(search, "a long, b long").distinct()
+
+
+def lowest_reached(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``id, low``: the smallest id reachable over links ``a, b``, for each linked id.
+
+    Labels pass along the links until none changes; after the first round only changed labels are passed on.  An id also
+    takes the label that the id it is named by has got, so the rounds grow with the logarithm of a chain of links.
+    """
+    arc = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
+    both = scratch.cut(links.select(F.explode(F.array(arc("a", "b"), arc("b", "a"))).alias("e")).select("e.*"))
+    first = scratch.cut(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("l")))
     known = [first]
 
     def labels() -> DataFrame:
-        """A linked core stands in ``first`` once and in a later table where its label improved."""
+        """A linked id stands in ``first`` once and in a later table where its label improved."""
         out = known[0]
         for later in known[1:]:
             out = out.unionByName(later)
         return out.groupBy("a").agg(F.min("l").alias("l")) if len(known) > 1 else out
 
-    passing = first.where("l.org <> a")
+    passing = first.where("l <> a")
     while True:
         now = labels()
-        heard = both.join(passing.select(F.col("a").alias("b"), "l"), "b").select("a", F.col("l").alias("m"))
-        named = now.join(passing.select(F.col("a").alias("o"), F.col("l").alias("m")), F.col("l.org") == F.col("o")).select("a", "m")
+        heard = both.join(passing.select(F.col("a").alias("b"), F.col("l").alias("m")), "b").select("a", "m")
+        named = now.join(passing.select(F.col("a").alias("l"), F.col("l").alias("m")), "l").select("a", "m")
         mine = now.join(heard.unionByName(named).groupBy("a").agg(F.min("m").alias("m")), "a")
         better = scratch.cut(mine.where("m < l").select("a", F.col("m").alias("l")))
         if better.isEmpty():
@@ -532,11 +488,11 @@ def best_reached(links: DataFrame, scratch: Scratch) -> DataFrame:
         passing = better
         if len(known) > 8:
             known = [scratch.cut(labels())]
-    return labels().select(F.col("a").alias("core"), F.col("l.org").alias("org"), (-F.col("l.k")).alias("n"))
+    return labels().select(F.col("a").alias("id"), F.col("l").alias("low"))
 
 
 def organisations(names: DataFrame, scratch: Scratch) -> DataFrame:
-    """``clean_name, words, core, org, trades`` of distinct names; null core and org where a name has no word of its own.
+    """``clean_name, core, org, trades`` of distinct names; null core and org where a name has no word of its own.
 
     Of a name's plausible cores, the one whose organisation has the most other names counts.  Where the same
     core comes with different given names in full, each is an owner with an organisation of its own; a name with a short
@@ -545,16 +501,17 @@ def organisations(names: DataFrame, scratch: Scratch) -> DataFrame:
     names = scratch.cut(names)
     read = scratch.cut(cores(names, frequent_words(names)))
     scratch.drop(names)
-    counted = read.where("core <> ''").groupBy("core").agg(F.count_if("first").alias("n"), F.min("words").alias("words"))
-    counted = scratch.cut(counted)
-    reached = best_reached(trie_links(shards(counted), spanning=True), scratch)
-    weighted = counted.select("core", "n").join(reached.select("core", "org", F.col("n").alias("n_org")), "core", "left")
-    weighted = weighted.select("core", F.coalesce("org", "core").alias("org"), F.coalesce("n_org", "n").alias("n"))
+    # Ids in the order of frequency: the smallest id of an organisation is its most frequent core.
+    counted = read.where("core <> ''").groupBy("core").agg(F.count_if("first").alias("n")).orderBy(F.desc("n"), "core")
+    counted = scratch.cut(counted.withColumn("id", F.monotonically_increasing_id()))
+    reached = scratch.cut(lowest_reached(trie_links(shards(counted), scratch), scratch))
+    best = reached.join(counted.select(F.col("id").alias("low"), F.col("n").alias("n_low")), "low")
+    weighted = counted.join(best, "id", "left").select("core", "id", F.coalesce("low", "id").alias("org"), F.coalesce("n_low", "n").alias("n"))
     rows = scratch.cut(read.join(weighted, "core", "left"))
     # A core that only the name itself has is no support for it.
-    support = F.coalesce("n", F.lit(0)) - F.when((F.col("org") == F.col("core")) & F.col("first"), 1).otherwise(0)
-    best = F.max_by(F.struct("words", "core", "org", "given", "full", "initial", "trades"), F.struct(support, "first", "core"))
-    kept = ("clean_name", "words", "core", "org", "given", "full", "initial", "trades")
+    support = F.coalesce("n", F.lit(0)) - F.when((F.col("org") == F.col("id")) & F.col("first"), 1).otherwise(0)
+    best = F.max_by(F.struct("core", "org", "given", "full", "initial", "trades"), F.struct(support, "first", "core"))
+    kept = ("clean_name", "core", "org", "given", "full", "initial", "trades")
     picked = rows.where("several").groupBy("clean_name").agg(best.alias("x")).select("clean_name", "x.*")
     chosen = scratch.cut(rows.where("NOT several").select(*kept).unionByName(picked))
     owners = chosen.where("full <> '' AND core <> ''").groupBy("org", "full").agg(F.count(F.lit(1)).alias("names"), F.flatten(F.collect_set("trades")).alias("their_trades"))
@@ -567,17 +524,10 @@ def organisations(names: DataFrame, scratch: Scratch) -> DataFrame:
     placed = asked.groupBy("clean_name").agg(F.max_by("owner", fit).alias("owner"))
     out = chosen.join(placed, "clean_name", "left")
     return out.select(
-        "clean_name", "words", F.nullif(F.col("core"), F.lit("")).alias("core"), F.when(F.col("core") != "", F.concat_ws("|", "org", "owner")).alias("org"), "trades"
+        "clean_name", F.nullif(F.col("core"), F.lit("")).alias("core"), F.when(F.col("core") != "", F.concat_ws("|", "org", "owner")).alias("org"), "trades"
     )
 
 
-def _kept(df: DataFrame, *columns: str) -> DataFrame:
-    """Fewer columns of a written table, still known as that table."""
-    out = df.select(*columns)
-    out.scratch_path = getattr(df, "scratch_path", None)
-    return out
-
-
 def distinct_names(records: DataFrame) -> DataFrame:
     return records.where("clean_name <> ''").select("clean_name").distinct()
 

@@ -1,11 +1,16 @@
 """The trie search against plain distances; names of one organisation."""
 
 import random
+from itertools import permutations
 
+import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkloom.llm.names import Automaton, Trie, Words, best_reached, errors, frequent_words, name_pairs, read_name, shard_keys, shards, trie_links
+from linkloom.llm.names import Words, ends_of, errors, frequent_words, lowest_reached, name_pairs, piece_keys, read_name, shards, trie_links
+from linkloom.llm.tries import few_errors, near, spanning
+from linkloom.runtime import Scratch
 
 
 def plain(a, b):
@@ -26,66 +31,105 @@ TEXT = st.text("abc", max_size=9)
 
 @settings(max_examples=500, deadline=None)
 @given(TEXT, TEXT)
-def test_automaton(a, b):
+def test_distances(a, b):
     for k in (1, 2):
-        assert Automaton(a).accepts(b, k) == errors(a, b, k) == (plain(a, b) <= k)
+        assert errors(a, b, k) == (plain(a, b) <= k)
+        assert few_errors(a, b, k) == (plain(a, b) if plain(a, b) <= k else None)
 
 
-def test_trie_finds_what_comparison_finds():
+def test_tries_find_what_comparison_finds():
     r = random.Random(3)
-    texts = list({"".join(r.choice("abcd") for _ in range(r.randint(3, 8))) for _ in range(300)})
-    trie = Trie()
-    for i, t in enumerate(texts):
-        trie.add(t, i)
-    for t in texts[:60]:
-        assert sorted(trie.within(Automaton(t), 2)) == [i for i, x in enumerate(texts) if plain(t, x) <= 2]
-
-
-def test_blocks_of_a_hot_shard_lose_nothing(spark):
+    texts = ["".join(r.choice("abcd") for _ in range(r.randint(0, 8))) for _ in range(300)] + ["日本abc", "日木abc", "日本", ""]
+    texts += ["a" * k for k in (60, 61, 62, 63, 64, 65, 66)] + ["b" + "a" * 63]
+    group = np.array([r.randrange(5) for _ in texts[:-8]] + [2] * 8)
+    home = np.array([r.random() < 0.6 for _ in texts[:-8]] + [True] * 8)
+    got = {(x, y): z for a, b, wrong in near(pa.array(texts), group, home) for x, y, z in zip(a.tolist(), b.tolist(), wrong.tolist()) if x != y}
+    n = range(len(texts))
+    assert got == {(i, j): plain(texts[i], texts[j]) for i in n for j in n if i != j and home[j] and group[i] == group[j] and abs(len(texts[i]) - len(texts[j])) < 3 and plain(texts[i], texts[j]) <= 2}
+
+
+def test_spanning_links_connect_the_same():
+    r = random.Random(9)
+    a, b = (np.array([r.randrange(80) for _ in range(60)]) for _ in range(2))
+    low = dict(zip(*reversed(spanning(a, b))))
+    find = lambda v: low.get(v, v)
+    assert all(find(x) == find(y) <= min(x, y) for x, y in zip(a, b))
+
+
+def linked(spark, cores, cap=20_000):
+    """Pairs of cores linked directly or through others."""
+    df = spark.createDataFrame([(c, i) for i, c in enumerate(cores)], "core string, id long")
+    scratch = Scratch(spark, "test")
+    return {cores[r.id]: cores[r.low] for r in lowest_reached(trie_links(shards(df), scratch, cap), scratch).collect()}
+
+
+def groups(cores, near):
+    """The smallest core by place of each group of cores that are near each other, of groups of two or more."""
+    low = list(range(len(cores)))
+    moved = True
+    pairs = [(i, j) for i in range(len(cores)) for j in range(i) if near(cores[i], cores[j])]
+    while moved:
+        moved = False
+        for i, j in pairs:
+            if low[i] != low[j]:
+                low[i] = low[j] = min(low[i], low[j])
+                moved = True
+    return {cores[i]: cores[low[i]] for i in {k for p in pairs for k in p}}
+
+
+def near_cores(a, b):
+    if min(len(a.replace(" ", "")), len(b.replace(" ", ""))) < 4:
+        return False
+    most = 2 if min(len(a.replace(" ", "")), len(b.replace(" ", ""))) >= 6 else 1
+    return any(errors(x, y, most) for x in {"".join(o) for o in permutations(a.split())} for y in {"".join(o) for o in permutations(b.split())})
+
+
+def test_splitting_a_hot_shard_loses_nothing(spark):
     r = random.Random(5)
-    texts = sorted({"head" + "".join(r.choice("ab") for _ in range(8)) for _ in range(60)})
-    df = spark.createDataFrame([("s", t, t, 1) for t in texts], "shard string, text string, core string, n long")
-    want = {(a, b) for a in texts for b in texts if a < b and plain(a, b) <= 2}
-    for cap in (1000, 7):
-        assert {tuple(sorted((x.a, x.b))) for x in trie_links(df, cap=cap).collect()} == want
+    cores = sorted({"commonhead" + "".join(r.choice("ab") for _ in range(8)) for _ in range(40)} | {"commonhead" + "".join(r.choice("cdefgh") for _ in range(8)) for _ in range(40)} | {"commonheadcdefghcd", "cmmonheadcdefghcde"})
+    want = groups(cores, near_cores)
+    for cap in (20_000, 30, 3):
+        assert linked(spark, cores, cap) == want
 
 
 @settings(max_examples=3000, deadline=None)
 @given(st.text("abcdefgh", min_size=4, max_size=30), st.lists(st.tuples(st.sampled_from("irds"), st.integers(0, 40), st.sampled_from("abz")), max_size=2))
-def test_texts_within_the_bound_share_a_key(a, edits):
+def test_texts_within_the_bound_share_a_shard(a, edits):
     b = a
     for kind, at, ch in edits:
         at %= len(b) + (kind == "i")
         b = {"i": b[:at] + ch + b[at:], "r": b[:at] + ch + b[at + 1 :], "d": b[:at] + b[at + 1 :], "s": b[:at] + b[at : at + 2][::-1] + b[at + 2 :]}[kind]
+    if plain(a, b) <= 2:
+        assert piece_keys(a) & piece_keys(b)
     if min(len(a), len(b)) >= 4 and plain(a, b) <= (2 if min(len(a), len(b)) >= 6 else 1):
-        assert shard_keys(a) & shard_keys(b)
+        x, y = ({k for k, _ in ends_of(t)} for t in (a, b))
+        short = lambda k: {k[:i] + k[i + 1 :] for i in range(1, len(k))}
+        assert x & y or any(len(p) == len(q) and short(p) & short(q) for p in x for q in y if p[0] == q[0] == "<")
 
 
 def test_shards_find_what_comparison_finds(spark):
     r = random.Random(7)
-    plainly = [["pelmorisk"], ["plemorisk"], ["lorzorju", "dormikmik"], ["lrozorjudormikmik"], ["zoryarful", "hobgnesvik"], ["zoryarfulhobgevik"], ["relpon", "kitgar"], ["rexpon", "kizgar"], ["abcd"], ["abce"]]
+    plainly = ["pelmorisk", "plemorisk", "dormikmik lorzorju", "lrozorjudormikmik", "hobgnesvik zoryarful", "zoryarfulhobgevik", "kitgar relpon", "kizgar rexpon", "abcd", "abce"]
+    plainly += ["grisonber pelmorisk tavjordov", "grisonbex pelmorisk tavjordov", "kovid", "kovit", "pelko tavko", "pelmo tavjo", "sebrukvas", "zebrukvas"]
     syllables = ["pel", "mor", "isk", "tav", "jor"]
-    cores = {" ".join(sorted(ws)): ws for ws in plainly}
-    for _ in range(150):
+    cores = set(plainly)
+    for _ in range(170):
         ws = ["".join(r.choice(syllables) for _ in range(r.randint(1, 3))) for _ in range(r.randint(1, 3))]
-        if r.random() < 0.5:
-            at = r.randrange(len(ws[0]))
-            ws[0] = ws[0][:at] + r.choice("xyz") + ws[0][at + 1 :]
-        cores.setdefault(" ".join(sorted(ws)), ws)
-    turned = {c: ["".join(ws[i:] + ws[:i]) for i in range(len(ws))] for c, ws in cores.items()}
-    near = lambda x, y: min(len(x), len(y)) >= 4 and errors(x, y, 2 if min(len(x), len(y)) >= 6 else 1)
-    want = {(a, b) for a in cores for b in cores if a < b and any(near(x, y) for x in turned[a] for y in turned[b])}
-    df = spark.createDataFrame([(c, 1, ws) for c, ws in cores.items()], "core string, n long, words array<string>")
-    got = {tuple(sorted((x.a, x.b))) for x in trie_links(shards(df)).collect()}
-    assert got == want and all(tuple(sorted((" ".join(sorted(a)), " ".join(sorted(b))))) in got for a, b in zip(plainly[::2], plainly[1::2]))
+        for _ in range(r.randrange(3)):
+            w = r.randrange(len(ws))
+            at = r.randrange(len(ws[w]))
+            ws[w] = ws[w][:at] + r.choice(["x", "y", "z", "", "qq"]) + ws[w][at + 1 :]
+        cores.add(" ".join(sorted(ws)))
+    cores = sorted(cores)
+    got = linked(spark, cores)
+    assert got == groups(cores, near_cores)
+    assert all(got[a] == got[b] for a, b in zip(plainly[::2], plainly[1::2]))
 
 
 def test_a_long_chain_is_one_organisation(spark):
-    from linkloom.runtime import Scratch
-
-    links = spark.createDataFrame([(f"c{i:03}", f"c{i + 1:03}", 1, 1) for i in range(150)], "a string, b string, na long, nb long")
-    got = best_reached(links, Scratch(spark, "chain")).collect()
-    assert len(got) == 151 and {r.org for r in got} == {"c000"}
+    links = spark.createDataFrame([(i, i + 1) for i in range(150)], "a long, b long")
+    got = lowest_reached(links, Scratch(spark, "chain")).collect()
+    assert len(got) == 151 and {r.low for r in got} == {0}
 
 
 def test_reading():
@@ -122,6 +166,15 @@ def test_words_of_a_large_organisation_are_its_own(spark):
     assert not any("heritage" in a or "heritage" in b for a, b in got)
 
 
+def test_long_names(spark):
+    r = random.Random(13)
+    word = "".join(r.choice("abcdefgh") for _ in range(90))
+    other = word[:30] + "xyz" + word[33:]
+    rows = [(word,), (word[:40] + word[41:],), (other,), (word[:30] + "q" + word[30:80] + word[81:],)]
+    got = {tuple(x) for x in name_pairs(spark.createDataFrame(rows, "clean_name string")).collect()}
+    assert got == {tuple(sorted((rows[i][0], rows[j][0]))) for i, j in ((0, 1), (0, 3), (1, 3))}
+
+
 def test_a_name_of_counted_words_only_keeps_them():
     words = Words(["pelmorisk", "tavjordov"])
     assert read_name("pelmorisk tavjordov bakery", words)[0] == [["pelmorisk", "tavjordov"]]
