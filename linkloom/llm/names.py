@@ -23,6 +23,7 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +70,7 @@ TRADE_SET = set(TRADES)
 KNOWN = set(NAME_FILLERS) | set(TRADES) | set(SHORT_TRADES)
 _LOOKALIKE = str.maketrans("01", "ol")
 SHARD_CAP = 20_000  #: texts of a shard beyond which it is split by pieces of the rest, and into blocks if that does not help
+TASK_LINKS = 2_000_000  #: links that one task can follow, some 300 MB; more pass through joins
 DISTANCE = 2  #: errors between two spellings of a core
 LEAST = 4  #: letters of a core that can have errors; one error in less could make any core any other
 SURE = 6  #: letters from which a core can have two errors
@@ -368,7 +370,7 @@ def ends_of(text: str) -> set[tuple[str, str]]:
 
 
 def shards(unique: DataFrame) -> DataFrame:
-    """``key, text, id, home``: every text of a core (``core, id``) in its shards."""
+    """``key, text, id``: every text of a core (``core, id``) in its shards."""
     schema = pa.schema([("key", pa.string()), ("text", pa.string()), ("id", pa.int64())])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,45 +381,51 @@ def shards(unique: DataFrame) -> DataFrame:
                 columns = zip(*out) if out else [()] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    return unique.select("core", "id").mapInArrow(spread, "key string, text string, id long").withColumn("home", F.lit(True))
+    return unique.select("core", "id").mapInArrow(spread, "key string, text string, id long")
 
 
 def with_visits(homes: DataFrame, halves: DataFrame) -> DataFrame:
-    """Adds to the texts of each shard those whose beginning becomes equal to the shard's by leaving out a letter of each.
+    """``shard, half, text, id``: the texts of each shard, and visits of those whose beginning becomes equal to the shard's by
+    leaving out a letter of each.
 
-    halves: ``key, n``, the shards and their sizes.  Of two beginnings the texts of the rarer one visit.
+    halves: ``key, n``, the shards and their sizes.  Of two beginnings the texts of the rarer one visit.  A shard is
+    known by a hash: two that share it are searched together, which changes nothing.  Visitors have the id -1 - id; half
+    is the number of letters in the key.
     """
     half = F.substring("key", 2, HALF)
     without = F.transform(F.sequence(F.lit(1), F.length(half)), lambda i: F.xxhash64(F.length(half), F.concat(F.left(half, i - 1), F.substr(half, i + 1))))
-    left = halves.where("key LIKE '<%'").select("key", "n", F.explode(F.array_distinct(without)).alias("h"))
-    other = left.select("h", F.col("key").alias("to"), F.col("n").alias("m"))
+    left = halves.where("key LIKE '<%'").select(F.xxhash64("key").alias("shard"), F.col("n").cast("int").alias("n"), F.explode(F.array_distinct(without)).alias("h"))
+    other = left.select("h", F.col("shard").alias("to"), F.col("n").alias("m"))
     # Equal hashes of different letters only cause a visit that finds nothing.
-    pairs = left.join(other, "h").where("n < m OR n = m AND key < to").select("key", "to").distinct()
-    visits = homes.join(pairs, "key").select(F.col("to").alias("key"), "text", "id", F.lit(False).alias("home"))
-    return homes.unionByName(visits)
+    pairs = left.join(other, "h").where("n < m OR n = m AND shard < to").select("shard", "to").distinct()
+    rows = homes.select(F.xxhash64("key").alias("shard"), (F.length("key") - 1).alias("half"), "text", "id")
+    visits = homes.where("key LIKE '<%'").select(F.xxhash64("key").alias("shard"), (F.length("key") - 1).alias("half"), "text", "id").join(pairs, "shard")
+    return rows.unionByName(visits.select(F.col("to").alias("shard"), "half", "text", (-1 - F.col("id")).alias("id")))
 
 
-def split_hot(rows: DataFrame, hot: DataFrame, cap: int, scratch: Scratch) -> DataFrame:
-    """The rows of the shards in ``hot``, each in smaller shards, so that no two texts within the bound are parted.
+def split_hot(rows: DataFrame, cap: int, scratch: Scratch) -> DataFrame:
+    """``shard, text, id``: the rows in smaller shards, so that no two texts within the bound are parted.
 
     A shard is split by pieces of its texts' rests; what is still beyond ``cap`` is cut into blocks, and every text
     searches every block of its shard.
     """
-    out = "key string, text string, id long, home boolean"
-    schema = pa.schema([("key", pa.string()), ("text", pa.string()), ("id", pa.int64()), ("home", pa.bool_())])
+    schema = pa.schema([("piece", pa.string()), ("shard", pa.int64()), ("text", pa.string()), ("id", pa.int64())])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                rows = [(f"{key}|{piece}", text, i, home) for key, text, i, home in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)) for piece in piece_keys(text[len(key) - 1 :])]
+                rows = [(piece, shard, text, i) for shard, half, text, i in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)) for piece in piece_keys(text[half:])]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    finer = scratch.cut(rows.join(hot.select("key"), "key", "left_semi").select(*schema.names).mapInArrow(pieces, out))
-    size = finer.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap)
-    sized = finer.join(size, "key", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / F.lit(cap)), F.lit(1)).cast("int"))
+    finer = rows.select("shard", "half", "text", "id").mapInArrow(pieces, "piece string, shard long, text string, id long")
+    finer = scratch.cut(finer.select(F.xxhash64("shard", "piece").alias("shard"), "text", "id"))
+    size = finer.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap)
+    sized = finer.join(size, "shard", "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / F.lit(cap)), F.lit(1)).cast("int"))
     sized = sized.withColumn("mine", F.pmod(F.xxhash64("id", "text"), F.col("blocks")).cast("int"))
     met = sized.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return met.select(F.when(F.col("blocks") > 1, F.concat_ws("|", "key", "block")).otherwise(F.col("key")).alias("key"), "text", "id", (F.col("home") & (F.col("block") == F.col("mine"))).alias("home"))
+    # A text is at home in one block and visits the others.
+    visiting = F.when(F.col("block") == F.col("mine"), F.col("id")).otherwise(F.least("id", -1 - F.col("id")))
+    return met.select(F.when(F.col("blocks") > 1, F.xxhash64("shard", "block")).otherwise(F.col("shard")).alias("shard"), "text", visiting.alias("id"))
 
 
 def trie_links(homes: DataFrame, scratch: Scratch, cap: int = SHARD_CAP) -> DataFrame:
@@ -428,9 +436,11 @@ def trie_links(homes: DataFrame, scratch: Scratch, cap: int = SHARD_CAP) -> Data
     homes = scratch.cut(homes)
     halves = scratch.cut(homes.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
     rows = with_visits(homes, halves)
-    hot = halves.where(F.col("n") > cap)
-    if not hot.isEmpty():
-        rows = rows.join(hot.select("key"), "key", "left_anti").unionByName(split_hot(rows, hot, cap, scratch))
+    hot = halves.where(F.col("n") > cap).select(F.xxhash64("key").alias("shard")).distinct()
+    if hot.isEmpty():
+        rows = rows.drop("half")
+    else:
+        rows = rows.join(hot, "shard", "left_anti").drop("half").unionByName(split_hot(rows.join(hot, "shard", "left_semi"), cap, scratch))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches):
@@ -442,8 +452,9 @@ def trie_links(homes: DataFrame, scratch: Scratch, cap: int = SHARD_CAP) -> Data
             table = table.take(pa.array(kept)) if len(kept) < n else table
             text = table.column("text").combine_chunks()
             ids = table.column("id").to_numpy()
+            home = ids >= 0
+            ids = np.where(home, ids, -1 - ids)
             size = pa.compute.utf8_length(text).to_numpy()
-            home = table.column("home").to_numpy()
             low, high = [], []
             for a, b, wrong in near(text, group, home):
                 x, y = ids[a], ids[b]
@@ -454,15 +465,26 @@ def trie_links(homes: DataFrame, scratch: Scratch, cap: int = SHARD_CAP) -> Data
                 a, b = spanning(np.concatenate(low), np.concatenate(high))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return rows.select("key", "text", "id", "home").repartition("key").sortWithinPartitions("key").mapInArrow(search, "a long, b long").distinct()
+    found = rows.select("shard", "text", "id").repartition("shard").sortWithinPartitions("shard").mapInArrow(search, "a long, b long").distinct()
+    found = scratch.cut(found)
+    scratch.drop(homes, halves)
+    return found
 
 
-def lowest_reached(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """``id, low``: the smallest id reachable over links ``a, b``, for each linked id.
+def lowest_reached(links: DataFrame, scratch: Scratch, one_task: int = TASK_LINKS) -> DataFrame:
+    """``id, low``: the smallest id reachable over links ``a, b``, for each linked id that has a smaller one.
 
-    Labels pass along the links until none changes; after the first round only changed labels are passed on.  An id also
+    Up to ``one_task`` links are a task's work.  Of more, labels pass along the links until none changes; after the first round only changed labels are passed on.  An id also
     takes the label that the id it is named by has got, so the rounds grow with the logarithm of a chain of links.
     """
+    if links.count() <= one_task:
+
+        def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(batches, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            low, numbers = spanning(table.column("a").to_numpy(), table.column("b").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(low)], ["id", "low"])
+
+        return links.select("a", "b").coalesce(1).mapInArrow(solve, "id long, low long")
     arc = lambda x, y: F.struct(F.col(x).alias("a"), F.col(y).alias("b"))
     both = scratch.cut(links.select(F.explode(F.array(arc("a", "b"), arc("b", "a"))).alias("e")).select("e.*"))
     first = scratch.cut(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("l")))
@@ -488,7 +510,7 @@ def lowest_reached(links: DataFrame, scratch: Scratch) -> DataFrame:
         passing = better
         if len(known) > 8:
             known = [scratch.cut(labels())]
-    return labels().select(F.col("a").alias("id"), F.col("l").alias("low"))
+    return labels().where("l < a").select(F.col("a").alias("id"), F.col("l").alias("low"))
 
 
 def organisations(names: DataFrame, scratch: Scratch) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 MOST = 62  #: letters of a text whose prefixes fit the bits of a state
 FRONTIER = 400_000  #: home texts that the searches of one round may meet together, about

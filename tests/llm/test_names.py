@@ -60,7 +60,8 @@ def linked(spark, cores, cap=20_000):
     """Pairs of cores linked directly or through others."""
     df = spark.createDataFrame([(c, i) for i, c in enumerate(cores)], "core string, id long")
     scratch = Scratch(spark, "test")
-    return {cores[r.id]: cores[r.low] for r in lowest_reached(trie_links(shards(df), scratch, cap), scratch).collect()}
+    low = {r.id: r.low for r in lowest_reached(trie_links(shards(df), scratch, cap), scratch).collect()}
+    return {cores[i]: cores[low.get(i, i)] for i in {*low, *low.values()}}
 
 
 def groups(cores, near):
@@ -128,8 +129,9 @@ def test_shards_find_what_comparison_finds(spark):
 
 def test_a_long_chain_is_one_organisation(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(150)], "a long, b long")
-    got = lowest_reached(links, Scratch(spark, "chain")).collect()
-    assert len(got) == 151 and {r.low for r in got} == {0}
+    for one_task in (0, 1000):
+        got = lowest_reached(links, Scratch(spark, "chain"), one_task).collect()
+        assert sorted(r.id for r in got) == list(range(1, 151)) and {r.low for r in got} == {0}
 
 
 def test_reading():
