@@ -4,8 +4,8 @@ Each address is expanded into its plausible readings: which number is the house
 street's name starts and ends, whether a street type is glued to it, which tokens name the
 place.  Every combination of a house number, an end of the street's name and one token of the place
 (postal code, town, district, state) is hashed; readings that share any hash are candidates.
-They are kept if their street names are the same up to typing errors and nothing contradicts: the house
-number is part of every hash, so a conflicting one never meets, and directions and street types may not differ.
+They are kept if their street names are the same up to typing errors and nothing contradicts: house numbers,
+directions and street types may not differ.
 Of an address all readings take part, but two that are both unlikely prove nothing.  A street name of more than six
 letters with errors at both its ends is not found.
 """
@@ -52,7 +52,7 @@ for _i, _w in enumerate(ORDINALS, 1):
 
 READING = T.StructType(
     [
-        T.StructField("houses", T.ArrayType(T.StringType(), False)),
+        T.StructField("house", T.StringType()),
         T.StructField("streets", T.ArrayType(T.StringType(), False)),
         T.StructField("direction", T.StringType()),
         T.StructField("kind", T.StringType()),
@@ -99,6 +99,8 @@ def read_all(clean: str | None, postal: str | None) -> list[tuple]:
                 code = ts[i] + ts[i + 1]
                 used[i] = used[i + 1] = True
                 break
+    if not code and postal and postal.isdigit() and len(postal) in (5, 6):
+        code = postal
     # Units and landmarks.
     i = 0
     while i < n:
@@ -193,7 +195,7 @@ def read_all(clean: str | None, postal: str | None) -> list[tuple]:
         # A state's code places an address that has nothing else.
         if len(places) < 2:
             places.update(t for k, t in enumerate(ts) if k not in inside and not used[k] and len(t) == 2 and t.isalpha() and t not in TYPE_OF and t not in PARTICLES and t not in ROMAN)
-        out.append(([house], list(dict.fromkeys(names)), direction, kind, sorted(places), code, sure == surest or not out))
+        out.append((house, list(dict.fromkeys(names)), direction, kind, sorted(places), code, sure == surest or not out))
     return out
 
 
@@ -207,7 +209,7 @@ def _reading(clean: pa.Array, postal: pa.Array) -> pa.Array:
     names = [f.name for f in READING]
     rows = [[dict(zip(names, r)) for r in read_all(a, p)] for a, p in zip(clean.to_pylist(), postal.to_pylist())]
     one = pa.struct(
-        [("houses", pa.list_(pa.string())), ("streets", pa.list_(pa.string())), ("direction", pa.string()), ("kind", pa.string()), ("places", pa.list_(pa.string())), ("code", pa.string()), ("sure", pa.bool_())]
+        [("house", pa.string()), ("streets", pa.list_(pa.string())), ("direction", pa.string()), ("kind", pa.string()), ("places", pa.list_(pa.string())), ("code", pa.string()), ("sure", pa.bool_())]
     )
     return pa.array([r or None for r in rows], pa.list_(one))
 
@@ -231,10 +233,14 @@ def distinct_readings(records: DataFrame, scratch: Scratch) -> tuple[DataFrame,
     # writing: a filter in the same plan would move below the distinct and read every address a second time.
     texts = records.select("clean_addr", "postal").where("clean_addr <> ''").distinct()
     read = scratch.cut(texts.withColumn("r", reading(F.col("clean_addr"), F.col("postal"))))
-    read = read.where("r IS NOT NULL").withColumn("sig", F.xxhash64("r"))
-    each = read.select("sig", "r").dropDuplicates(["sig"]).select("sig", F.posexplode("r").alias("at", "x")).select("sig", "x.*", (F.col("at") == 0).alias("first"))
+    read = read.where("r IS NOT NULL").withColumn("h", F.xxhash64("r"))
+    one = scratch.cut(read.select("h", "r").distinct().withColumn("sig", F.monotonically_increasing_id()))
+    numbers = scratch.cut(read.join(one, ["h", "r"]).select("clean_addr", "postal", "sig"))
+    scratch.drop(read)
+    each = one.select("sig", F.posexplode("r").alias("at", "x")).select("sig", "x.*", (F.col("at") == 0).alias("first"))
     distinct = scratch.cut(with_towns(each))
-    return read.select("clean_addr", "postal", "sig"), distinct
+    scratch.drop(one)
+    return numbers, distinct
 
 
 def with_towns(readings: DataFrame, least: int = 2) -> DataFrame:
@@ -260,8 +266,7 @@ def hashes(readings: DataFrame) -> DataFrame:
     Parts are both ends and, for short names, the letters in order, which two swapped letters leave as they are, and the
     name without one of its letters.
     """
-    rows = readings.select("sig", "sure", "direction", "kind", F.explode("houses").alias("house"), "streets", "places")
-    rows = rows.select("sig", "sure", "direction", "kind", "house", F.explode("streets").alias("street"), "places")
+    rows = readings.select("sig", "sure", "direction", "kind", "house", F.explode("streets").alias("street"), "places")
     letters = F.array_join(F.array_sort(F.split("street", "")), "")
     ends = F.array_compact(
         F.array(F.concat(F.lit("<"), F.substring("street", 1, 3)), F.concat(F.lit(">"), F.expr("right(street, 3)")), F.when(F.length("street") <= 8, letters))
@@ -270,16 +275,19 @@ def hashes(readings: DataFrame) -> DataFrame:
     without = F.expr("transform(sequence(1, length(street)), i -> concat('-', left(street, i - 1), substr(street, i + 1)))")
     short = F.when(F.length("street") <= 6, F.array_distinct(F.concat(F.array(F.concat(F.lit("-"), "street")), without))).otherwise(F.array().cast("array<string>"))
     rows = rows.select("sig", "sure", "direction", "kind", "house", "street", F.explode("places").alias("place"), F.concat(ends, short).alias("ends"))
-    return rows.select("sig", "sure", "direction", "kind", "street", F.explode(F.transform("ends", lambda e: F.xxhash64("house", e, "place"))).alias("h"))
+    return rows.select("sig", "sure", "direction", "kind", "house", "street", F.explode(F.transform("ends", lambda e: F.xxhash64("house", e, "place"))).alias("h"))
 
 
 def same_building(readings: DataFrame) -> DataFrame:
-    """``a < b``: numbers of readings of the same building: any two that agree, one of them at least a sure one."""
+    """``a < b``: numbers of readings of the same building: any two that agree, one of them at least a sure one.
+
+    Readings meet by any equal hash; those with other house numbers, directions or street types are rejected.
+    """
     left = hashes(readings)
-    cols = {c: f"{c}2" for c in ("sig", "sure", "direction", "kind", "street")}
+    cols = {c: f"{c}2" for c in ("sig", "sure", "direction", "kind", "house", "street")}
     right = left.withColumnsRenamed(cols)
     met = left.join(right, "h").where((F.col("sig") < F.col("sig2")) & (F.col("sure") | F.col("sure2")))
-    kept = met.where(no_conflict("direction", "direction2") & no_conflict("kind", "kind2") & same_street(F.col("street"), F.col("street2")))
+    kept = met.where((F.col("house") == F.col("house2")) & no_conflict("direction", "direction2") & no_conflict("kind", "kind2") & same_street(F.col("street"), F.col("street2")))
     return kept.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct()
 
 

@@ -28,7 +28,7 @@ BRANCHES = 20  #: businesses of an organisation up to which a record without add
 ROUNDS = 100  #: a bound for circles that never settle; reached, it is reported
 CHANGE = 0.002  #: largest change of a probability at which the messages have converged
 KEEP = 0.2  #: share of the old message that is kept, which calms circles of competitors
-FAINT = -12.0  #: log-odds below which a pair is settled: its competition changes no other pair by more than 1 in 100,000
+FAINT = -12.0  #: log-odds below which a pair hears no messages; its competition, summed up with that of all others of its kind, counts
 CLIP = 30.0
 
 FEATURES = (
@@ -39,112 +39,135 @@ FEATURES = (
 PRIOR = (3.0, 2.0, 1.5, 0.0, 0.5, -0.5, 2.0, 1.0, -3.0, 0.0, 0.5, -0.3, 0.5, 3.0, 2.0, 3.0, -5.0)
 
 
-def described(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Records with what is read from name and address, and the links between readings of one building."""
+#: An entity's records that differ in name or address are versions of it: ``ent`` is the entity's number, ``row`` the version's.
+COLUMNS = ("row", "ent", "own", "core", "org", "branches", "trades", "sig", "site", "house", "places", "code")
+
+
+def described(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records with what is read from name and address (COLUMNS), ``ent, entity_id``, and the links between readings of one building."""
     rows = records.where("entity_id <> ''").select(
         "entity_id", F.coalesce("clean_name", F.lit("")).alias("clean_name"), F.coalesce("clean_addr", F.lit("")).alias("clean_addr"), F.coalesce("postal", F.lit("")).alias("postal")
     )
     numbers, readings = distinct_readings(rows, scratch)
-    # From here on a record is its name and the number of its address's reading.
-    slim = scratch.cut(rows.join(numbers, ["clean_addr", "postal"], "left").select("entity_id", "clean_name", "sig").distinct())
+    # From here on a record is its name and the number of its address's readings.
+    slim = rows.join(numbers, ["clean_addr", "postal"], "left").select("entity_id", "clean_name", "sig").repartition("entity_id").distinct()
+    slim = slim.withColumn("row", F.monotonically_increasing_id()).withColumn("ent", F.min("row").over(W.partitionBy("entity_id")))
+    slim = scratch.cut(slim)
     links = scratch.cut(same_building(readings))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     lowest = both.groupBy("a").agg(F.min("b").alias("low"))
-    sites = readings.where("first").join(lowest, F.col("sig") == F.col("a"), "left").select(
-        "sig", F.least("sig", F.coalesce("low", "sig")).alias("site"), F.col("houses")[0].alias("house"), "places", "code"
-    )
+    sites = readings.where("first").join(lowest, F.col("sig") == F.col("a"), "left").select("sig", F.least("sig", F.coalesce("low", "sig")).alias("site"), "house", "places", "code")
     orgs = organisations(distinct_names(slim), scratch)
-    out = slim.join(sites, "sig", "left").join(orgs, "clean_name", "left")
-    out = out.withColumn("words", F.split("core", " ")).select("entity_id", "words", "core", "org", "trades", "sig", "site", "house", "places", "code")
-    return scratch.cut(out.withColumn("row", F.xxhash64("entity_id", "core", "sig"))), links
+    out = slim.join(sites, "sig", "left").join(orgs, "clean_name", "left").withColumn("own", F.col("entity_id").startswith("S1-"))
+    out = scratch.cut(out.drop("clean_name", "entity_id"))
+    branches = out.where("own AND org IS NOT NULL").groupBy("org").agg(F.count_distinct("ent").alias("branches"))
+    described = scratch.cut(out.join(branches, "org", "left").withColumn("branches", F.coalesce("branches", F.lit(0))).select(*COLUMNS))
+    scratch.drop(out, readings)
+    return described, slim.where("row = ent").select("ent", "entity_id"), links
+
+
+def words(core: Column) -> Column:
+    return F.split(core, " ")
 
 
 def candidates(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """``ra, rb``: rows of source 1 and of other sources that share an organisation and a place, or a building."""
-    own = F.col("entity_id").startswith("S1-")
-    one, other = rows.where(own), rows.where(~own)
-    a = lambda *c: one.select(F.col("row").alias("ra"), *c)
-    b = lambda *c: other.select(F.col("row").alias("rb"), *c)
-    house = a("org", "house").join(b("org", "house"), ["org", "house"])
-    place = a("org", F.explode("places").alias("place")).join(b("org", F.explode("places").alias("place")), ["org", "place"])
-    # Without an address only the name speaks; organisations of more than BRANCHES businesses are left to ``crowded``.
-    few = one.groupBy("org").agg(F.count_distinct("entity_id").alias("n")).where(F.col("n") <= BRANCHES).select("org")
-    bare = a("org").join(few, "org", "left_semi").join(other.where("sig IS NULL").select(F.col("row").alias("rb"), "org"), "org")
-    lost = one.where("sig IS NULL").select(F.col("row").alias("ra"), "org").join(b("org"), "org")
-    # At one building, a name that shares the beginning or end of a word, or no name on a side; not all pairs of the building.
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    here = one.select("sig").where("sig IS NOT NULL").distinct().select(F.col("sig").alias("mine"), "sig")
-    near = here.unionByName(here.select("mine").join(both, F.col("mine") == F.col("a")).select("mine", F.col("b").alias("sig")))
-    ends = lambda r: F.when(F.size(r) > 0, F.array_distinct(F.flatten(F.transform(r, lambda w: F.array(F.substr(w, F.lit(1), F.lit(4)), F.right(w, F.lit(4)))))))
-    spread = near.join(other.where("core IS NOT NULL").select(F.col("row").alias("rb"), "sig", F.explode(ends(F.col("words"))).alias("end")), "sig")
-    alike = one.where("core IS NOT NULL").select(F.col("row").alias("ra"), F.col("sig").alias("mine"), F.explode(ends(F.col("words"))).alias("end")).join(spread, ["mine", "end"])
-    blank = a(F.col("sig").alias("mine")).join(near.join(other.where("core IS NULL").select(F.col("row").alias("rb"), "sig"), "sig"), "mine")
-    mute = one.where("core IS NULL").select(F.col("row").alias("ra"), F.col("sig").alias("mine")).join(near, "mine").join(b("sig"), "sig")
-    built = alike.select("ra", "rb").unionByName(blank.select("ra", "rb")).unionByName(mute.select("ra", "rb")).distinct().withColumn("built", F.lit(1))
-    named = house.select("ra", "rb").unionByName(place.select("ra", "rb")).unionByName(bare.select("ra", "rb")).unionByName(lost.select("ra", "rb")).distinct()
-    return scratch.cut(named.join(built, ["ra", "rb"], "full").select("ra", "rb", F.coalesce("built", F.lit(0)).alias("built")))
-
-
-def crowded(rows: DataFrame, weights: tuple[float, ...], scratch: Scratch) -> DataFrame:
-    """``a, c, site, logit`` of records without address whose organisation has more than BRANCHES businesses.
-
-    Their odds depend on core, words and trades alone, so these states are weighed once for all their records.  The best states
-    with up to BRANCHES businesses together are joined back; all others count with their number, as one competitor of the
-    empty id: each of them has as many rivals at least as likely, so none is above a confidence of 1 / (BRANCHES + 1).
+    """``ra, rb, built``: rows of source 1 and of other sources that share an organisation and a place, or (built) a building.
+
+    Both sides list keys, and equal keys meet.  Of an organisation: its number with the house number, and with each place; without an
+    address only the name speaks, and organisations of more than BRANCHES businesses are left to ``crowded``.  At a
+    building: the beginning and end of a word of the name, or no name on a side, not all pairs of the building.
+    """
+    c = F.col
+    hashed = lambda kind, *parts: F.xxhash64(F.lit(kind), *parts)
+    when = lambda cond, key: F.when(cond, F.array(key)).otherwise(F.array().cast("array<bigint>"))
+    named, placed = c("org").isNotNull(), c("sig").isNotNull()
+    ends = F.array_distinct(F.flatten(F.transform(words(c("core")), lambda w: F.array(F.substr(w, F.lit(1), F.lit(4)), F.right(w, F.lit(4))))))
+
+    def by_name(more: Column) -> Column:
+        places = F.when(named & placed, F.transform("places", lambda p: hashed("place", "org", p))).otherwise(F.array().cast("array<bigint>"))
+        return F.concat(when(named & placed, hashed("house", "org", "house")), places, more)
+
+    def by_building(at: Column, bare: Column, any_: Column) -> Column:
+        return F.when(c("core").isNotNull(), F.concat(F.transform(ends, lambda e: hashed("end", at, e)), F.array(any_))).otherwise(F.array(bare))
+
+    one, other = rows.where("own"), rows.where("NOT own")
+    alone, every, nameless, all_ = (lambda *p: hashed("alone", *p)), (lambda *p: hashed("every", *p)), (lambda *p: hashed("nameless", *p)), (lambda *p: hashed("all", *p))
+    near_by = links.unionByName(links.select(c("b").alias("a"), c("a").alias("b"))).select(c("a").alias("sig"), c("b").alias("at"))
+    here = one.where(placed).select("row", "sig", "core")
+    around = here.withColumn("at", c("sig")).unionByName(here.join(near_by, "sig"))
+    mine = one.select("row", F.lit(None).cast("long").alias("at"), F.explode(by_name(F.concat(when(named & (c("branches") <= BRANCHES), alone("org")), when(named & ~placed, every("org"))))).alias("key"))
+    mine = mine.unionByName(around.select("row", "at", F.explode(by_building(c("at"), all_("at"), nameless("at"))).alias("key")))
+    theirs = other.select("row", F.lit(None).cast("long").alias("there"), F.explode(by_name(F.concat(when(named & ~placed, alone("org")), when(named, every("org"))))).alias("key"))
+    at_place = F.concat(by_building(c("sig"), nameless("sig"), all_("sig")))
+    theirs = theirs.unionByName(other.where(placed).select("row", c("sig").alias("there"), F.explode(at_place).alias("key")))
+    met = mine.withColumnRenamed("row", "ra").join(theirs.withColumnRenamed("row", "rb"), "key").where("at <=> there")
+    return met.groupBy("ra", "rb").agg(F.max(c("at").isNotNull().cast("int")).alias("built"))
+
+
+def crowded(rows: DataFrame, weights: tuple[float, ...], scratch: Scratch) -> DataFrame | None:
+    """``a, c, site, logit`` of records without address whose organisation has more than BRANCHES businesses; None if there is none.
+
+    Their odds depend on core and trades alone, so these states are weighed once for all their records.  The best states
+    with up to BRANCHES businesses together are joined back; all others count with their number, as one competitor of
+    a number of its own: each of them has as many rivals at least as likely, so none is above a confidence of 1 / (BRANCHES + 1).
     """
-    own = F.col("entity_id").startswith("S1-")
-    state = ["org", "core", "words", "trades"]
-    many = rows.where(own & F.col("org").isNotNull()).groupBy("org").agg(F.count_distinct("entity_id").alias("k")).where(F.col("k") > BRANCHES).select("org")
+    state = ["org", "core", "trades"]
+    other = scratch.cut(rows.where(f"NOT own AND sig IS NULL AND branches > {BRANCHES}"))
+    if other.isEmpty():
+        return None
     # A record of source 1 without address meets all others of its organisation already.
-    one = rows.where(own & F.col("sig").isNotNull()).join(many, "org", "left_semi")
-    other = rows.where(~own & F.col("sig").isNull()).join(many, "org", "left_semi")
-    mine = scratch.cut(one.groupBy(*state).agg(F.min("row").alias("ra"), F.count_distinct("entity_id").alias("n")))
+    one = rows.where(f"own AND sig IS NOT NULL AND branches > {BRANCHES}").join(other.select("org").distinct(), "org", "left_semi")
+    mine = scratch.cut(one.groupBy(*state).agg(F.min("row").alias("ra"), F.count_distinct("ent").alias("n")))
     theirs = scratch.cut(other.groupBy(*state).agg(F.min("row").alias("rb")))
     pairs = mine.select("org", "ra").join(theirs.select("org", "rb"), "org").select("ra", "rb", F.lit(0).alias("built"))
     weighed = features(pairs, rows).select("ra", "rb", log_odds(weights).alias("logit")).join(mine.select("ra", "n"), "ra")
     ranked = scratch.cut(weighed.withColumn("upto", F.sum("n").over(W.partitionBy("rb").orderBy(F.desc("logit")).rangeBetween(W.unboundedPreceding, 0))))
-    a = one.join(mine, state).select("ra", F.col("entity_id").alias("a")).distinct()
-    c = other.join(theirs, state).select("rb", F.col("entity_id").alias("c")).distinct()
+    a = one.join(mine, state).select("ra", F.col("ent").alias("a")).distinct()
+    c = other.join(theirs, state).select("rb", F.col("ent").alias("c")).distinct()
     best = ranked.where(F.col("upto") <= BRANCHES).select("ra", "rb", "logit").join(a, "ra").join(c, "rb")
     rest = ranked.where(F.col("upto") > BRANCHES).groupBy("rb").agg(F.log(F.sum(F.col("n") * F.exp("logit"))).alias("logit")).join(c, "rb")
     site = F.lit(None).cast("long").alias("site")
-    return best.select("a", "c", site, "logit").unionByName(rest.select(F.lit("").alias("a"), "c", site, "logit"))
+    return best.select("a", "c", site, "logit").unionByName(rest.select((-1 - F.col("c")).alias("a"), "c", site, "logit"))
 
 
 def log_odds(weights: tuple[float, ...]) -> Column:
-    return sum((F.col(k) * w for k, w in zip(FEATURES, weights)), F.lit(weights[-1]))
+    """Of ``flags``: bit i is feature i."""
+    return sum((F.when(F.col("flags").bitwiseAND(F.lit(1 << i)) != 0, w).otherwise(0.0) for i, w in enumerate(weights[:-1])), F.lit(weights[-1]))
 
 
 def features(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    cols = ("entity_id", "words", "core", "org", "trades", "sig", "site", "house", "places", "code")
+    """``ra, rb, a, c, site, flags``: the entities of a pair, the building of the other record, and FEATURES as bits."""
+    cols = ("ent", "core", "org", "trades", "sig", "site", "house", "places", "code")
     side = lambda s: rows.select(F.col("row").alias(f"r{s}"), *[F.col(c).alias(f"{c}_{s}") for c in cols])
     p = pairs.join(side("a"), "ra").join(side("b"), "rb")
     c = F.col
-    flag = lambda x: F.coalesce(x, F.lit(False)).cast("double")
     named = c("core_a").isNotNull() & c("core_b").isNotNull()
     placed = c("sig_a").isNotNull() & c("sig_b").isNotNull()
     same_org = c("org_a") == c("org_b")
     trades = (F.size("trades_a") > 0) & (F.size("trades_b") > 0)
     codes = (c("code_a") != "") & (c("code_b") != "")
-    close = F.levenshtein("core_a", "core_b") * 4 <= F.greatest(F.length("core_a"), F.length("core_b"))
+    most = F.floor(F.greatest(F.length("core_a"), F.length("core_b")) / 4)
+    close = F.levenshtein("core_a", "core_b") <= most
     no_name, no_address, built = ~named, ~placed, c("built") == 1
     f = {
-        "same_org": same_org, "close_name": ~F.coalesce(same_org, F.lit(False)) & close, "shared_word": F.arrays_overlap("words_a", "words_b"), "no_name": no_name,
+        "same_org": same_org, "close_name": ~F.coalesce(same_org, F.lit(False)) & close, "shared_word": F.arrays_overlap(words(c("core_a")), words(c("core_b"))), "no_name": no_name,
         "same_trade": trades & F.arrays_overlap("trades_a", "trades_b"), "other_trade": trades & ~F.arrays_overlap("trades_a", "trades_b"),
         "same_building": built, "same_house": c("house_a") == c("house_b"), "other_house": c("house_a") != c("house_b"), "no_address": no_address,
         "same_code": codes & (c("code_a") == c("code_b")), "other_code": codes & (c("code_a") != c("code_b")), "shared_place": F.arrays_overlap("places_a", "places_b"),
         "org_and_building": same_org & built, "org_no_address": same_org & no_address, "building_no_name": built & no_name,
     }
-    return p.select("ra", "rb", c("entity_id_a").alias("a"), c("entity_id_b").alias("c"), c("site_b").alias("site"), *[flag(f[k]).alias(k) for k in FEATURES])
+    flags = sum((F.when(f[k], 1 << i).otherwise(0) for i, k in enumerate(FEATURES)), F.lit(0))
+    return p.select("ra", "rb", c("ent_a").alias("a"), c("ent_b").alias("c"), c("site_b").alias("site"), flags.alias("flags"))
 
 
 def fit(labelled: DataFrame, most: int = TRAIN_PAIRS, ridge: float = 1.0, steps: int = 30) -> tuple[float, ...]:
     """Weights of FEATURES and a constant, by Newton's method on ``most`` labelled pairs at most, the first in hash order."""
-    sample = labelled.orderBy(F.xxhash64("a", "c")).limit(most).select(*FEATURES, "label").toPandas()
+    sample = labelled.orderBy(F.xxhash64("a", "c")).limit(most).select("flags", "label").toPandas()
     y = sample["label"].to_numpy(float)
     if len(y) == 0 or y.min() == y.max():
         return PRIOR
-    x = np.hstack([sample[list(FEATURES)].to_numpy(float), np.ones((len(y), 1))])
+    bits = sample["flags"].to_numpy(np.int64)[:, None] >> np.arange(len(FEATURES)) & 1
+    x = np.hstack([bits.astype(float), np.ones((len(y), 1))])
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -CLIP, CLIP)))
@@ -169,20 +192,27 @@ def propagate(pairs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, change:
     """``a, c, confidence`` from ``a, c, site, logit``.
 
     Factors: of the pairs of a ``c`` one at most is true; the true pairs of an ``a`` are all at one ``site`` (pairs
-    without a site fit any).  Only pairs with a competitor take part; the others, and pairs below FAINT,
-    keep their own probability.
+    without a site fit any).  Messages pass between pairs with a competitor.  The others, and pairs below FAINT, keep their own
+    odds, but the odds of faint pairs are summed up, for each ``c`` and for the other sites of each ``a``, and count against all pairs there.
     """
+    odds_of = F.sum(F.exp("logit"))
+    faint = pairs.where(F.col("logit") < FAINT)
     strong = pairs.where(F.col("logit") >= FAINT)
-    of_c = strong.groupBy("c").agg(F.count(F.lit(1)).alias("rivals"))
-    of_a = strong.where("site IS NOT NULL").groupBy("a").agg((F.min("site") != F.max("site")).alias("spread"))
-    marked = strong.join(of_c, "c").join(of_a, "a", "left").withColumn("live", (F.col("rivals") > 1) | F.coalesce("spread", F.lit(False)))
-    marked = scratch.cut(marked.select("a", "c", "site", "logit", "live"))
-    live = marked.where("live").select("a", "c", "site", "logit", F.lit(0.0).alias("from_c"), F.lit(0.0).alias("from_a"))
+    of_c = pairs.groupBy("c").agg(F.count_if(F.col("logit") >= FAINT).alias("rivals"), F.sum(F.when(F.col("logit") < FAINT, F.exp("logit")).otherwise(0.0)).alias("faint_c"))
+    here = F.when(F.col("logit") >= FAINT, F.col("site"))
+    of_a = pairs.where("site IS NOT NULL").groupBy("a").agg((F.min(here) != F.max(here)).alias("spread"), F.sum(F.when(F.col("logit") < FAINT, F.exp("logit")).otherwise(0.0)).alias("faint_a"))
+    of_site = faint.where("site IS NOT NULL").groupBy("a", "site").agg(odds_of.alias("faint_here"))
+    marked = strong.join(of_c, "c").join(of_a, "a", "left").join(of_site, ["a", "site"], "left")
+    elsewhere = F.greatest(F.coalesce("faint_a", F.lit(0.0)) - F.coalesce("faint_here", F.lit(0.0)), F.lit(0.0))
+    elsewhere = F.when(F.col("site").isNull(), 0.0).otherwise(elsewhere)
+    marked = marked.select("a", "c", "site", "logit", "faint_c", elsewhere.alias("faint_a"), ((F.col("rivals") > 1) | F.coalesce("spread", F.lit(False))).alias("live"))
+    marked = scratch.cut(marked)
+    live = marked.where("live").select("a", "c", "site", "logit", "faint_c", "faint_a", F.lit(0.0).alias("from_c"), F.lit(0.0).alias("from_a"))
     for _ in range(rounds):
         # One owner of c: the message is -log(1 + odds of all other pairs of c).
         x = live.withColumn("x", F.exp(F.least(F.col("logit") + F.col("from_a"), F.lit(CLIP))))
         sums = x.groupBy("c").agg(F.sum("x").alias("all"))
-        step = x.join(sums, "c").withColumn("to", -F.log1p(F.greatest(F.col("all") - F.col("x"), F.lit(0.0))))
+        step = x.join(sums, "c").withColumn("to", -F.log1p(F.greatest(F.col("all") - F.col("x"), F.lit(0.0)) + F.col("faint_c")))
         step = step.withColumn("new_c", F.col("to") * (1 - KEEP) + F.col("from_c") * KEEP).drop("x", "all", "to")
         # One site of a: A weighs the pair's own site without it, B all other sites.
         y = step.withColumn("g", log1pexp(F.col("logit") + F.col("new_c")))
@@ -190,11 +220,11 @@ def propagate(pairs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, change:
         own = y.where("site IS NOT NULL").groupBy("a", "site").agg(F.sum("g").alias("own"))
         whole = own.groupBy("a").agg(F.sum(odds(F.col("own"))).alias("whole"))
         z = y.join(own.join(whole, "a"), ["a", "site"], "left")
-        others = F.greatest(F.col("whole") - odds(F.col("own")), F.lit(0.0))
+        others = F.greatest(F.col("whole") - odds(F.col("own")), F.lit(0.0)) + F.col("faint_a")
         to = F.when(F.col("site").isNull(), 0.0).otherwise(-F.log1p(others * F.exp(-F.least(F.col("own") - F.col("g"), F.lit(2 * CLIP)))))
         new = z.withColumn("new_a", to * (1 - KEEP) + F.col("from_a") * KEEP)
         moved = F.abs(sigmoid(F.col("logit") + F.col("new_a") + F.col("new_c")) - sigmoid(F.col("logit") + F.col("from_a") + F.col("from_c")))
-        new = scratch.cut(new.select("a", "c", "site", "logit", F.col("new_c").alias("from_c"), F.col("new_a").alias("from_a"), moved.alias("moved")))
+        new = scratch.cut(new.select("a", "c", "site", "logit", "faint_c", "faint_a", F.col("new_c").alias("from_c"), F.col("new_a").alias("from_a"), moved.alias("moved")))
         scratch.drop(live)
         live = new
         top = live.agg(F.max("moved")).first()[0]
@@ -203,7 +233,8 @@ def propagate(pairs: DataFrame, scratch: Scratch, rounds: int = ROUNDS, change:
     else:
         warnings.warn(f"beliefs still move by {top:.4f} after {rounds} rounds", RuntimeWarning, stacklevel=2)
     total = live.select("a", "c", (F.col("logit") + F.col("from_a") + F.col("from_c")).alias("logit"))
-    settled = marked.where("NOT live").select("a", "c", "logit").unionByName(pairs.where(F.col("logit") < FAINT).select("a", "c", "logit"))
+    alone = F.col("logit") - F.log1p("faint_c") - F.log1p("faint_a")
+    settled = marked.where("NOT live").select("a", "c", alone.alias("logit")).unionByName(faint.select("a", "c", "logit"))
     return settled.unionByName(total).select("a", "c", sigmoid(F.col("logit")).alias("confidence"))
 
 
@@ -216,12 +247,20 @@ def match_records(records: DataFrame, labels: DataFrame) -> DataFrame:
     delivered more than once counts with its best version.  Extra columns are ignored.
     """
     scratch = Scratch(records.sparkSession, "matching")
-    rows, links = described(records, scratch)
+    rows, entities, links = described(records, scratch)
     pairs = scratch.cut(features(candidates(rows, links, scratch), rows).drop("ra", "rb"))
-    known = labels.select(clean_id(F.col("source1_entity_id")).alias("a"), list_ids(F.col("matched_entity_ids")).alias("ids")).where("a <> ''")
-    true = known.select("a", F.explode("ids").alias("c")).select("a", clean_id(F.col("c")).alias("c"), F.lit(1).alias("label")).distinct()
+    scratch.drop(links)
+    known = labels.select(clean_id(F.col("source1_entity_id")).alias("entity_id"), list_ids(F.col("matched_entity_ids")).alias("ids")).where("entity_id <> ''")
+    known = known.join(entities, "entity_id").select(F.col("ent").alias("a"), "ids")
+    true = known.select("a", F.explode("ids").alias("c")).select("a", clean_id(F.col("c")).alias("entity_id")).join(entities, "entity_id")
+    true = true.select("a", F.col("ent").alias("c"), F.lit(1).alias("label")).distinct()
     labelled = pairs.join(known.select("a").distinct(), "a", "left_semi").join(true, ["a", "c"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
     weights = fit(labelled)
-    scored = pairs.select("a", "c", "site", log_odds(weights).alias("logit")).unionByName(crowded(rows, weights, scratch)).groupBy("a", "c").agg(F.max_by(F.struct("logit", "site"), "logit").alias("x")).select("a", "c", "x.site", "x.logit")
-    beliefs = propagate(scored, scratch).where("a <> ''")
-    return beliefs.select(F.col("a").alias("source1_entity_id"), F.col("c").alias("candidate_entity_id"), "confidence")
+    scored = pairs.select("a", "c", "site", log_odds(weights).alias("logit"))
+    more = crowded(rows, weights, scratch)
+    scored = scored if more is None else scored.unionByName(more)
+    scored = scratch.cut(scored.groupBy("a", "c").agg(F.max_by("site", "logit").alias("site"), F.max("logit").alias("logit")))
+    scratch.drop(pairs)
+    beliefs = propagate(scored, scratch).where("a >= 0")
+    one, other = (entities.select(F.col("ent").alias(k), F.col("entity_id").alias(name)) for k, name in (("a", "source1_entity_id"), ("c", "candidate_entity_id")))
+    return beliefs.join(one, "a").join(other, "c").select("source1_entity_id", "candidate_entity_id", "confidence")

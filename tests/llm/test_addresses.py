@@ -20,9 +20,9 @@ READ = {
 
 @pytest.mark.parametrize("text", READ)
 def test_readings(text):
-    houses, streets, direction, kind, _, _ = read_address(text, "")
+    number, streets, direction, kind, _, _ = read_address(text, "")
     house, street, d, k = READ[text]
-    assert house in houses and street in streets and (direction, kind) == (d, k)
+    assert house == number and street in streets and (direction, kind) == (d, k)
 
 
 @pytest.mark.parametrize("text", ["", None, "n a", "falls", "12345", "suite 5", "x" * 5000, "1 " * 3000])
