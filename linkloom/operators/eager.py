@@ -44,7 +44,6 @@ def eager_join_aggregate(
     left_distinct: str | None = None,
     right_distinct: str | None = None,
     how: str = "inner",
-    right_is_one_row: bool = False,
 ) -> DataFrame:
     """Aggregates of ``left JOIN right ON on``, grouped ``by`` columns of the join key (all of it by
     default) and ``left_by``, further columns of the left input.
@@ -53,21 +52,20 @@ def eager_join_aggregate(
     join), and for each summed column ``left_sum_x``/``right_sum_x``, its sum over the rows of the join
     (0 where all its values are null).
     left_distinct, right_distinct: count each value of this column once per key (see ``key_state``).
-    how: ``inner`` or ``left``; with ``left`` a key without partner keeps its ``left_n`` and has 0 pairs.
-    right_is_one_row: the right input has one join key at most, so its state is one row and is broadcast.
+    how: ``inner``, ``left`` or ``full``; a key without partner that is kept has 0 pairs.
     Empty inputs give no rows.  Other columns of the inputs are not read, so clashing names do no harm.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how is inner or left")
+    if how not in ("inner", "left", "full"):
+        raise ValueError("how is inner, left or full")
     a = key_state(left, [*on, *left_by], left_sums, left_distinct, "left_")
     b = key_state(right, on, right_sums, right_distinct, "right_")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    joined = a.join(F.broadcast(b) if right_is_one_row else b, list(on), how)
-    out = {"left_n": F.col("left_n"), "right_n": zero("right_n"), "pairs": F.col("left_n") * zero("right_n")}
+    joined = a.join(b, list(on), how)
+    out = {"left_n": zero("left_n"), "right_n": zero("right_n"), "pairs": zero("left_n") * zero("right_n")}
     for c in left_sums:
         out[f"left_sum_{c}"] = zero(f"left_sum_{c}") * zero("right_n")
     for c in right_sums:
-        out[f"right_sum_{c}"] = zero(f"right_sum_{c}") * F.col("left_n")
+        out[f"right_sum_{c}"] = zero(f"right_sum_{c}") * zero("left_n")
     states = joined.select(*on, *left_by, *[v.alias(k) for k, v in out.items()])
     groups = [*(on if by is None else by), *left_by]
     if len(groups) == len(on) + len(left_by):
@@ -80,15 +78,16 @@ def heavy_keys(df: DataFrame, on: Sequence[str], count_once: str, share: float)
 
     Adds ``n`` (distinct values of the key) and ``total`` (distinct values of the table, also of rows whose
     key is null or empty).  Keys with a null or empty part are left out; they are compared as they stand.
-    It is the join of the table with all its distinct values (n * total rows for a key), grouped by
-    key: ``eager_join_aggregate`` joins the keys' counts with the one row of the total instead.
+
+    Two inputs are reduced by key and their states joined: the values of each full key, and every value once under
+    one of its keys, whichever (a null part as '').  The second input's counts, rolled up over all keys, are the total; no
+    state is ever larger than one row a key, however the values are spread.
     """
     full = reduce(lambda a, b: a & b, [F.col(f"`{c}`") != "" for c in on])
-    left = df.where(full).select(*on, count_once, F.lit(1).alias("__all"))
-    total = df.select(count_once, F.lit(1).alias("__all"))
-    joined = eager_join_aggregate(
-        left, total, ["__all"], by=["__all"], left_by=on, left_distinct=count_once, right_distinct=count_once, right_is_one_row=True
-    )
-    return joined.where(F.col("left_n") >= F.lit(share) * F.col("right_n")).select(
-        *on, F.col("left_n").alias("n"), F.col("right_n").alias("total")
-    )
+    left = df.where(full).select(*on, count_once)
+    at = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in on]
+    once = df.where(F.col(f"`{count_once}`").isNotNull()).select(*at, count_once).dropDuplicates([count_once])
+    states = eager_join_aggregate(left, once, on, left_distinct=count_once, how="full")
+    total = F.coalesce(states.agg(F.sum("right_n")).scalar(), F.lit(0))
+    kept = states.where((F.col("left_n") > 0) & (F.col("left_n") >= F.lit(share) * total))
+    return kept.select(*on, F.col("left_n").alias("n"), total.alias("total"))
