@@ -20,11 +20,12 @@ ADDRESS_WORDS = {
     "fl": "floor", "nr": "near", "opp": "opposite", "bldg": "building", "dist": "district", "ctr": "center",
     "intl": "international", "no": "number",
 }
-COMMON_FIRST_WORDS = (
-    "the a an new old national global international american general united first best top prime great good super mega metro city "
-    "state central north south east west royal golden blue green red white black star sun sky land home world modern standard "
-    "professional premium elite alpha omega apex delta sigma shri sri m s r k"
-).split()
+COMMON_FIRST_WORDS = [
+    "the", "a", "an", "new", "old", "national", "global", "international", "american", "general", "united", "first", "best", "top",
+    "prime", "great", "good", "super", "mega", "metro", "city", "state", "central", "north", "south", "east", "west", "royal",
+    "golden", "blue", "green", "red", "white", "black", "star", "sun", "sky", "land", "home", "world", "modern", "standard",
+    "professional", "premium", "elite", "alpha", "omega", "apex", "delta", "sigma", "shri", "sri", "m", "s", "r", "k",
+]
 
 
 def fold_text(x: str | None) -> str | None:

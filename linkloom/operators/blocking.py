@@ -59,14 +59,14 @@ def block_sizes(candidate_keys: DataFrame) -> DataFrame:
     return candidate_keys.groupBy("kind", "country_lc", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def capped_block_join(left: DataFrame, right: DataFrame, cap: int) -> DataFrame:
+def capped_block_join(left: DataFrame, right: DataFrame, cap: int | None) -> DataFrame:
     """Distinct ``source1_entity_id``, ``candidate_entity_id`` with an equal key, over keys of at most ``cap`` candidate rows.
 
-    The cap is part of the operator's meaning: a larger block is left out as a whole, never cut.
+    The cap is part of the operator's meaning: a larger block is left out as a whole, never cut.  None is the exact
+    way: every block counts.
     """
     on = ["kind", "country_lc", "key"]
-    valid = block_sizes(right).where(F.col("n") <= cap).select(*on)
-    kept = right.join(valid, on, "left_semi")
+    kept = right if cap is None else right.join(block_sizes(right).where(F.col("n") <= cap).select(*on), on, "left_semi")
     pairs = left.withColumnRenamed("entity_id", "source1_entity_id").join(kept.withColumnRenamed("entity_id", "candidate_entity_id"), on)
     return pairs.select("source1_entity_id", "candidate_entity_id").distinct()
 
@@ -77,6 +77,15 @@ def collapse_ids(pairs: DataFrame, every: DataFrame, out: str = "matched_entity_
     return every.join(lists, "source1_entity_id", "left").withColumn(out, X.text(F.col(out)))
 
 
+def in_order(lists: DataFrame, every: DataFrame, position: str) -> DataFrame:
+    """The lists in the order of their records in the input, which ``position`` of ``every`` gives; the smallest counts.
+
+    The sort is by ranges, over all tasks; written, the files follow each other in that order.
+    """
+    first = every.groupBy("source1_entity_id").agg(F.min(position).alias("__at"))
+    return lists.join(first, "source1_entity_id", "left").orderBy(F.col("__at").asc_nulls_last(), "source1_entity_id").drop("__at")
+
+
 def cap_pairs(pairs: DataFrame, cap: int | None) -> DataFrame:
     """The first ``cap`` pairs in order of their ids."""
     return pairs if cap is None else pairs.orderBy("source1_entity_id", "candidate_entity_id").limit(cap)

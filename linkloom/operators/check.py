@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.functions import text as X
 from linkloom.operators.decide import parse_ids
-from linkloom.sources.records import read_lines
+from linkloom.runtime import Scratch
+from linkloom.sources.records import exists, read_ids, read_lines
 
 
 def raw_parts(c: Column) -> Column:
@@ -42,9 +42,10 @@ def extra_ids(required: DataFrame, lists: DataFrame) -> DataFrame:
     return lists.select("source1_entity_id").distinct().join(required.select("source1_entity_id"), "source1_entity_id", "left_anti")
 
 
-def unknown_ids(lists: DataFrame, known: DataFrame, column: str = "matched_entity_ids") -> DataFrame:
-    """Distinct (record, listed id) whose id no source holds."""
-    listed = lists.select("source1_entity_id", F.explode(parse_ids(F.col(column))).alias("entity_id")).distinct()
+def unknown_ids(lists: DataFrame, known: DataFrame, column: str = "matched_entity_ids", trimmed: bool = True) -> DataFrame:
+    """Distinct (record, listed id) whose id no source holds; not trimmed, only ids that begin like one of the sources are asked."""
+    ids = parse_ids(F.col(column)) if trimmed else F.filter(raw_parts(F.col(column)), lambda x: x.startswith("S2-") | x.startswith("S3-"))
+    listed = lists.select("source1_entity_id", F.explode(ids).alias("entity_id")).distinct()
     return listed.join(known.select("entity_id"), "entity_id", "left_anti").select("source1_entity_id", "entity_id")
 
 
@@ -62,18 +63,28 @@ def examples(ids: DataFrame, column: str, n: int = 5) -> DataFrame:
     return few.agg(F.count(F.lit(1)).alias("n_ids")).crossJoin(first)
 
 
-def validate_file(spark: SparkSession, path: str, header: tuple[str, str], required: DataFrame, known: DataFrame | None = None) -> tuple[list[str], DataFrame | None]:
+def validate_file(
+    spark: SparkSession, path: str, header: tuple[str, str], required: DataFrame, known: DataFrame | None = None, counts: dict[str, int] | None = None
+) -> tuple[list[str], DataFrame | None]:
     """Errors of a tab-separated list file, each with a number and a few examples, and its rows.
 
-    A missing or empty file, and a wrong header, end the check at once.
+    A missing or unreadable file, one that is empty or no UTF-8, and a wrong header, end the check at once.  Ids and
+    lists are taken as they stand, so white space around an id is an error.  counts receives ``rows`` and ``empty`` (lists).
     """
-    if not os.path.exists(path):
+    if not exists(spark, path):
         return [f"{path}: no such file"], None
-    lines = read_lines(spark, path)
+    scratch = Scratch(spark, "lists")
+    try:
+        lines = scratch.cut(read_lines(spark, path))
+    except Exception as e:  # noqa: BLE001 - whatever the file system says
+        return [f"{path}: cannot be read: {str(e).splitlines()[0]}"], None
+    broken = lines.where(~F.is_valid_utf8("value")).agg(F.min("line_no")).first()[0]
+    if broken is not None:
+        return [f"{path}: line {broken} is no UTF-8"], None
     first = lines.where("line_no = 1").first()
     if first is None:
         return [f"{path}: empty"], None
-    head = first.value.lstrip("﻿")
+    head = first.value.removeprefix("\ufeff")
     if "\t" not in head and "," in head:
         return ["the header is separated by commas, not tabs"], None
     if tuple(x.strip().lower() for x in head.split("\t")) != header:
@@ -84,8 +95,11 @@ def validate_file(spark: SparkSession, path: str, header: tuple[str, str], requi
     errors += [f"line {r.line_no}: no tab" for r in bare.limit(5).collect()]
     rest = F.substr("value", F.instr("value", "\t") + 1)
     rows = body.where(F.contains("value", F.lit("\t"))).select(
-        "line_no", F.trim(F.substring_index("value", "\t", 1)).alias("source1_entity_id"), F.trim(rest).alias(header[1])
+        "line_no", F.substring_index("value", "\t", 1).alias("source1_entity_id"), F.when(X.strip(rest) == "", F.lit("")).otherwise(rest).alias(header[1])
     )
+    rows = scratch.cut(rows)
+    if counts is not None:
+        counts.update(rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(header[1]) == "").alias("empty")).first().asDict())
 
     def report(what: str, found: DataFrame, column: str = "source1_entity_id") -> None:
         r = examples(found, column).first()
@@ -100,7 +114,7 @@ def validate_file(spark: SparkSession, path: str, header: tuple[str, str], requi
     report("records without a row", missing_ids(required, rows))
     report("rows of unknown records", extra_ids(required, rows))
     if known is not None:
-        report("unknown ids", unknown_ids(rows, known, header[1]), "entity_id")
+        report("unknown ids", unknown_ids(rows, known, header[1], trimmed=False), "entity_id")
     # A later row of a record replaces an earlier one.
     last = rows.groupBy("source1_entity_id").agg(F.max_by(header[1], "line_no").alias(header[1]))
     return errors, last
@@ -110,7 +124,7 @@ def validate(spark: SparkSession, matching: str, candidate: str | None, required
     """Errors and warnings of a result and its candidate lists."""
     errors, matches = validate_file(spark, matching, ("source1_entity_id", "matched_entity_ids"), required, known)
     warnings: list[str] = []
-    if candidate is None or not os.path.exists(candidate):
+    if candidate is None or not exists(spark, candidate):
         return errors, ["no candidate file: matches are not compared with candidates"]
     more, candidates = validate_file(spark, candidate, ("source1_entity_id", "candidate_entity_ids"), required, known)
     if matches is not None and candidates is not None:
@@ -118,3 +132,15 @@ def validate(spark: SparkSession, matching: str, candidate: str | None, required
         if r.n_ids:
             warnings.append(f"records with matches outside their candidates: {r.n_ids}, such as {r.examples}")
     return errors + more, warnings
+
+
+def validate_folder(spark: SparkSession, matching: str, candidate: str | None, test_dir: str, check_ids: bool = False) -> tuple[list[str], list[str]]:
+    """``validate`` against the records of ``test_dir``/test_source*.tsv; sources 2 and 3 are read only to check ids."""
+    source = lambda i: f"{test_dir}/test_source{i}.tsv"
+    if not exists(spark, source(1)):
+        return [f"{source(1)}: no such file"], []
+    required = read_ids(spark, source(1)).withColumnRenamed("entity_id", "source1_entity_id")
+    absent = [source(i) for i in (2, 3) if not exists(spark, source(i))] if check_ids else []
+    known = read_ids(spark, source(2)).unionByName(read_ids(spark, source(3))) if check_ids and not absent else None
+    errors, warnings = validate(spark, matching, candidate, required, known)
+    return errors, [f"{p} is absent: ids are not checked" for p in absent] + warnings

@@ -21,8 +21,8 @@ from linkloom.sources.records import first_rows, ids_of, normalize, records
 from linkloom.sources.tables import table
 
 QUERIES: dict = {}
-K = 5  #: neighbours in the queries
 THRESHOLD, MARGIN = 0.6, 0.1
+OPTIONS = Options()
 
 
 def query(f):
@@ -63,12 +63,13 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def proxy(spark, d) -> DataFrame:
-    """Scores without a model: the mean of three similarities of the block pairs of labelled records."""
+def proxy(spark, d, labelled: bool = False) -> DataFrame:
+    """Scores without a model: the mean of three similarities of the block pairs; labelled: of the labelled records, which evaluation needs."""
     left, right = sides(spark, d)
-    left = left.join(truth(spark, d).select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
+    if labelled:
+        left = left.join(truth(spark, d).select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
     scratch = Scratch(spark, "proxy")
-    pairs = scratch.cut(exact_blocks(left, right, 800))
+    pairs = scratch.cut(exact_blocks(left, right, OPTIONS.block_cap))
     f = build_features(pair_attributes(pairs, left, right))
     return scratch.cut(f.select("source1_entity_id", "candidate_entity_id", F.round((F.col("name_jaccard") + F.col("addr_jaccard") + F.col("postal_match")) / 3, 6).alias("prob")))
 
@@ -164,12 +165,12 @@ def block_sizes(spark, d):
 
 @query
 def block_valid_keys(spark, d):
-    return B.block_sizes(_long(spark, d)[1]).where("n <= 20").select("kind", "country_lc", "key")
+    return B.block_sizes(_long(spark, d)[1]).where(F.col("n") <= OPTIONS.block_cap).select("kind", "country_lc", "key")
 
 
 def _block(kind):
     def f(spark, d):
-        return B.capped_block_join(*_long(spark, d, (kind,)), 20)
+        return B.capped_block_join(*_long(spark, d, (kind,)), OPTIONS.block_cap)
 
     f.__name__ = f"block_{kind}"
     return query(f)
@@ -181,22 +182,40 @@ for _kind in B.KINDS:
 
 @query
 def exact_blocks_(spark, d):
-    return exact_blocks(*sides(spark, d), 800)
+    return exact_blocks(*sides(spark, d), OPTIONS.block_cap)
 
 
 @query
 def collapse_ids(spark, d):
     left, right = sides(spark, d)
-    pairs = B.capped_block_join(*B.sides_keys(left, right, ("first_word",)), 800)
+    pairs = B.capped_block_join(*B.sides_keys(left, right, ("first_word",)), OPTIONS.block_cap)
     return B.collapse_ids(pairs, left.selectExpr("entity_id AS source1_entity_id"))
 
 
-QUERIES["complete_left_join"] = collapse_ids
+@query
+def complete_left_join(spark, d):
+    """A row for every source-1 record, also those that the earlier run has no list for."""
+    every = records(spark, d, (1,)).selectExpr("entity_id AS source1_entity_id").distinct()
+    return B.collapse_ids(D.explode_ids(lists(spark, d)), every)
+
+
+@query
+def in_input_order(spark, d):
+    """Lists with their places in the order in which the records arrived."""
+    one = records(spark, d, (1,)).where("loaded_at IS NOT NULL")
+    every = one.select(F.col("entity_id").alias("source1_entity_id"), F.struct("loaded_at", "entity_id").alias("at"))
+    found = B.in_order(complete_left_join(spark, d).join(every, "source1_entity_id", "left_semi"), every, "at")
+    # Places are numbered part by part of the sorted lists; a part's size is one number.
+    part = F.spark_partition_id()
+    numbered = Scratch(spark, "order").cut(found.select("*", part.alias("part"), (F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33)).alias("n")))
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    before = sizes.alias("s").join(sizes.alias("b"), F.col("b.part") < F.col("s.part"), "left").groupBy("s.part").agg(F.coalesce(F.sum("b.size"), F.lit(0)).alias("before"))
+    return numbered.join(before, "part").select("source1_entity_id", "matched_entity_ids", (F.col("before") + F.col("n") + 1).alias("place"))
 
 
 @query
 def pair_cap(spark, d):
-    return B.cap_pairs(B.capped_block_join(*_long(spark, d, ("postal",)), 800), 500)
+    return B.cap_pairs(B.capped_block_join(*_long(spark, d, ("postal",)), OPTIONS.block_cap), 500)
 
 
 @query
@@ -219,12 +238,12 @@ def tfidf_weights(spark, d):
 
 @query
 def tfidf_topk_(spark, d):
-    return tfidf_topk(*sides(spark, d), K)
+    return tfidf_topk(*sides(spark, d), OPTIONS.top_k, OPTIONS.vocabulary)
 
 
 @query
 def candidate_pairs_(spark, d):
-    return candidate_pairs(*sides(spark, d), Options(top_k=K))
+    return candidate_pairs(*sides(spark, d), OPTIONS)
 
 
 @query
@@ -316,7 +335,8 @@ def singleton_reject(spark, d):
 
 @query
 def decide_matches(spark, d):
-    return D.decide_matches(proxy(spark, d), truth(spark, d).select("source1_entity_id"), THRESHOLD, MARGIN)
+    every = records(spark, d, (1,)).selectExpr("entity_id AS source1_entity_id").distinct()
+    return D.decide_matches(proxy(spark, d), every, THRESHOLD, MARGIN)
 
 
 @query
@@ -330,7 +350,7 @@ def parse_id_list(spark, d):
 
 
 def _predicted(spark, d):
-    return D.decide_matches(proxy(spark, d), truth(spark, d).select("source1_entity_id"), THRESHOLD, MARGIN)
+    return D.decide_matches(proxy(spark, d, labelled=True), truth(spark, d).select("source1_entity_id"), THRESHOLD, MARGIN)
 
 
 @query
@@ -348,17 +368,19 @@ def macro_f05_counts(spark, d):
     return rounded(V.macro(V.entity_scores(_predicted(spark, d), truth(spark, d))))
 
 
-QUERIES["score_at_threshold"] = macro_f05_counts
+@query
+def score_at_threshold(spark, d):
+    return rounded(V.score_at_threshold(proxy(spark, d, labelled=True), truth(spark, d), 0.7, 0.05))
 
 
 @query
 def threshold_sweep(spark, d):
-    return rounded(V.threshold_sweep(proxy(spark, d), truth(spark, d), V.sweep_grid(spark)))
+    return rounded(V.threshold_sweep(proxy(spark, d, labelled=True), truth(spark, d), V.sweep_grid(spark)))
 
 
 @query
 def sweep_best(spark, d):
-    return rounded(V.sweep_best(V.threshold_sweep(proxy(spark, d), truth(spark, d), V.sweep_grid(spark))))
+    return rounded(V.sweep_best(V.threshold_sweep(proxy(spark, d, labelled=True), truth(spark, d), V.sweep_grid(spark))))
 
 
 @query
@@ -384,7 +406,7 @@ def check_unknown_ids(spark, d):
 @query
 def check_subset(spark, d):
     left, right = sides(spark, d)
-    cand = B.collapse_ids(exact_blocks(left, right, 800), left.selectExpr("entity_id AS source1_entity_id"), "candidate_entity_ids")
+    cand = B.collapse_ids(exact_blocks(left, right, OPTIONS.block_cap), left.selectExpr("entity_id AS source1_entity_id"), "candidate_entity_ids")
     return C.outside_candidates(truth(spark, d), cand)
 
 
@@ -416,7 +438,7 @@ def score_pairs(spark, d):
     left, right = sides(spark, d)
     left = left.join(truth(spark, d).select(F.col("source1_entity_id").alias("entity_id")), "entity_id", "left_semi")
     scratch = Scratch(spark, "scores")
-    f = scratch.cut(entity_split(build_features(pair_attributes(exact_blocks(left, right, 800), left, right)), 0.2))
+    f = scratch.cut(entity_split(build_features(pair_attributes(exact_blocks(left, right, OPTIONS.block_cap), left, right)), 0.2))
     model = Classifier.fit(D.label_pairs(f.where("NOT held_out").drop("held_out"), truth(spark, d)), Options(rounds=10))
     return model.score(f.where("held_out").drop("held_out"))
 

@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
-from linkloom.functions.text import ADDRESS_WORDS, COMMON_FIRST_WORDS, LEGAL_FORMS
-
 WHITE = r"[\s\p{Z}]"
+# Fixed values, written here again so that an error in the engine's own lists shows.
+LEGAL_FORMS = (
+    r"\b(corp|corporation|inc|incorporated|ltd|limited|pvt|private|llc|llp|co|company|enterprise|enterprises|service|services"
+    r"|solution|solutions|group|technologies|tech|sarl|sas|gmbh|ag|plc)\b"
+)
+ADDRESS_WORDS = dict(
+    pair.split("=") for pair in (
+        "rd=road st=street ave=avenue blvd=boulevard hwy=highway apt=apartment ste=suite fl=floor nr=near opp=opposite bldg=building "
+        "dist=district ctr=center intl=international no=number"
+    ).split()
+)
+COMMON_FIRST_WORDS = (
+    "the", "a", "an", "new", "old", "national", "global", "international", "american", "general", "united", "first", "best", "top", "prime",
+    "great", "good", "super", "mega", "metro", "city", "state", "central", "north", "south", "east", "west", "royal", "golden", "blue",
+    "green", "red", "white", "black", "star", "sun", "sky", "land", "home", "world", "modern", "standard", "professional", "premium",
+    "elite", "alpha", "omega", "apex", "delta", "sigma", "shri", "sri", "m", "s", "r", "k",
+)
 COMMON = ", ".join(f"'{w}'" for w in COMMON_FIRST_WORDS)
 
 
@@ -207,17 +222,24 @@ WITH_SETS = {
 LABELLED = "a_t AS (SELECT * FROM a_k WHERE entity_id IN (SELECT source1_entity_id FROM train_matches))"
 TRUE = f"truth AS (SELECT source1_entity_id, matched_entity_ids FROM train_matches), links AS ({exploded('train_matches')})"
 THRESHOLD, MARGIN = 0.6, 0.1
-PROXY = f"""{BOTH}, {LABELLED}, {TRUE}, bp AS MATERIALIZED ({block(800, left='a_t')}), {attributes('bp')},
+
+
+def proxy(left: str) -> str:
+    return f"""{BOTH}, {LABELLED}, {TRUE}, bp AS MATERIALIZED ({block(800, left=left)}), {attributes('bp')},
 scored AS MATERIALIZED (SELECT source1_entity_id, candidate_entity_id, round(({jac('u1', 'u2')} + {jac('s1', 's2')} + {POSTAL_MATCH}) / 3, 6) AS prob FROM att2)"""
 
 
+PROXY, PROXY_T = proxy("a_k"), proxy("a_t")
+
+
 def stats(threshold: str = str(THRESHOLD)) -> str:
     return f"""(SELECT *, top_score - second_score AS margin FROM (SELECT source1_entity_id, max(prob) AS top_score, count(*) AS n_candidates,
  count(*) FILTER (prob >= {threshold}) AS n_above, coalesce(list_reverse_sort(list(prob))[2], 0.0) AS second_score FROM scored GROUP BY 1))"""
 
 
-ACCEPTED = f"""accepted AS MATERIALIZED (SELECT s.* FROM scored s JOIN {stats()} t USING (source1_entity_id)
-WHERE prob >= {THRESHOLD} AND NOT (n_above = 1 AND margin < {MARGIN} AND top_score < {THRESHOLD} + 0.05))"""
+def accepted(threshold: float = THRESHOLD, margin: float = MARGIN) -> str:
+    return f"""accepted AS MATERIALIZED (SELECT s.* FROM scored s JOIN {stats(str(threshold))} t USING (source1_entity_id)
+WHERE prob >= {threshold} AND NOT (n_above = 1 AND margin < {margin} AND top_score < {threshold} + 0.05))"""
 
 
 def collapse(pairs: str, every: str, out: str = "matched_entity_ids") -> str:
@@ -225,7 +247,8 @@ def collapse(pairs: str, every: str, out: str = "matched_entity_ids") -> str:
 (SELECT source1_entity_id, string_agg(DISTINCT candidate_entity_id, ',' ORDER BY candidate_entity_id) AS ids FROM {pairs} GROUP BY 1) x USING (source1_entity_id)"""
 
 
-DECIDED = f"{PROXY}, {ACCEPTED}, pred AS MATERIALIZED ({collapse('accepted', '(SELECT source1_entity_id FROM train_matches)')})"
+def decided(threshold: float = THRESHOLD, margin: float = MARGIN) -> str:
+    return f"{PROXY_T}, {accepted(threshold, margin)}, pred AS MATERIALIZED ({collapse('accepted', '(SELECT source1_entity_id FROM train_matches)')})"
 
 
 def rates(hits: str, pred: str, true: str) -> str:
@@ -234,11 +257,17 @@ CASE WHEN {true} = 0 THEN 1.0 WHEN {pred} = 0 THEN 0.0 ELSE {hits} / {true} END
 
 
 FB = "CASE WHEN 0.25 * p + r > 0 THEN 1.25 * p * r / (0.25 * p + r) ELSE 0.0 END"
-SCORES = f"""{DECIDED}, ent AS (SELECT *, {FB} AS f FROM (SELECT t.source1_entity_id, len(x) AS actual, {rates('len(list_intersect(x, y))', 'len(y)', 'len(x)')}
+
+
+def scores(threshold: float = THRESHOLD, margin: float = MARGIN) -> str:
+    return f"""{decided(threshold, margin)}, ent AS (SELECT *, {FB} AS f FROM (SELECT t.source1_entity_id, len(x) AS actual, {rates('len(list_intersect(x, y))', 'len(y)', 'len(x)')}
 FROM (SELECT source1_entity_id, list_distinct({parsed('matched_entity_ids')}) AS x FROM truth) t
 LEFT JOIN (SELECT source1_entity_id, list_distinct({parsed('matched_entity_ids')}) AS y FROM pred) p USING (source1_entity_id)))"""
+
+
+SCORES = scores()
 MACRO = "round(avg(p), 6) AS macro_precision, round(avg(r), 6) AS macro_recall, round(avg(f), 6) AS macro_f05"
-SWEEP = f"""{PROXY}, grid AS (SELECT t.v / 100 AS threshold, m.v / 100 AS margin_min, (t.v - 50) // 2 * 5 + m.v // 5 AS cell FROM (SELECT unnest(range(50, 99, 2)) AS v) t, (SELECT unnest(range(0, 21, 5)) AS v) m),
+SWEEP = f"""{PROXY_T}, grid AS (SELECT t.v / 100 AS threshold, m.v / 100 AS margin_min, (t.v - 50) // 2 * 5 + m.v // 5 AS cell FROM (SELECT unnest(range(50, 99, 2)) AS v) t, (SELECT unnest(range(0, 21, 5)) AS v) m),
 st AS ({stats('0')}),
 cells AS (SELECT t.source1_entity_id, cell, threshold, margin_min, len(list_distinct({parsed('matched_entity_ids')})) AS actual,
  count(s.prob) FILTER (s.prob >= threshold) AS n, count(k.source1_entity_id) FILTER (s.prob >= threshold) AS hits,
@@ -273,7 +302,7 @@ def vectors(name: str, g: str) -> str:
 
 NEAR = f"""{rgrams('lg', 'l')}, {rgrams('rg', 'r')}, {weights(30000)}, {vectors('lv', 'lg')}, {vectors('rv', 'rg')},
 near AS MATERIALIZED (SELECT * FROM (SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id, round(sum(a.w * b.w), 6) AS sim FROM lv a JOIN rv b USING (country, gram) GROUP BY 1, 2)
-WHERE sim > 0 QUALIFY row_number() OVER (PARTITION BY source1_entity_id ORDER BY sim DESC, candidate_entity_id) <= 5)"""
+WHERE sim > 0 QUALIFY row_number() OVER (PARTITION BY source1_entity_id ORDER BY sim DESC, candidate_entity_id) <= 25)"""
 
 
 def order(c: str) -> str:
@@ -301,10 +330,14 @@ SQL = {
     "stopword_filter": f"SELECT * FROM (SELECT entity_id, coalesce({toks(clean_name('business_name'))}[1], '') AS first_word FROM ({raw(1, 2, 3)})) WHERE first_word NOT IN ({COMMON}) AND first_word <> ''",
     "gram_counts": f"WITH {norm('r', 2, 3)}, {COUNTS} SELECT * FROM counts",
     "block_sizes": f"WITH {BOTH} SELECT kind, country_lc, key, count(*) AS n FROM b_k GROUP BY 1, 2, 3",
-    "block_valid_keys": f"WITH {BOTH} SELECT kind, country_lc, key FROM b_k GROUP BY 1, 2, 3 HAVING count(*) <= 20",
-    **{f"block_{k}": f"WITH {BOTH} {block(20, k)}" for k in ("first_word", "postal", "sorted_2word", "sorted_nums", "soundex", "rarest_3gram")},
+    "block_valid_keys": f"WITH {BOTH} SELECT kind, country_lc, key FROM b_k GROUP BY 1, 2, 3 HAVING count(*) <= 800",
+    **{f"block_{k}": f"WITH {BOTH} {block(800, k)}" for k in ("first_word", "postal", "sorted_2word", "sorted_nums", "soundex", "rarest_3gram")},
     "exact_blocks": f"WITH {BOTH} {block(800)}",
-    **{q: f"WITH {BOTH}, p AS ({block(800, 'first_word')}) {collapse('p', ONE)}" for q in ("collapse_ids", "complete_left_join")},
+    "collapse_ids": f"WITH {BOTH}, p AS ({block(800, 'first_word')}) {collapse('p', ONE)}",
+    "complete_left_join": f"WITH p AS ({exploded('matching_results')}) {collapse('p', ONE)}",
+    "in_input_order": f"""WITH p AS ({exploded('matching_results')}), m AS ({collapse('p', ONE)}),
+o AS (SELECT entity_id AS source1_entity_id, min(row(loaded_at, entity_id)) AS arrived FROM source1 WHERE loaded_at IS NOT NULL GROUP BY 1)
+SELECT source1_entity_id, matched_entity_ids, row_number() OVER (ORDER BY arrived, source1_entity_id) AS place FROM m JOIN o USING (source1_entity_id)""",
     "pair_cap": f"WITH {BOTH} {block(800, 'postal')} ORDER BY 1, 2 LIMIT 500",
     "char_grams": f"WITH {norm('x', 1, 2, 3)}, {rgrams('g', 'x')} SELECT * FROM g",
     "tfidf_vocab": f"WITH {norm('r', 2, 3)}, {rgrams('rg', 'r')}, {weights(5000)} SELECT country, gram, df, ctf, round(idf, 6) AS idf FROM weights",
@@ -328,13 +361,13 @@ SELECT entity_id, true AS positive FROM p UNION ALL SELECT entity_id, false FROM
     "entity_stats": f"WITH {PROXY} SELECT source1_entity_id, round(top_score, 6) AS top_score, n_candidates, n_above, round(second_score, 6) AS second_score, round(margin, 6) AS margin FROM {stats()}",
     "second_best": f"WITH {PROXY} SELECT source1_entity_id, second_score FROM {stats()}",
     "threshold_filter": f"WITH {PROXY} SELECT * FROM scored WHERE prob >= {THRESHOLD}",
-    "singleton_reject": f"WITH {PROXY}, {ACCEPTED} SELECT * FROM accepted",
-    "decide_matches": f"WITH {DECIDED} SELECT * FROM pred",
+    "singleton_reject": f"WITH {PROXY}, {accepted()} SELECT * FROM accepted",
+    "decide_matches": f"WITH {PROXY}, {accepted()} {collapse('accepted', ONE)}",
     "match_totals": "SELECT count(*) FILTER (trim(coalesce(matched_entity_ids, '')) <> '') AS matched, count(*) FILTER (trim(coalesce(matched_entity_ids, '')) = '') AS unmatched FROM matching_results",
     "parse_id_list": f"SELECT source1_entity_id, matched_entity_ids, array_to_string({parsed('matched_entity_ids')}, '|') AS parsed FROM matching_results",
     "f_beta": f"WITH {SCORES} SELECT source1_entity_id, round(p, 6) AS p, round(r, 6) AS r, round(f, 6) AS f FROM ent",
     "macro_f05": f"WITH {SCORES} SELECT {MACRO} FROM ent",
-    **{q: f"WITH {SCORES} SELECT {MACRO}, count(*) AS n_entities, count(*) FILTER (actual = 0) AS n_singletons, count(*) FILTER (actual > 0) AS n_with_matches FROM ent" for q in ("macro_f05_counts", "score_at_threshold")},
+    **{q: f"WITH {x} SELECT {MACRO}, count(*) AS n_entities, count(*) FILTER (actual = 0) AS n_singletons, count(*) FILTER (actual > 0) AS n_with_matches FROM ent" for q, x in (("macro_f05_counts", SCORES), ("score_at_threshold", scores(0.7, 0.05)))},
     "threshold_sweep": f"WITH {SWEEP} SELECT cell, threshold, margin_min, round(macro_precision, 6) AS macro_precision, round(macro_recall, 6) AS macro_recall, round(macro_f05, 6) AS macro_f05 FROM sweep",
     "sweep_best": f"WITH {SWEEP} SELECT threshold, margin_min, round(macro_f05, 6) AS macro_f05 FROM sweep ORDER BY round(macro_f05, 9) DESC, cell LIMIT 1",
     "read_ids": f"SELECT DISTINCT entity_id FROM ({raw(1, 2, 3)})",

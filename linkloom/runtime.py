@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     given = spark.conf.get(CHECKPOINT_KEY, None)
     if given:
         return given.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     own = os.path.join(tempfile.gettempdir(), f"linkloom-{spark.sparkContext.applicationId}")
     os.makedirs(own, exist_ok=True)

@@ -18,34 +18,56 @@ MATCHES = ("source1_entity_id", "matched_entity_ids")
 CANDIDATES = ("source1_entity_id", "candidate_entity_ids")
 
 
-def read_tsv(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str | list[str], columns: Sequence[str], multi_line: bool = True) -> DataFrame:
     """A tab-separated file with a header; all columns are strings and an empty field is ''.
 
-    Quoted fields may hold tabs, line breaks and doubled quotes.
+    Quoted fields may hold tabs, line breaks and doubled quotes.  Files whose fields hold no line breaks are read in
+    parts, by many tasks, without ``multi_line``; with it each file is one task.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).options(sep="\t", header=True, quote='"', escape='"', multiLine=True, encoding="UTF-8").csv(path)
+    df = spark.read.schema(schema).options(sep="\t", header=True, quote='"', escape='"', multiLine=multi_line, encoding="UTF-8").csv(path)
     return df.select(*[X.text(F.col(c)).alias(c) for c in columns])
 
 
-def load_train(spark: SparkSession, base: str) -> tuple[DataFrame, ...]:
+def load_train(spark: SparkSession, base: str, multi_line: bool = True) -> tuple[DataFrame, ...]:
     """Three sources and the truth under ``base``/train_*.tsv."""
-    return (*[read_tsv(spark, f"{base}/train_source{i}.tsv", RECORD) for i in (1, 2, 3)], read_tsv(spark, f"{base}/train_ground_truth.tsv", MATCHES))
+    return (*[read_tsv(spark, f"{base}/train_source{i}.tsv", RECORD, multi_line) for i in (1, 2, 3)], read_tsv(spark, f"{base}/train_ground_truth.tsv", MATCHES, multi_line))
 
 
-def load_test(spark: SparkSession, base: str) -> tuple[DataFrame, ...]:
-    return tuple(read_tsv(spark, f"{base}/test_source{i}.tsv", RECORD) for i in (1, 2, 3))
+def load_test(spark: SparkSession, base: str, multi_line: bool = True) -> tuple[DataFrame, ...]:
+    return tuple(read_tsv(spark, f"{base}/test_source{i}.tsv", RECORD, multi_line) for i in (1, 2, 3))
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """One tab-separated file in the folder ``path``; empty lists are empty fields, not quoted ones."""
-    df.coalesce(1).write.mode("overwrite").options(sep="\t", header=True, emptyValue="", nullValue="", quote="").csv(path)
+def write_tsv(df: DataFrame, path: str, files: int | None = 1) -> None:
+    """Tab-separated files with a header in the folder ``path``; empty lists are empty fields, not quoted ones.
+
+    The rows are dealt to ``files`` tasks, after all other work; with None every task writes its own file, and files follow
+    each other in the order of ``df`` if that is sorted.
+    """
+    out = df if files is None else df.repartition(files)
+    out.write.mode("overwrite").options(sep="\t", header=True, emptyValue="", nullValue="", quote="").csv(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line_no`` (from 1), ``value`` of a text file, in the file's order."""
-    lines = spark.read.text(path).rdd.map(lambda r: r.value).zipWithIndex().map(lambda x: (x[1] + 1, x[0]))
-    return spark.createDataFrame(lines, "line_no long, value string")
+    """``line_no`` (from 1), ``value`` of a text file, in the file's order.
+
+    Lines are numbered inside each part of the file; the parts' sizes, one number each, give what comes before.
+    """
+    part = F.spark_partition_id()
+    numbered = spark.read.text(path).select("value", part.alias("__part"), (F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), 33) + 1).alias("__n"))
+    sizes = sorted((r["__part"], r["n"]) for r in numbered.groupBy("__part").agg(F.max("__n").alias("n")).collect())
+    before, rows = 0, []
+    for p, n in sizes:
+        rows.append((p, before))
+        before += n
+    starts = spark.createDataFrame(rows, "__part int, __before long")
+    return numbered.join(F.broadcast(starts), "__part").select((F.col("__before") + F.col("__n")).alias("line_no"), "value")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system the session knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_ids(spark: SparkSession, path: str | list[str]) -> DataFrame:

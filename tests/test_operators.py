@@ -179,6 +179,54 @@ def test_tsv_round_trip(spark, tmp_path):
     assert {r[0] for r in R.read_ids(spark, str(tmp_path / "ids.tsv")).collect()} == {"a", "b"}
 
 
+def test_results_in_several_files_and_in_order(spark, tmp_path):
+    ids = [f"S1-{i:02d}" for i in (5, 3, 9, 1, 7)]
+    every = spark.createDataFrame([(x, i) for i, x in enumerate(ids)] + [("S1-03", 9)], "source1_entity_id string, at long")
+    lists = spark.createDataFrame([(x, "") for x in sorted(ids)], "source1_entity_id string, matched_entity_ids string")
+    ordered = B.in_order(lists, every, "at")
+    assert [r[0] for r in ordered.collect()] == ids
+    R.write_tsv(ordered, str(tmp_path / "out"), files=None)
+    texts = [p.read_text().splitlines()[1:] for p in sorted((tmp_path / "out").glob("part-*"))]
+    assert [line.split("\t")[0] for t in texts for line in t] == ids
+
+
+def test_lines_are_numbered_across_parts(spark, tmp_path):
+    path = tmp_path / "lines.txt"
+    path.write_text("\n".join(f"line {i}" for i in range(1, 4001)) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = R.read_lines(spark, str(path))
+        assert lines.select(F.spark_partition_id()).distinct().count() > 1
+        assert {r.line_no: r.value for r in lines.collect()} == {i: f"line {i}" for i in range(1, 4001)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_country_sample(spark):
+    c = spark.createDataFrame([(f"S2-{i:04d}", None if i % 5 == 0 else "US" if i % 2 else "FR") for i in range(900)], "entity_id string, country string")
+    got = P.country_sample(c, 100).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.country, []).append(r.entity_id)
+    assert {k: len(v) for k, v in by.items()} == {None: 100, "US": 100, "FR": 100}
+    order = {r.entity_id: r.h for r in c.select("entity_id", P.hash_order("entity_id").alias("h")).collect()}
+    for k, v in by.items():
+        every = sorted((r.entity_id for r in c.collect() if r.country == k), key=lambda x: (order[x], x))
+        assert set(v) == set(every[:100])
+    assert P.country_sample(c, None).count() == 900 and P.country_sample(c.limit(0), 5).count() == 0
+
+
+def test_scores_at_a_threshold(spark):
+    scored = spark.createDataFrame([("a", "x", 0.9), ("a", "y", 0.88), ("b", "z", 0.72), ("b", "w", 0.7), ("c", "v", 0.2)], "source1_entity_id string, candidate_entity_id string, prob double")
+    truth = spark.createDataFrame([("a", "x"), ("b", "z"), ("c", ""), ("d", "u")], "source1_entity_id string, matched_entity_ids string")
+    r = V.score_at_threshold(scored, truth, 0.71).first()
+    assert (r.n_entities, r.n_singletons, r.n_with_matches) == (4, 1, 3)
+    assert abs(r.macro_precision - (0.5 + 1 + 1 + 1) / 4) < 1e-9 and abs(r.macro_recall - 3 / 4) < 1e-9
+    assert V.score_at_threshold(scored, truth, 0.71, 0.1).first().macro_recall == 0.5  # b's sole match is ambiguous
+    assert V.score_at_threshold(scored.limit(0), truth, 0.5).first().macro_recall == 0.25
+    assert V.threshold_sweep(scored, truth.limit(0), V.sweep_grid(spark)).count() == 0
+
+
 HEAD = "source1_entity_id\tmatched_entity_ids\n"
 
 
@@ -197,6 +245,11 @@ HEAD = "source1_entity_id\tmatched_entity_ids\n"
         (HEAD + "S1-1\tS2-77\nS1-2\t\n", "unknown ids"),
         (HEAD + "S1-1 S2-1\nS1-1\t\nS1-2\t\n", "line 2: no tab"),
         (HEAD + "S1-1\tS2-1\n\nS1-2\t\n\n", None),
+        (HEAD + " S1-1\tS2-1\nS1-2\t\n", "unknown records"),
+        (HEAD + "S1-1 \tS2-1\nS1-2\t\n", "unknown records"),
+        (HEAD + "S1-1\t S2-1\nS1-2\t\n", "another form"),
+        (HEAD + "S1-1\tS2-1 \nS1-2\t\n", "unknown ids"),
+        (HEAD + "S1-1\t  \nS1-2\t\n", None),
         ("", "empty"),
     ],
 )
@@ -219,6 +272,45 @@ def test_validator_warns_about_matches_outside_candidates(spark, tmp_path):
     assert C.validate_file(spark, str(tmp_path / "none.tsv"), R.MATCHES, required)[0]
 
 
+def test_validator_reads_bytes_and_folders(spark, tmp_path):
+    (tmp_path / "m.tsv").write_bytes(HEAD.encode() + "S1-1\tS2-1é\n".encode("latin-1"))
+    required = spark.createDataFrame([("S1-1",)], "source1_entity_id string")
+    errors, rows = C.validate_file(spark, str(tmp_path / "m.tsv"), R.MATCHES, required)
+    assert rows is None and "line 2 is no UTF-8" in errors[0]
+    (tmp_path / "m.tsv").write_text(HEAD + "S1-1\tS2-1\nS1-2\t\n")
+    assert "no such file" in C.validate_folder(spark, str(tmp_path / "m.tsv"), None, str(tmp_path))[0][0]
+    (tmp_path / "test_source1.tsv").write_text("entity_id\tbusiness_name\nS1-1\tx\nS1-2\ty\n")
+    errors, warnings = C.validate_folder(spark, str(tmp_path / "m.tsv"), None, str(tmp_path), check_ids=True)
+    assert not errors and len(warnings) == 3 and "test_source2" in warnings[0]
+    for i in (2, 3):
+        (tmp_path / f"test_source{i}.tsv").write_text(f"entity_id\nS{i}-9\n")
+    assert "unknown ids" in C.validate_folder(spark, str(tmp_path / "m.tsv"), None, str(tmp_path), check_ids=True)[0][0]
+    counts = {}
+    C.validate_file(spark, str(tmp_path / "m.tsv"), R.MATCHES, required, counts=counts)
+    assert counts == {"rows": 2, "empty": 1}
+
+
+def test_command(spark, data, tmp_path, capsys):
+    from linkloom.__main__ import main
+
+    for i in (1, 2, 3):
+        rows = R.records(spark, data, (i,)).select(*R.RECORD).toPandas().drop_duplicates("entity_id")
+        for part in ("train", "test"):
+            rows.to_csv(tmp_path / f"{part}_source{i}.tsv", sep="\t", index=False)
+    from linkloom.sources.tables import table
+
+    table(spark, data, "train_matches").toPandas().to_csv(tmp_path / "train_ground_truth.tsv", sep="\t", index=False)
+    paths = ["--data", str(tmp_path), "--model", str(tmp_path / "model"), "--output", str(tmp_path / "out"), "--rounds", "3", "--threshold", "0.5"]
+    for mode in ("all", "validate", "sweep"):
+        assert main(["--mode", mode, *paths], spark) == 0
+    said = capsys.readouterr().out
+    assert "held-out: precision" in said and "macro_f05" in said and "best: threshold" in said
+    assert main(["--mode", "check", "--check-ids", *paths], spark) == 0 and "passed" in capsys.readouterr().out
+    first = next((tmp_path / "out" / "matching_results.tsv").glob("part-*")).read_text().splitlines()
+    one = (tmp_path / "test_source1.tsv").read_text().splitlines()
+    assert [line.split("\t")[0] for line in first[1:]] == [line.split("\t")[0] for line in one[1:]]
+
+
 SMALL = Options(rounds=5, depth=3, threshold=0.5, top_k=3)
 
 
