@@ -396,8 +396,9 @@ def with_visits(homes: DataFrame, halves: DataFrame) -> DataFrame:
     without = F.transform(F.sequence(F.lit(1), F.length(half)), lambda i: F.xxhash64(F.length(half), F.concat(F.left(half, i - 1), F.substr(half, i + 1))))
     left = halves.where("key LIKE '<%'").select(F.xxhash64("key").alias("shard"), F.col("n").cast("int").alias("n"), F.explode(F.array_distinct(without)).alias("h"))
     other = left.select("h", F.col("shard").alias("to"), F.col("n").alias("m"))
-    # Equal hashes of different letters only cause a visit that finds nothing.
-    pairs = left.join(other, "h").where("n < m OR n = m AND shard < to").select("shard", "to").distinct()
+    # Equal hashes of different letters only cause a visit that finds nothing; two beginnings with several letters to leave
+    # out are few, so their pairs are not made distinct.
+    pairs = left.join(other, "h").where("n < m OR n = m AND shard < to").select("shard", "to")
     rows = homes.select(F.xxhash64("key").alias("shard"), (F.length("key") - 1).alias("half"), "text", "id")
     visits = homes.where("key LIKE '<%'").select(F.xxhash64("key").alias("shard"), (F.length("key") - 1).alias("half"), "text", "id").join(pairs, "shard")
     return rows.unionByName(visits.select(F.col("to").alias("shard"), "half", "text", (-1 - F.col("id")).alias("id")))
