@@ -286,7 +286,7 @@ def same_building(readings: DataFrame) -> DataFrame:
     left = hashes(readings)
     cols = {c: f"{c}2" for c in ("sig", "sure", "direction", "kind", "house", "street")}
     right = left.withColumnsRenamed(cols)
-    met = left.join(right, "h").where((F.col("sig") < F.col("sig2")) & (F.col("sure") | F.col("sure2")))
+    met = left.join(right.hint("merge"), "h").where((F.col("sig") < F.col("sig2")) & (F.col("sure") | F.col("sure2")))
     kept = met.where((F.col("house") == F.col("house2")) & no_conflict("direction", "direction2") & no_conflict("kind", "kind2") & same_street(F.col("street"), F.col("street2")))
     return kept.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct()
 

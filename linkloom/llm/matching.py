@@ -100,7 +100,7 @@ def candidates(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame
     theirs = other.select("row", F.lit(None).cast("long").alias("there"), F.explode(by_name(F.concat(when(named & ~placed, alone("org")), when(named, every("org"))))).alias("key"))
     at_place = F.concat(by_building(c("sig"), nameless("sig"), all_("sig")))
     theirs = theirs.unionByName(other.where(placed).select("row", c("sig").alias("there"), F.explode(at_place).alias("key")))
-    met = mine.withColumnRenamed("row", "ra").join(theirs.withColumnRenamed("row", "rb"), "key").where("at <=> there")
+    met = mine.withColumnRenamed("row", "ra").join(theirs.withColumnRenamed("row", "rb").hint("merge"), "key").where("at <=> there")
     return met.groupBy("ra", "rb").agg(F.max(c("at").isNotNull().cast("int")).alias("built"))
 
 

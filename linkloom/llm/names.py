@@ -275,9 +275,9 @@ def frequent_words(names: DataFrame, share: float = 0.001, least: int = 30) -> l
             for name in batch.column(0).to_pylist():
                 theirs = counted.intersection(name.split())
                 if theirs:
+                    core = () if _own_word(name, known, listed) else (read_name(name, listed)[0] or [[]])[0]
                     # The likeliest core if no word were counted: towns of branches are not in it.
-                    core = (read_name(name, listed)[0] or [[]])[0]
-                    bare = all(len(t) <= 3 or known.look(t)[1] for t in core)
+                    bare = bool(core) and all(len(t) <= 3 or known.look(t)[1] for t in core)
                     for t in theirs:
                         both = tally.setdefault(t, [0, 0])
                         both[0] += 1
@@ -291,6 +291,19 @@ def frequent_words(names: DataFrame, share: float = 0.001, least: int = 30) -> l
     return [w for w in frequent if w not in own]
 
 
+def _own_word(name: str, known: Words, listed: Words) -> bool:
+    """Whether one of the first two words that are not listed is no counted word either: these two are always in the core."""
+    left = 2
+    for t in name.split():
+        if not listed.look(t)[1]:
+            if len(t) > 3 and not known.look(t)[1]:
+                return True
+            left -= 1
+            if not left or len(t) >= 13:
+                return False
+    return False
+
+
 def cores(names: DataFrame, frequent: list[str]) -> DataFrame:
     """``clean_name, core, first, several, given, full, initial, trades``: each plausible core of each name.
 
@@ -398,9 +411,10 @@ def with_visits(homes: DataFrame, halves: DataFrame) -> DataFrame:
     other = left.select("h", F.col("shard").alias("to"), F.col("n").alias("m"))
     # Equal hashes of different letters only cause a visit that finds nothing; two beginnings with several letters to leave
     # out are few, so their pairs are not made distinct.
-    pairs = left.join(other, "h").where("n < m OR n = m AND shard < to").select("shard", "to")
+    # Small files become many rows here, so neither side is broadcast.
+    pairs = left.join(other.hint("merge"), "h").where("n < m OR n = m AND shard < to").select("shard", "to")
     rows = homes.select(F.xxhash64("key").alias("shard"), (F.length("key") - 1).alias("half"), "text", "id")
-    visits = homes.where("key LIKE '<%'").select(F.xxhash64("key").alias("shard"), (F.length("key") - 1).alias("half"), "text", "id").join(pairs, "shard")
+    visits = homes.where("key LIKE '<%'").select(F.xxhash64("key").alias("shard"), (F.length("key") - 1).alias("half"), "text", "id").join(pairs.hint("merge"), "shard")
     return rows.unionByName(visits.select(F.col("to").alias("shard"), "half", "text", (-1 - F.col("id")).alias("id")))
 
 

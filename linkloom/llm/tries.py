@@ -105,24 +105,25 @@ class Tries:
             else:
                 below = until = np.zeros(0, np.int64)
                 first = children = np.zeros(len(starts), np.int64)
-            self.levels.append((letter, starts, leaves, first, children))
+            self.levels.append((letter, starts, ends, leaves, first, children))
             if not len(below):
                 break
             starts, ends, letter = below, until, codes[below, depth]
 
 
-def search(tries: Tries, codes: np.ndarray, size: np.ndarray, group: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def search(tries: Tries, codes: np.ndarray, size: np.ndarray, group: np.ndarray, weight: np.ndarray, rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For texts searching the trie of their group: numbers of the searching and of the found texts, and the errors between them (0 to 2).
 
-    weight: texts in the trie that a search may meet, which bounds the searches done together.
+    weight: texts in the trie that a search may meet, which bounds the searches done together.  rank: the place in the
+    order of the tries up to which a search finds nothing, -1 for all.
     """
     asked = np.flatnonzero(tries.root[group] >= 0)
     rounds = np.cumsum(weight[asked]) // FRONTIER
     for part in np.split(asked, np.flatnonzero(np.diff(rounds)) + 1) if len(asked) else []:
-        yield from _descend(tries, codes[part], size[part], tries.root[group[part]], part)
+        yield from _descend(tries, codes[part], size[part], tries.root[group[part]], part, rank[part])
 
 
-def _descend(tries: Tries, codes: np.ndarray, size: np.ndarray, root: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _descend(tries: Tries, codes: np.ndarray, size: np.ndarray, root: np.ndarray, numbers: np.ndarray, rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     one = np.uint64(1)
     two = np.uint64(2)
     kinds = int(codes.max(initial=0)) + 1
@@ -141,7 +142,7 @@ def _descend(tries: Tries, codes: np.ndarray, size: np.ndarray, root: np.ndarray
     node = root
     r0, r1, r2 = np.ones(len(q), np.uint64), np.uint64(3) & full_of, np.uint64(7) & full_of
     o0 = o1 = before = np.zeros(len(q), np.uint64)
-    for depth, (_, starts, leaves, first, children) in enumerate(tries.levels):
+    for depth, (_, starts, _, leaves, first, children) in enumerate(tries.levels):
         here = leaves[node]
         hit = np.flatnonzero((here > 0) & ((r2 & end_of[q]) != 0))
         if len(hit):
@@ -149,8 +150,9 @@ def _descend(tries: Tries, codes: np.ndarray, size: np.ndarray, root: np.ndarray
             wrong = np.where(r0[hit] & end, 0, np.where(r1[hit] & end, 1, 2))
             count = here[hit]
             within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            found = tries.order[np.repeat(starts[node[hit]], count) + within]
-            yield numbers[np.repeat(q[hit], count)], found, np.repeat(wrong, count)
+            at, who = np.repeat(starts[node[hit]], count) + within, np.repeat(q[hit], count)
+            new = np.flatnonzero(at > rank[who])
+            yield numbers[who[new]], tries.order[at[new]], np.repeat(wrong, count)[new]
         if depth + 1 == len(tries.levels):
             return
         count = children[node]
@@ -158,6 +160,9 @@ def _descend(tries: Tries, codes: np.ndarray, size: np.ndarray, root: np.ndarray
         if not len(parent):
             return
         child = first[node[parent]] + np.arange(len(parent)) - np.repeat(np.cumsum(count) - count, count)
+        # Below a node whose last text a search has behind it there is nothing for it.
+        ahead = np.flatnonzero(tries.levels[depth + 1][2][child] > rank[q[parent]] + 1)
+        parent, child = parent[ahead], child[ahead]
         q = q[parent]
         m = places[base[q] + tries.levels[depth + 1][0][child]]
         full = full_of[q]
@@ -199,7 +204,7 @@ def _starts(table: pa.Table) -> np.ndarray:
 
 
 def near(texts: pa.Array, group: np.ndarray, home: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """All pairs of a text and a home text of its group within two errors: their numbers, and the errors; a text may meet itself.
+    """All pairs of a text and a home text of its group within two errors, two home texts once: their numbers, and the errors.
 
     Groups are numbered from 0.
     """
@@ -210,7 +215,9 @@ def near(texts: pa.Array, group: np.ndarray, home: np.ndarray) -> Iterator[tuple
     tries = Tries(codes[homes], size[homes], group[homes], groups)
     members = np.bincount(group[homes], minlength=groups)
     asking = np.flatnonzero(short)
-    for a, b, wrong in search(tries, codes[asking], size[asking], group[asking], members[group[asking]]):
+    rank = np.full(len(size), -1, np.int64)
+    rank[homes[tries.order]] = np.arange(len(homes))
+    for a, b, wrong in search(tries, codes[asking], size[asking], group[asking], members[group[asking]], rank[asking]):
         yield asking[a], homes[b], wrong
     long = np.flatnonzero(size > MOST - 2)
     if len(long) and (size > MOST).any():
@@ -227,7 +234,7 @@ def _compare(texts: pa.Array, group: np.ndarray, home: np.ndarray, long: np.ndar
     for members in by.values():
         for i in members:
             for j in members:
-                if home[j] and i != j and max(size[i], size[j]) > MOST and abs(int(size[i]) - int(size[j])) <= 2:
+                if home[j] and (i < j or not home[i]) and i != j and max(size[i], size[j]) > MOST and abs(int(size[i]) - int(size[j])) <= 2:
                     wrong = few_errors(plain[i], plain[j])
                     if wrong is not None:
                         rows.append((i, j, wrong))
