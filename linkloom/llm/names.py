@@ -397,6 +397,23 @@ def shards(unique: DataFrame) -> DataFrame:
     return unique.select("core", "id").mapInArrow(spread, "key string, text string, id long")
 
 
+def without_a_letter(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of texts and hashes of what is left of them without one of their letters, each different rest of a text once."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    for m in np.unique(sizes):
+        rows = np.flatnonzero(sizes == m)
+        codes = np.array([texts[i] for i in rows]).view(np.uint32).reshape(len(rows), m).astype(np.uint64)
+        for gone in range(m):
+            # Of equal neighbours only the last is left out.
+            kept = np.flatnonzero(codes[:, gone] != codes[:, gone + 1]) if gone + 1 < m else np.arange(len(rows))
+            h = np.full(len(kept), int(m), np.uint64)
+            for at in range(m):
+                if at != gone:
+                    h = (h ^ codes[kept, at]) * np.uint64(0x9E3779B97F4A7C15)
+                    h ^= h >> np.uint64(29)
+            yield rows[kept], h.astype(np.int64)
+
+
 def with_visits(homes: DataFrame, halves: DataFrame) -> DataFrame:
     """``shard, half, text, id``: the texts of each shard, and visits of those whose beginning becomes equal to the shard's by
     leaving out a letter of each.
@@ -405,9 +422,14 @@ def with_visits(homes: DataFrame, halves: DataFrame) -> DataFrame:
     known by a hash: two that share it are searched together, which changes nothing.  Visitors have the id -1 - id; half
     is the number of letters in the key.
     """
-    half = F.substring("key", 2, HALF)
-    without = F.transform(F.sequence(F.lit(1), F.length(half)), lambda i: F.xxhash64(F.length(half), F.concat(F.left(half, i - 1), F.substr(half, i + 1))))
-    left = halves.where("key LIKE '<%'").select(F.xxhash64("key").alias("shard"), F.col("n").cast("int").alias("n"), F.explode(F.array_distinct(without)).alias("h"))
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard, n = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            for rows, h in without_a_letter(batch.column(0).to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(shard[rows]), pa.array(n[rows]), pa.array(h)], ["shard", "n", "h"])
+
+    left = halves.where("key LIKE '<%'").select(F.substring("key", 2, HALF), F.xxhash64("key").alias("shard"), F.col("n").cast("int")).mapInArrow(shorten, "shard long, n int, h long")
     other = left.select("h", F.col("shard").alias("to"), F.col("n").alias("m"))
     # Equal hashes of different letters only cause a visit that finds nothing; two beginnings with several letters to leave
     # out are few, so their pairs are not made distinct.
@@ -545,12 +567,14 @@ def organisations(names: DataFrame, scratch: Scratch) -> DataFrame:
     best = reached.join(counted.select(F.col("id").alias("low"), F.col("n").alias("n_low")), "low")
     weighted = counted.join(best, "id", "left").select("core", "id", F.coalesce("low", "id").alias("org"), F.coalesce("n_low", "n").alias("n"))
     rows = scratch.cut(read.join(weighted, "core", "left"))
+    scratch.drop(read, counted, reached)
     # A core that only the name itself has is no support for it.
     support = F.coalesce("n", F.lit(0)) - F.when((F.col("org") == F.col("id")) & F.col("first"), 1).otherwise(0)
     best = F.max_by(F.struct("core", "org", "given", "full", "initial", "trades"), F.struct(support, "first", "core"))
     kept = ("clean_name", "core", "org", "given", "full", "initial", "trades")
     picked = rows.where("several").groupBy("clean_name").agg(best.alias("x")).select("clean_name", "x.*")
     chosen = scratch.cut(rows.where("NOT several").select(*kept).unionByName(picked))
+    scratch.drop(rows)
     owners = chosen.where("full <> '' AND core <> ''").groupBy("org", "full").agg(F.count(F.lit(1)).alias("names"), F.flatten(F.collect_set("trades")).alias("their_trades"))
     several = owners.groupBy("org").agg(F.count(F.lit(1)).alias("owners")).where("owners > 1").select("org")
     owners = owners.join(several, "org", "left_semi").withColumnRenamed("full", "owner")
