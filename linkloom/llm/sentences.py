@@ -1,31 +1,35 @@
 """Sentences of wiki texts in many languages and scripts.
 
 Two passes over all documents.  The first counts, per language, words with and without a period, what
-follows a period, and what starts and ends paragraphs; log-likelihood ratios of these counts tell abbreviations and
-sentence starters, without any list of either.  The second finds paragraphs and list items among the markup and
-classifies each mark of punctuation: marks that end sentences in their script do; a period behind an
-abbreviation, a number or dots do only if what follows starts sentences; what stands in quotation marks or
-brackets stays with its sentence.
+follows a period, and what starts and ends paragraphs; log-likelihood ratios of these counts tell abbreviations,
+collocations around a period, and sentence starters, without any list of them.  The second finds paragraphs and list
+items among the markup and classifies each mark of punctuation with the statistics of the document's language, and of
+others for words that are rare in it, since texts quote other languages and some are declared wrongly: marks that end sentences in their script do; a period behind an abbreviation, a number or dots does only if what follows
+starts sentences and is no collocation with it; what stands in quotation marks or brackets stays with its sentence.
+
+Revisions repeat most of their paragraphs: each different paragraph is counted and classified once a batch, with its number.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.runtime import Scratch
 
 # Masks, as long as what they hide: a note or template (part of the text), markup within words, what is no text.
 NOTE, MARK, VOID = "\x01", "\x02", "\x03"
-MODEL_ROWS = 200_000  #: learned words a language set may have; a larger model is refused, not cut
 LEAST = 4  #: periods behind a word before it can be an abbreviation
+TOGETHER = 7.88  #: the same of a collocation (one in two hundred)
+SHARE = 2e-6  #: of a language's events of a kind, the least a learned word has, so that a language has 1 / SHARE of a kind at most
+OFTEN = 40  #: occurrences from which a language can deny what others say of a word
+CACHE = 20_000_000  #: letters of paragraphs a worker remembers at once; it forgets all when they are reached
 STARTS = 10.8  #: log-likelihood ratio of a sentence starter (one in a thousand by chance)
 
 
@@ -40,10 +44,10 @@ def _fill_text(m: re.Match) -> str:
 
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
-_REF = re.compile(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.{0,1500}?</ref>", re.S)
+_REF = re.compile(r"<ref\b[^<>]*/>|<ref\b[^<>]*>(?:[^<]|<(?!/?ref\b))*</ref>", re.S)
 _TEMPLATE = re.compile(r"\{\{\{[^{}]*\}\}\}|\{\{[^{}]*\}\}")
-_TAG = re.compile(r"</?[a-zA-Z][^<>\n]{0,200}>")
-_NAMESPACE = re.compile(r"\[\[:?[^\[\]|:\n]{1,30}:(?:[^\[\]]|\[\[[^\[\]]*\]\])*\]\]")
+_TAG = re.compile(r"</?[a-zA-Z][^<>\n]*>")
+_NAMESPACE = re.compile(r"\[\[:?[^\[\]|:\n]+:(?:[^\[\]]|\[\[[^\[\]]*\]\])*\]\]")
 _LINK = re.compile(r"\[\[((?:[^\[\]|]*\|)?)([^\[\]|]*)\]\]")
 _QUOTES = re.compile(r"'{2,5}")
 _SWITCH = re.compile(r"__[A-Z]{3,}__")
@@ -58,10 +62,9 @@ def mask(text: str) -> str:
         t = _COMMENT.sub(_fill(VOID), t)
         t = _REF.sub(_fill(NOTE), t)
     if "{{" in t:
-        for _ in range(4):
+        n = 1
+        while n:
             t, n = _TEMPLATE.subn(_fill(NOTE), t)
-            if not n:
-                break
     if "[[" in t:
         t = _NAMESPACE.sub(_fill(VOID), t)
         t = _LINK.sub(_fill_text, t)
@@ -209,6 +212,11 @@ class Model:
     small: set[str] = field(default_factory=set)  #: words written small that are seen at starts of paragraphs
     common: set[str] = field(default_factory=set)  #: words that are written small elsewhere
     follows: set[str] = field(default_factory=set)  #: beginnings of phrases behind spaces (Thai) or dots (Chinese, Japanese) that never start a paragraph
+    together: set[str] = field(default_factory=set)  #: collocations: a word with a period and the word behind it, a tab between
+    denied: dict[str, set[str]] = field(default_factory=dict)  #: by kind, words that are of it in another language and plainly not in this one
+
+
+KINDS = ("abbreviations", "ending", "starters", "small", "common", "follows", "together")
 
 
 def word_type(w: str) -> str:
@@ -220,12 +228,26 @@ def word_before(m: str, a: int, i: int) -> str:
     """The word, with periods inside it, that ends at i."""
     if i == a or m[i - 1].isspace():
         return ""
-    w = m[max(a, i - 24) : i].split()[-1]
+    look = 24
+    while True:
+        start = max(a, i - look)
+        w = m[start:i].split()[-1]
+        if start == a or len(w) < i - start:
+            break
+        look *= 4
     if MARK in w or VOID in w:
         w = w.replace(MARK, "").replace(VOID, "")
     return w.strip(_AROUND)
 
 
+def letter_before(m: str, a: int, i: int) -> str:
+    """The last letter before i, '' for none."""
+    i -= 1
+    while i >= a and not m[i].isalpha():
+        i -= 1
+    return m[i] if i >= a else ""
+
+
 def language(lang: str | None) -> str:
     """A declared language without case and additions; '' for none."""
     code = (lang or "").strip().lower().split("-")[0]
@@ -241,147 +263,184 @@ PAGES = 3  #: pages a word must be seen on, so that the many copies of a page's
 _PERIOD = re.compile(r"(?<!\.)\.(?=[\s\x01\x02\x03\"”»)]|$)")
 
 
-def count_text(text: str, page: int, words: Counter, counts: Counter, pages: dict[str, set[int]]) -> None:
-    """Adds a text's words, and its events: 'p' periods behind a word, 'e' those at a paragraph's end, 'l' before a small letter or sign,
-    'u' before a capital, 's' words at a paragraph's start, 'i' capitals inside a sentence, 'n' paragraphs; and for words with a period or at a start some of their pages."""
-    m = mask(text)
-    for a, b in units(text, m):
-        part = m[a:b]
-        if _THAI.search(part):
-            pieces = [p for p in part.split() if p]
-            if pieces:
-                counts["ts", _head(pieces[0], 3)] += 1
-                for p in pieces[1:]:
-                    counts["tm", _head(p, 3)] += 1
-            continue
-        counts["n", ""] += 1
-        if _CJK.search(part):
-            counts["ts", _head(part, 2)] += 1
-            for x in _DOTS.finditer(part):
-                head = _head(part[x.end() : x.end() + 60], 2)
-                if _CJK.match(head):
-                    counts["tm", head] += 1
-        found = _WORDS.findall(part)
-        if found:
-            counts["s", found[0]] += 1
-            _seen(pages, found[0], page)
+def count_part(part: str, times: int, pages_of: set[int], words: Counter, counts: Counter, pages: dict[str, set[int]]) -> None:
+    """Adds a paragraph's words, and its events: 'p' periods behind a word, 'e' those at a paragraph's end, 'l' before a small letter or sign,
+    'u' before a capital, 's' words at a paragraph's start, 'v' capitals behind a period, 'c' both words around a period, 'n' paragraphs; and for words with a
+    period or at a start some of their pages."""
+    if _THAI.search(part):
+        pieces = [p for p in part.split() if p]
+        if pieces:
+            counts["ts", _head(pieces[0], 3)] += times
+            for p in pieces[1:]:
+                counts["tm", _head(p, 3)] += times
+        return
+    counts["n", ""] += times
+    if _CJK.search(part):
+        counts["ts", _head(part, 2)] += times
+        for x in _DOTS.finditer(part):
+            head = _head(part, 2, x.end())
+            if _CJK.match(head):
+                counts["tm", head] += times
+    found = _WORDS.findall(part)
+    if found:
+        counts["s", found[0]] += times
+        _seen(pages, found[0], pages_of)
+        if times == 1:
             words.update(found)
-        for x in _PERIOD.finditer(part):
-            i = x.start()
-            w = word_before(part, 0, i)
-            if not w:
-                continue
-            w = word_type(w)
-            counts["p", w] += 1
-            _seen(pages, w, page)
-            word = _NEXT.match(part, i + 1).group("word")
-            first = word[:1]
-            if first.isalnum():
-                if first.isupper():
-                    counts["u", w] += 1
-                    counts["v", word] += 1
-                else:
-                    counts["l" if first.isdigit() or _CASED.match(first) else "o", w] += 1
-            elif not first or not part[i + 1 :].strip(" \n\t\x01\x02\x03\"”»)"):
-                counts["e", w] += 1
+        else:
+            for w in found:
+                words[w] += times
+    for x in _PERIOD.finditer(part):
+        i = x.start()
+        w = word_before(part, 0, i)
+        if not w:
+            continue
+        w = word_type(w)
+        counts["p", w] += times
+        _seen(pages, w, pages_of)
+        word = _NEXT.match(part, i + 1).group("word")
+        first = word[:1]
+        if first.isalnum():
+            if first.isupper():
+                counts["u", w] += times
+                counts["v", word] += times
+                if len(w) <= 5 or "." in w:
+                    both = f"{w}\t{word}"
+                    counts["c", both] += times
+                    _seen(pages, both, pages_of)
             else:
-                counts["l" if first in ",;:" else "o", w] += 1
+                counts["l" if first.isdigit() or _CASED.match(first) else "o", w] += times
+        elif not first or not part[i + 1 :].strip(" \n\t\x01\x02\x03\"”»)"):
+            counts["e", w] += times
+        else:
+            counts["l" if first in ",;:" else "o", w] += times
 
 
-def _seen(pages: dict[str, set[int]], w: str, page: int) -> None:
+def _seen(pages: dict[str, set[int]], w: str, some: set[int]) -> None:
     known = pages.setdefault(w, set())
     if len(known) < PAGES:
-        known.add(page)
+        known.update(some)
 
 
 _DOTS = re.compile("…+|\\.{3,}")
 
 
-def _head(p: str, n: int) -> str:
-    return p.replace(MARK, "").replace(VOID, "").replace(NOTE, "").lstrip("'\"“(「『《")[:n]
+def _head(p: str, n: int, at: int = 0) -> str:
+    """The first n letters from ``at`` on, without markup and opening signs."""
+    out = ""
+    while at < len(p) and len(out) < n:
+        ch = p[at]
+        if ch not in "\x01\x02\x03" and (out or ch not in "'\"“(「『《"):
+            out += ch
+        at += 1
+    return out
 
 
-def ratio(k1: float, n1: float, k2: float, n2: float) -> float:
-    """Dunning's log-likelihood ratio of k1 in n1 against k2 in n2; negative where the first rate is lower."""
-    if not n1 or not n2:
-        return 0.0
+def ratio(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
+    """Dunning's log-likelihood ratio of k1 in n1 against k2 in n2; negative where the first rate is lower, 0 without counts."""
 
-    def ll(k: float, n: float, p: float) -> float:
-        p = min(max(p, 1e-12), 1 - 1e-12)
-        return k * math.log(p) + (n - k) * math.log(1 - p)
+    def ll(k: Column, n: Column, p: Column) -> Column:
+        p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
+        return k * F.log(p) + (n - k) * F.log(1 - p)
 
-    p1, p2, p = k1 / n1, k2 / n2, (k1 + k2) / (n1 + n2)
+    one, two = F.greatest(n1, F.lit(1)), F.greatest(n2, F.lit(1))
+    p1, p2, p = k1 / one, k2 / two, (k1 + k2) / (one + two)
     out = 2 * (ll(k1, n1, p1) + ll(k2, n2, p2) - ll(k1, n1, p) - ll(k2, n2, p))
-    return out if p1 >= p2 else -out
+    return F.when((n1 == 0) | (n2 == 0), 0.0).when(p1 >= p2, out).otherwise(-out)
 
 
 def learn(documents: DataFrame, scratch: Scratch) -> dict[str, Model]:
     """A model of each language from counts over all documents.
 
-    Tasks count in themselves and hand over sums, so what is shuffled are words, not texts; only words that
-    pass a test reach the driver.
+    Tasks count in themselves and hand over sums, so what is shuffled are words, not texts.  Words are classified in
+    their table; only those with a verdict reach the driver, for each language and kind 1 / SHARE at most.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[str, tuple[Counter, Counter, dict[str, set[int]]]] = {}
+        parts: dict[tuple[str, str], list] = {}
+        held = 0
         for batch in batches:
             for lang, text, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if text:
-                    count_text(text, page, *by.setdefault(language(lang), (Counter(), Counter(), {})))
-            if sum(len(w) + len(c) for w, c, _ in by.values()) > 500_000:
-                yield _counted(by)
-                by = {}
-        yield _counted(by)
+                    m = mask(text)
+                    lang = language(lang)
+                    for a, b in units(text, m):
+                        part = m[a:b]
+                        known = parts.get((lang, part))
+                        if known is None:
+                            parts[lang, part] = [1, {page}]
+                            held += len(part)
+                        else:
+                            known[0] += 1
+                            if len(known[1]) < PAGES:
+                                known[1].add(page)
+            if held > CACHE:
+                yield _counted(parts)
+                parts, held = {}, 0
+        yield _counted(parts)
 
     counted = documents.select("lang", "text", F.coalesce("page_id", "doc_id", F.lit(0)).alias("page")).mapInArrow(count, "lang string, kind string, word string, n long, pages array<long>")
-    kinds = ["w", "p", "e", "l", "u", "o", "s", "v", "n", "ts", "tm"]
+    kinds = ["w", "p", "e", "l", "u", "o", "s", "v", "c", "n", "ts", "tm"]
     sums = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in kinds]
     # Each task names three pages of a word at most, so these sets stay small.
     several = F.size(F.array_distinct(F.flatten(F.collect_set("pages")))).alias("pages")
     table = scratch.cut(counted.groupBy("lang", "word").agg(*sums, several))
-    totals = {r["lang"]: r for r in table.groupBy("lang").agg(*[F.sum(c).alias(c) for c in kinds]).toLocalIterator()}
-    all_ends, all_periods = sum(t["e"] for t in totals.values()), sum(t["p"] for t in totals.values())
-    # Words that can pass any test: behind enough periods, at enough paragraph starts, or written small and at starts.
-    small = table.where("w > 0").select("lang", F.col("word").alias("small"), F.col("w").alias("w_small"))
-    worth = table.where(f"p >= {LEAST} OR s >= 3 OR tm >= 5 OR v >= 3").withColumn("small", F.lower("word")).join(small, ["lang", "small"], "left")
-    worth = worth.where(f"(p >= {LEAST} AND p * 10 >= w * 7) OR s >= 3 OR tm >= 5 OR (v >= 3 AND w_small >= 3) OR word LIKE '#%'")
-    worth = scratch.cut(worth.where(f"pages >= {PAGES} OR tm >= 5"))
-    if worth.count() > MODEL_ROWS * max(1, len(totals)):
-        raise ValueError("the model of a language is too large for the driver")
-    models: dict[str, Model] = {}
-    for r in worth.toLocalIterator():
-        t = totals[r["lang"]]
-        m = models.setdefault(r["lang"], Model())
-        w = r["word"]
-        if r["tm"] >= 5 and r["ts"] == 0 and ratio(r["ts"], r["tm"], t["ts"], t["ts"] + t["tm"]) <= -STARTS:
-            m.follows.add(w)
-        lower, upper, end = r["l"], r["u"], r["e"]
-        if r["p"] >= LEAST and r["p"] * 10 >= r["w"] * 7 and not w.startswith("#"):
-            # A word mostly written with its period, more often than words are, and seen going on behind it, or less often
-            # at a paragraph's end than other periods.
-            bound = ratio(r["p"], max(r["w"], r["p"]), t["p"], t["w"])
-            going = lower * 4 >= r["p"]
-            rare_end = ratio(end, r["p"], all_ends, all_periods) <= -3.84
-            if bound >= STARTS and (going or rare_end):
-                m.abbreviations.add(w)
-        if end and end * 10 >= end + upper:
-            m.ending.add(w)
-        elif w.startswith("#") and end * 10 >= end + upper:
-            m.ending.add(w)
-        first = r["s"]
-        if first >= 3 and w[:1].islower():
-            m.small.add(w)
-        if first >= 3 and ratio(first, max(r["w"], first), t["s"], t["w"]) >= STARTS and first * 20 >= r["w"]:
-            m.starters.add(w)
-        if w[:1].isupper() and (r["w_small"] or 0) >= 3 and (r["w_small"] or 0) * 3 >= r["w"]:
-            m.common.add(w)
+    totals = scratch.cut(table.groupBy("lang").agg(*[F.sum(c).alias(f"all_{c}") for c in kinds]))
+    whole = totals.agg(F.coalesce(F.sum("all_e"), F.lit(0)).alias("e"), F.coalesce(F.sum("all_p"), F.lit(0)).alias("p")).first()
+    c = F.col
+    least = lambda n, of: F.greatest(F.lit(n), F.ceil(c(f"all_{of}") * SHARE))
+    small = table.where("w > 0").select("lang", c("word").alias("lower"), c("w").alias("w_small"))
+    rows = table.where("p > 0 OR s > 0 OR tm > 0 OR v > 0").withColumn("lower", F.lower("word")).join(small, ["lang", "lower"], "left").join(totals, "lang")
+    number = c("word").startswith("#")
+    dotted = (c("p") >= least(LEAST, "p")) & (c("p") * 10 >= c("w") * 7)
+    # A word mostly written with its period, more often than words are, and seen going on behind it, or less often
+    # at a paragraph's end than other periods.
+    bound = ratio(c("p"), F.greatest("w", "p"), c("all_p"), c("all_w")) >= STARTS
+    rare_end = ratio(c("e"), c("p"), F.lit(whole.e), F.lit(whole.p)) <= -3.84
+    cases = c("pages") >= PAGES
+    is_start = c("s") >= least(3, "s")
+    verdicts = {
+        "abbreviations": cases & dotted & ~number & bound & ((c("l") * 4 >= c("p")) | rare_end),
+        "ending": cases & (number | dotted | is_start) & (c("e") > 0) & (c("e") * 10 >= c("e") + c("u")),
+        "starters": cases & is_start & (ratio(c("s"), F.greatest("w", "s"), c("all_s"), c("all_w")) >= STARTS) & (c("s") * 20 >= c("w")),
+        "small": cases & is_start & F.substring("word", 1, 1).rlike("\\p{Ll}"),
+        "common": cases & ((c("v") >= least(3, "v")) | is_start) & (c("w_small") >= 3) & (c("w_small") * 3 >= c("w")) & F.substring("word", 1, 1).rlike("\\p{Lu}"),
+        "follows": (c("tm") >= least(5, "tm")) & (c("ts") == 0) & (ratio(c("ts"), c("tm"), c("all_ts"), c("all_ts") + c("all_tm")) <= -STARTS),
+    }
+    flags = sum((F.when(F.coalesce(v, F.lit(False)), 1 << KINDS.index(k)).otherwise(0) for k, v in verdicts.items()), F.lit(0))
+    # The contrary of a kind, plainly seen: hardly ever with a period, hardly ever first, hardly ever small.
+    seen = c("w") >= OFTEN
+    often = {"abbreviations": seen & (c("p") * 10 < c("w")), "starters": seen & (c("s") * 100 < c("w")), "small": seen & (c("s") * 200 < c("w")), "common": seen & (F.coalesce("w_small", F.lit(0)) * 20 < c("w"))}
+    sure = sum((F.when(v, 1 << KINDS.index(k)).otherwise(0) for k, v in often.items()), F.lit(0))
+    judged = scratch.cut(rows.select("lang", "word", flags.alias("flags"), sure.alias("sure")).where("flags > 0 OR sure > 0"))
+    any_ = judged.where("flags > 0").groupBy("word").agg(F.bit_or("flags").alias("any"))
+    judged = judged.join(any_, "word").select("lang", "word", "flags", F.expr("any & sure & ~flags").alias("denied")).where("flags > 0 OR denied > 0")
+    # Collocations: of all words, those that follow this word's period.
+    around = table.where("c > 0").select("lang", F.split_part("word", F.lit("\t"), F.lit(1)).alias("first"), F.split_part("word", F.lit("\t"), F.lit(2)).alias("second"), "word", c("c").alias("k"), "pages")
+    around = around.join(totals, "lang").where((c("k") >= least(LEAST, "c")) & cases)
+    around = around.join(table.select("lang", c("word").alias("first"), c("p").alias("p_first")), ["lang", "first"]).join(table.select("lang", c("word").alias("second"), c("w").alias("w_second")), ["lang", "second"])
+    tied = ratio(c("k"), c("p_first"), F.greatest(c("w_second") - c("k"), F.lit(0)), F.greatest(c("all_w") - c("p_first"), F.lit(1))) >= TOGETHER
+    around = around.where(tied).select("lang", "word", F.lit(1 << KINDS.index("together")).alias("flags"), F.lit(0).alias("denied"))
+    learned = scratch.cut(judged.unionByName(around))
+    scratch.drop(table)
+    models: dict[str, Model] = {r["lang"]: Model() for r in totals.select("lang").toLocalIterator()}
+    for r in learned.toLocalIterator():
+        for i, kind in enumerate(KINDS):
+            if r["flags"] >> i & 1:
+                getattr(models[r["lang"]], kind).add(r["word"])
+            if r["denied"] >> i & 1:
+                models[r["lang"]].denied.setdefault(kind, set()).add(r["word"])
+    scratch.drop(totals, learned)
     return models
 
 
-def _counted(by: dict[str, tuple[Counter, Counter, dict[str, set[int]]]]) -> pa.RecordBatch:
+def _counted(parts: dict[tuple[str, str], list]) -> pa.RecordBatch:
+    by: dict[str, tuple[Counter, Counter, dict[str, set[int]]]] = {}
+    for (lang, part), (times, some) in parts.items():
+        count_part(part, times, some, *by.setdefault(lang, (Counter(), Counter(), {})))
     rows = [(lang, "w", w, n, None) for lang, (words, _, _) in by.items() for w, n in words.items()]
     rows += [(lang, k[0], k[1], n, None) for lang, (_, c, _) in by.items() for k, n in c.items()]
-    rows += [(lang, "", w, 0, sorted(some)) for lang, (_, _, pages) in by.items() for w, some in pages.items()]
+    rows += [(lang, "", w, 0, sorted(some)[:PAGES]) for lang, (_, _, pages) in by.items() for w, some in pages.items()]
     cols = list(zip(*rows)) if rows else [()] * 5
     kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["lang", "kind", "word", "n", "pages"])
@@ -392,7 +451,7 @@ def _counted(by: dict[str, tuple[Counter, Counter, dict[str, set[int]]]]) -> pa.
 
 @dataclass
 class Judge:
-    """Decides for one document: its language's model, and what all languages share."""
+    """Decides for the documents of a language: by its own statistics of a word, or, where it is rare in them, by those of all languages."""
 
     own: Model
     abbreviations: set[str]
@@ -401,20 +460,34 @@ class Judge:
     small: set[str] = field(default_factory=set)
     ending: set[str] = field(default_factory=set)
     follows: set[str] = field(default_factory=set)
+    together: set[str] = field(default_factory=set)
+    seen: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    held: int = 0
 
     @staticmethod
     def of(own: Model, models: list[Model]) -> Judge:
-        every = lambda name: set().union(*[getattr(x, name) for x in models])
+        def every(name: str) -> set[str]:
+            return set().union(*[getattr(x, name) for x in models]) - own.denied.get(name, set()) | getattr(own, name)
+
         numbers = {w for w in own.ending if w.startswith("#")}
-        return Judge(own, every("abbreviations"), every("starters"), every("common"), every("small"), {w for w in every("ending") if not w.startswith("#")} | numbers, every("follows"))
+        ending = {w for w in every("ending") if not w.startswith("#")} | numbers
+        return Judge(own, every("abbreviations"), every("starters"), every("common"), every("small"), ending, every("follows"), every("together"))
 
     def ends(self, text: str, m: str) -> list[int]:
         out: list[int] = []
         for a, b in units(text, m):
-            if _THAI.search(m, a, b):
-                self.thai(m, a, b, out)
-            else:
-                self.unit(m, a, b, out)
+            part = m[a:b]
+            found = self.seen.get(part)
+            if found is None:
+                here: list[int] = []
+                (self.thai if _THAI.search(part) else self.unit)(part, 0, len(part), here)
+                found = tuple(here)
+                if self.held > CACHE:
+                    self.seen.clear()
+                    self.held = 0
+                self.seen[part] = found
+                self.held += len(part)
+            out += [a + e for e in found]
         return out
 
     def starts(self, word: str) -> bool:
@@ -435,7 +508,7 @@ class Judge:
             while at < len(spans) and spans[at][1] <= i:
                 at += 1
             mark = x.group()
-            if mark == ";" and not (_GREEK.search(m, max(a, i - 12), i)):
+            if mark == ";" and not _GREEK.match(letter_before(m, a, i)):
                 continue
             inside = at < len(spans) and spans[at][0] < i
             quoted = False
@@ -489,7 +562,7 @@ class Judge:
         if last in SURE and last not in "!?":
             # A mark of a script without spaces or with its own full stop.
             if quoted:
-                return self.behind_quote(m, k, b, word, opened)
+                return self.behind_quote(m, a, k, b, word, opened)
             return word[:1] not in "，、,;；" and not dash
         if mark == ";":
             return spaced
@@ -499,12 +572,14 @@ class Judge:
             if dash or word[:1] in ",;:":
                 return False
             if quoted:
-                return self.behind_quote(m, k, b, word, opened)
+                return self.behind_quote(m, a, k, b, word, opened)
             return True
         if not spaced and k == j and not (_CJK.match(word) and mark != "."):
             # A missing space: a word, not an abbreviation, and a word that starts sentences or follows one written small.
+            if mark != "." or not word[:1].isupper() or not word[1:2].islower():
+                return False
             raw = word_before(m, a, i)
-            if mark != "." or len(raw) < 3 or not raw.isalpha() or not word[:1].isupper() or not word[1:2].islower():
+            if len(raw) < 3 or not raw.isalpha():
                 return False
             return (raw.islower() or self.starts(word)) and (raw not in self.abbreviations or self.starts(word))
         if mark == ".":
@@ -513,14 +588,14 @@ class Judge:
         if dash or word[:1] in ",;:":
             return False
         if quoted:
-            return self.behind_quote(m, k, b, word, opened)
+            return self.behind_quote(m, a, k, b, word, opened)
         if word[:1].islower():
             return word in self.small
-        if _CJK.match(word) and _head(m[k : k + 60], 2) in self.follows:
+        if _CJK.match(word) and _head(m, 2, k) in self.follows:
             return False
         return not word[:1].isdigit() or bool(opened)
 
-    def behind_quote(self, m: str, k: int, b: int, word: str, opened: str) -> bool:
+    def behind_quote(self, m: str, a: int, k: int, b: int, word: str, opened: str) -> bool:
         """Whether what follows a quotation with its own full stop is a sentence of its own and not its report."""
         if word[:1] in ",;:，、；：" or word[:1] in "—–-" and not opened:
             return False
@@ -531,7 +606,7 @@ class Judge:
         stop = _STOP.search(m, k, b)
         clause = m[k : stop.start() if stop else b]
         clause = clause.replace(MARK, "").replace(VOID, "").lstrip()
-        if opened and _CJK.search(m, max(0, k - 8), k):
+        if opened and _CJK.match(letter_before(m, a, k)):
             # A second quotation right behind the first: both are reported together, or neither.
             end = m.find(CLOSE.get(opened[0], "”")[0], k, b)
             if end >= 0:
@@ -541,9 +616,11 @@ class Judge:
             return False
         if word in self.starters:
             return True
-        before = m[max(0, k - 200) : k]
-        introduced = re.search("[:：，,、]\\s?[“«「\"„][^“«「\"„]*$", before)
-        if introduced:
+        # A quotation that was led up to, by a colon or comma, ends with its sentence.
+        at = max(m.rfind(sign, a, k) for sign in "“«「\"„") - 1
+        if at >= a and m[at].isspace():
+            at -= 1
+        if at >= a and m[at] in ":：，,、":
             return True
         return not SAYING.search(clause)
 
@@ -551,7 +628,7 @@ class Judge:
         if word[:1] in ",;:" or word[:1] in "—–-" and not opened:
             return False
         if quoted:
-            return self.behind_quote(m, k, b, word, opened)
+            return self.behind_quote(m, a, k, b, word, opened)
         raw = word_before(m, a, i)
         w = word_type(raw)
         if word[:1].islower() and _CASED.match(word):
@@ -565,6 +642,8 @@ class Judge:
             at = m.find(word, k, b)
             if m[at + 1 : at + 2] == ".":
                 return False
+        if w not in self.ending and (short or w.startswith("#") or w in self.abbreviations) and f"{w}\t{word}" in self.together and word not in self.starters:
+            return False
         if w in self.abbreviations or short or w.startswith("#") and w not in self.ending:
             if w.startswith("#"):
                 return self.starts(word) or bool(opened)
@@ -576,21 +655,18 @@ class Judge:
     def thai(self, m: str, a: int, b: int, out: list[int]) -> None:
         """Spaces end sentences unless a phrase behind them never starts a paragraph, or a number, sign or quotation goes on."""
         spans = enclosed(m, a, b)
-        i = a
-        while i < b:
-            if not m[i].isspace():
-                i += 1
-                continue
-            j = i
-            while j < b and m[j].isspace():
-                j += 1
-            ahead = m[j : j + 120].lstrip(MARK + VOID).split(None, 1)
-            rest = ahead[0] if ahead else ""
+        start = a
+        for x in _SPACES.finditer(m, a, b):
+            i, j = x.span()
+            last = m[start:i].rstrip(MARK + VOID + NOTE)  # the run of letters before the space
+            stop = start + len(last)
+            start = j
+            ahead = _RUN.match(m, j, b)
+            rest = ahead.group(1) if ahead else ""
             head = _head(rest, 3)
             within = any(s < i < e for s, e, _ in spans)
-            before = m[max(a, i - 200) : i].rstrip(MARK + VOID + NOTE)
             after = rest.lstrip(MARK + VOID)[:1]
-            if not _THAI.search(before[-12:].split()[-1] if before[-12:].split() else "") or not (_THAI.search(rest) or after in "\"“«'(" or after.isdigit()):
+            if not _THAI.search(last) or not (_THAI.search(rest) or after in "\"“«'(" or after.isdigit()):
                 # Text of another script, or the border to it: its marks count, and a capital behind Thai.
                 e = i
                 while e > a and m[e - 1] in CLOSERS + NOTE + MARK + VOID:
@@ -601,25 +677,25 @@ class Judge:
                 if f < e:
                     if not within and (_THAI.match(after) and m[e - 1] in SURE or self.ends_here(m, a, b, f, e, i, m[f:e], any(ch in "\"'”’»" for ch in m[e:i]))):
                         out.append(i)
-                    i = j
                     continue
-                if not (_THAI.search(before[-12:]) and after.isupper()) and not _THAI.search(rest):
-                    i = j
+                if not (_THAI.search(last) and after.isupper()) and not _THAI.search(rest):
                     continue
-            if within or not head or after.isdigit() or after in "\"“«'({" or head in self.follows or before.endswith("ๆ"):
-                i = j
+            if within or not head or after.isdigit() or after in "\"“«'({" or head in self.follows or last.endswith("ๆ"):
                 continue
-            if before[-1:] in "!?…" or not after.isascii() or after.isupper():
+            if last[-1:] in "!?…" or not after.isascii() or after.isupper():
                 out.append(i)
-            elif before[-1:] == ".":
-                raw = word_before(before, 0, len(before) - 1)
+            elif last[-1:] == ".":
+                raw = word_before(m, a, stop - 1)
                 if not (raw in self.abbreviations or len(raw) == 1):
                     out.append(i)
-            i = j
         if not out or out[-1] != b:
             out.append(b)
 
 
+_SPACES = re.compile(r"\s+")
+_RUN = re.compile(r"[\x02\x03\s]*(\S+)")
+
+
 def sentences(documents: DataFrame) -> DataFrame:
     """``doc_id, sent_end``: the end of each sentence, counted in code points from the text's beginning.
 

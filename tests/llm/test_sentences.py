@@ -2,7 +2,7 @@
 
 import pytest
 
-from linkloom.llm.sentences import Judge, Model, mask, sentences, units
+from linkloom.llm.sentences import Judge, Model, learn, mask, sentences, units, word_before
 
 
 def judge(**k):
@@ -90,3 +90,43 @@ def test_abbreviations_are_learned(spark):
     t = rows[0][2]
     want = [t.index("town.") + 5, t.index("Abel. Then") + 5, t.index("the town.") + 9, t.index("slept.") + 6, len(t)]
     assert got == want
+
+
+def test_no_length_is_too_long():
+    ref = "<ref>" + "A. B. " * 900 + "</ref>"
+    nested = "{{a|" * 9 + "x. Y" + "}}" * 9
+    tag = '<span title="' + "t. T " * 100 + '">'
+    long = "w" * 70
+    text = f"One ends.{ref} Two {tag}ends.</span> {nested}Three by {long}. Four said “" + "x" * 400 + "!” he. End."
+    want = ["One ends." + ref, f"Two {tag}ends.</span>", f"{nested}Three by {long}.", "Four said “" + "x" * 400 + "!” he.", "End."]
+    ends = judge().ends(text, mask(text))
+    got = [text[a:b].strip() for a, b in zip([0, *ends], ends)]
+    assert got[0] == want[0] and got[-3:] == want[-3:] and "".join(text[a:b] for a, b in zip([0, *ends], ends)) == text
+    assert word_before(f"by {long}.", 0, 3 + len(long)) == long
+    assert mask("<ref>" * 3000).count("<") == 0 and len(mask("<ref>" * 3000)) == 15000
+
+
+def test_collocations():
+    text = "He met Prof. Adam there. The 1. Auflage came."
+    plain = Model(abbreviations={"Prof"}, common={"Adam"}, together={"Prof\tAdam"})
+    assert Judge.of(plain, [plain]).ends(text, mask(text))[0] == len("He met Prof. Adam there.")
+    without = Model(abbreviations={"Prof"}, common={"Adam"})
+    assert Judge.of(without, [without]).ends(text, mask(text))[0] == len("He met Prof.")
+
+
+def test_a_language_can_deny_what_others_say():
+    other = Model(abbreviations={"so"}, starters={"Die"})
+    text = "It was so. Die was cast by Co. Die it is."
+    free, denying = Model(), Model(denied={"abbreviations": {"so"}})
+    assert Judge.of(denying, [other, denying]).ends(text, mask(text))[0] == len("It was so.")
+    assert "so" in Judge.of(free, [other, free]).abbreviations and "so" not in Judge.of(denying, [other, denying]).abbreviations
+
+
+def test_repeated_paragraphs_count_as_often_as_they_occur(spark):
+    names = ["Abel", "Bert", "Carl", "Dora", "Emil", "Fred", "Gerd", "Hans"]
+    rows = [(i, "en", f"He met Zrof. {n} in town. It rained.\n\nThen {n} left Zrof. {n} there.", i) for i, n in enumerate(names * 6)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string, page_id long")
+    from linkloom.runtime import Scratch
+
+    a, b = (learn(df.repartition(k), Scratch(spark, "learn"))["en"] for k in (1, 5))
+    assert a == b and "Zrof" in a.abbreviations and "Then" in a.starters
