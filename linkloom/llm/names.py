@@ -7,8 +7,8 @@ their end, a shard's texts make a trie, and automata that accept all words withi
 bound walk it, so a whole shard is searched without comparing its members one by one.  What is linked
 directly or through others is one organisation, named by its most frequent core.
 
-No link is lost.  Of two texts within two errors, the shorter of s letters, take the first and the last m = (s - 1) // 2
-letters (HALF at most): no error touches both ends.  If both errors touch the beginnings, the ends are equal and a
+No link is lost.  Of two texts within two errors, the shorter of s letters, take the first s // 2 and the last (s - 1) // 2
+letters (HALF at most): no error, not even a swap, touches both ends.  If both errors touch the beginnings, the ends are equal and a
 shard of an end holds both texts.  If one at most does, the beginnings are equal, or leaving out one letter of each makes them
 equal; then the texts of the rarer beginning visit the shard of the other.  Shards beyond a cap are split by pieces
 of the rest (see ``piece_keys``), which lose nothing either.
@@ -378,8 +378,8 @@ def ends_of(text: str) -> set[tuple[str, str]]:
     """Shards of a text, by its beginning and, read backwards, by its end, each with the text read that way."""
     n = len(text)
     back = text[::-1]
-    sizes = {min(HALF, (s - 1) // 2) for s in (n, n - 1, n - 2) if s >= LEAST}
-    return {("<" + text[:m], text) for m in sizes} | {(">" + back[:m], back) for m in sizes}
+    shorter = [s for s in (n, n - 1, n - 2) if s >= LEAST]
+    return {("<" + text[:m], text) for m in {min(HALF, s // 2) for s in shorter}} | {(">" + back[:m], back) for m in {min(HALF, (s - 1) // 2) for s in shorter}}
 
 
 def shards(unique: DataFrame) -> DataFrame:
@@ -566,15 +566,16 @@ def organisations(names: DataFrame, scratch: Scratch) -> DataFrame:
     reached = scratch.cut(lowest_reached(trie_links(shards(counted), scratch), scratch))
     best = reached.join(counted.select(F.col("id").alias("low"), F.col("n").alias("n_low")), "low")
     weighted = counted.join(best, "id", "left").select("core", "id", F.coalesce("low", "id").alias("org"), F.coalesce("n_low", "n").alias("n"))
-    rows = scratch.cut(read.join(weighted, "core", "left"))
-    scratch.drop(read, counted, reached)
+    weighted = scratch.cut(weighted)
+    scratch.drop(counted, reached)
+    rows = read.join(weighted, "core", "left")
     # A core that only the name itself has is no support for it.
     support = F.coalesce("n", F.lit(0)) - F.when((F.col("org") == F.col("id")) & F.col("first"), 1).otherwise(0)
     best = F.max_by(F.struct("core", "org", "given", "full", "initial", "trades"), F.struct(support, "first", "core"))
     kept = ("clean_name", "core", "org", "given", "full", "initial", "trades")
     picked = rows.where("several").groupBy("clean_name").agg(best.alias("x")).select("clean_name", "x.*")
     chosen = scratch.cut(rows.where("NOT several").select(*kept).unionByName(picked))
-    scratch.drop(rows)
+    scratch.drop(read, weighted)
     owners = chosen.where("full <> '' AND core <> ''").groupBy("org", "full").agg(F.count(F.lit(1)).alias("names"), F.flatten(F.collect_set("trades")).alias("their_trades"))
     several = owners.groupBy("org").agg(F.count(F.lit(1)).alias("owners")).where("owners > 1").select("org")
     owners = owners.join(several, "org", "left_semi").withColumnRenamed("full", "owner")
