@@ -36,7 +36,7 @@ NUMBER_WORDS = set("number plot h n near house door holding no nos num premises"
 DISTRICT_WORDS = set("vihar nagar ngr colony coly col enclave encl layout sector sec phase ph extension extn block main".split())
 LANDMARK_WORDS = set("near opposite opp next beside behind b nr adjacent facing".split())
 LANDMARKS = set("old water tank petrol pump bank atm vegetable mkt market clock tower cinema hall post office railway crossing bus stand to temple town park school station".split())
-PLACE_FILLERS = set("pin code falls springs sur ombre haut pur bas ville saint".split())
+PLACE_FILLERS = set("pin code saint".split())
 NO_ADDRESS = set("n a na none null nil unknown not available tbd nan".split())
 ORDINALS = "first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth".split()
 CARDINALS = "one two three four five six seven eight nine ten eleven twelve".split()
@@ -61,6 +61,7 @@ READING = T.StructType(
         T.StructField("sure", T.BooleanType()),
     ]
 )
+WIDE, WIDE_CODES, WIDE_OTHERS = 0.02, 10, 3  #: share and least number of postal codes, and least number of companions, of a wide place token
 _LOOKALIKE = str.maketrans("01", "ol")
 _GLUED_ORDINAL = re.compile(r"\b(\d{1,2}(?:st|nd|rd|th)|[ivx]{1,4}(?:st|nd|rd|th))([a-z]{2,})\b")
 _UNIT_VALUE = re.compile(r"[a-z]?\d{1,5}[a-z]?$")
@@ -238,25 +239,34 @@ def distinct_readings(records: DataFrame, scratch: Scratch) -> tuple[DataFrame,
     numbers = scratch.cut(read.join(one, ["h", "r"]).select("clean_addr", "postal", "sig"))
     scratch.drop(read)
     each = one.select("sig", F.posexplode("r").alias("at", "x")).select("sig", "x.*", (F.col("at") == 0).alias("first"))
-    distinct = scratch.cut(with_towns(each))
+    distinct = scratch.cut(with_towns(each, scratch))
     scratch.drop(one)
     return numbers, distinct
 
 
-def with_towns(readings: DataFrame, least: int = 2) -> DataFrame:
-    """Adds to the places of a reading the place token most readings with its postal code have.
+def with_towns(readings: DataFrame, scratch: Scratch, least: int = 2) -> DataFrame:
+    """Readings whose places are without wide tokens, if they have others, and with the town of their postal code.
 
-    So an address with nothing but a code meets one with nothing but the town, and a mistyped town its right form.
-    A code needs ``least`` readings, half of them with the token; of equals the more frequent token anywhere counts.
+    The town of a code is the place token most readings with the code have; so an address with nothing but a code meets one
+    with nothing but the town, and a mistyped town its right form.  A code needs ``least`` readings, half of them with the
+    token; of equals the more frequent token anywhere counts.  A wide token is a usual one (of half the readings) in a
+    WIDE part of all codes, beside various other usual ones, such as a second word of many towns' names: it tells no
+    town.  There are 2 / WIDE of them at most for each token an address has.
     """
     likeliest = readings.where("first AND code <> ''")
     pairs = likeliest.select("code", F.explode("places").alias("place")).where("place <> code")
     n = likeliest.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     counts = pairs.groupBy("code", "place").agg(F.count(F.lit(1)).alias("k"))
-    everywhere = counts.groupBy("place").agg(F.sum("k").alias("all"))
-    best = counts.join(everywhere, "place").groupBy("code").agg(F.max(F.struct("k", "all", "place")).alias("b"))
-    towns = best.join(n, "code").where((F.col("b.k") >= least) & (F.col("b.k") * 2 >= F.col("n"))).select("code", F.col("b.place").alias("town"))
-    out = readings.join(towns, "code", "left")
+    usual = scratch.cut(counts.join(n, "code").where((F.col("k") >= least) & (F.col("k") * 2 >= F.col("n"))).select("code", "place", "k"))
+    codes = usual.select("code").distinct().count()
+    spread = usual.groupBy("place").agg(F.count(F.lit(1)).alias("codes"), F.sum("k").alias("all"))
+    often = spread.where(F.col("codes") >= max(WIDE_CODES, codes * WIDE)).select("place")
+    beside = usual.join(often, "place").join(usual.select("code", F.col("place").alias("other")), "code").where("place <> other")
+    wide = [r.place for r in beside.groupBy("place").agg(F.count_distinct("other").alias("n")).where(F.col("n") >= WIDE_OTHERS).select("place").toLocalIterator()]
+    best = F.max(F.struct("k", "all", "place"))
+    towns = usual.join(spread, "place").where(~F.col("place").isin(wide)).groupBy("code").agg(best.alias("b")).select("code", F.col("b.place").alias("town"))
+    kept = F.array_except("places", F.array(*[F.lit(w) for w in sorted(wide)]).cast("array<string>"))
+    out = readings.join(towns, "code", "left").withColumn("places", F.when(F.size(kept) > 0, kept).otherwise(F.col("places")))
     return out.withColumn("places", F.when(F.col("town").isNull(), F.col("places")).otherwise(F.array_union("places", F.array("town")))).drop("town")
 
 
