@@ -19,7 +19,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,7 @@ class Vocabulary:
         """left, right: the two tokens whose merge makes a token (itself, for a single byte); merged: the pair's token."""
         n = len(self.tokens)
         self.left, self.right = list(range(n)), list(range(n))
+        self.born = [-1 if len(t) == 1 else i for i, t in enumerate(self.tokens)]  # the merge that makes a token
         self.merged: dict[int, int] = {}
         ids = self.ids
         for i, t in enumerate(self.tokens):
@@ -70,31 +71,24 @@ class Vocabulary:
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges of a's bytes followed by b's give exactly a, b.
 
-        The merge that would cross the border happens before both are complete iff some right-hand
-        part of a and left-hand part of b make a token of a lower rank than the merges that hide them.
+        They do unless some merge crosses the border.  At any time one token x of those that end in a's last byte and one
+        token y of those that begin with b's first byte meet at the border: x from the merge that makes it until the
+        merge that takes it into a longer one, and y likewise.  The merge of x with y crosses if its turn comes before both
+        are taken in; of equal merges the left one is first.  The pairs that meet are visited from the end of the merges back.
         """
-        left, right, merged = self.left, self.right, self.merged
-        limit = len(self.tokens)
+        merged, born = self.merged, self.born
+        x, y = a, b
+        x_until = y_until = len(self.tokens)
         while True:
-            if merged.get(a << 32 | b, limit) < limit:
+            crossing = merged.get(x << 32 | y)
+            if crossing is not None and crossing < x_until and crossing <= y_until:
                 return False
-            # Undo whichever of the two was made last: a crossing merge must precede it.
-            if a > b:
-                limit, a = a, right[a]
-                if a != limit:
-                    continue
-                limit = b + 1
-                b = left[b]
-                if b + 1 == limit:
-                    return True
+            if born[x] > born[y]:
+                x_until, x = x, self.right[x]
+            elif born[y] >= 0:
+                y_until, y = y, self.left[y]
             else:
-                limit = b + 1
-                b = left[b]
-                if b + 1 != limit:
-                    continue
-                limit, a = a, right[a]
-                if a == limit:
-                    return True
+                return True
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -208,5 +202,8 @@ def decode_documents(encoded: DataFrame, id_col: str = "doc_id", path: str = f"{
     return kept.mapInArrow(decode, T.StructType([kept.schema[0], T.StructField("text", T.StringType())]))
 
 
-def default_path() -> str:
-    return os.path.join(TOKENIZERS, VOCABULARY)
+def default_path(spark: SparkSession | None = None) -> str:
+    """The vocabulary file, on every executor: of the folder that the session names in ``spark.linkloom.tokenizers``, else of TOKENIZERS."""
+    spark = spark or SparkSession.getActiveSession()
+    folder = spark.conf.get("spark.linkloom.tokenizers", None) if spark else None
+    return os.path.join(folder or TOKENIZERS, VOCABULARY)
