@@ -226,7 +226,7 @@ def no_conflict(a: str, b: str) -> Column:
 
 
 def distinct_readings(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``clean_addr, postal, sig``: the number of each address's readings; and the readings of each number, the likeliest marked ``first``.
+    """``clean_addr, postal, sig``: the number of each address's readings; and the readings of each number, with numbers ``rid`` of their own, the likeliest marked ``first``.
 
     Copies of an address collapse to one set of readings before anything is compared.
     """
@@ -239,7 +239,7 @@ def distinct_readings(records: DataFrame, scratch: Scratch) -> tuple[DataFrame,
     numbers = scratch.cut(read.join(one, ["h", "r"]).select("clean_addr", "postal", "sig"))
     scratch.drop(read)
     each = one.select("sig", F.posexplode("r").alias("at", "x")).select("sig", "x.*", (F.col("at") == 0).alias("first"))
-    distinct = scratch.cut(with_towns(each, scratch))
+    distinct = scratch.cut(with_towns(each, scratch).withColumn("rid", F.monotonically_increasing_id()))
     scratch.drop(one)
     return numbers, distinct
 
@@ -276,7 +276,7 @@ def hashes(readings: DataFrame) -> DataFrame:
     Parts are both ends and, for short names, the letters in order, which two swapped letters leave as they are, and the
     name without one of its letters.
     """
-    rows = readings.select("sig", "sure", "direction", "kind", "house", F.explode("streets").alias("street"), "places")
+    rows = readings.select("rid", "house", F.explode("streets").alias("street"), "places")
     letters = F.array_join(F.array_sort(F.split("street", "")), "")
     ends = F.array_compact(
         F.array(F.concat(F.lit("<"), F.substring("street", 1, 3)), F.concat(F.lit(">"), F.expr("right(street, 3)")), F.when(F.length("street") <= 8, letters))
@@ -284,21 +284,24 @@ def hashes(readings: DataFrame) -> DataFrame:
     # Names of up to six letters: one error in the middle can change both ends.
     without = F.expr("transform(sequence(1, length(street)), i -> concat('-', left(street, i - 1), substr(street, i + 1)))")
     short = F.when(F.length("street") <= 6, F.array_distinct(F.concat(F.array(F.concat(F.lit("-"), "street")), without))).otherwise(F.array().cast("array<string>"))
-    rows = rows.select("sig", "sure", "direction", "kind", "house", "street", F.explode("places").alias("place"), F.concat(ends, short).alias("ends"))
-    return rows.select("sig", "sure", "direction", "kind", "house", "street", F.explode(F.transform("ends", lambda e: F.xxhash64("house", e, "place"))).alias("h"))
+    rows = rows.select("rid", "house", F.explode("places").alias("place"), F.concat(ends, short).alias("ends"))
+    return rows.select("rid", F.explode(F.transform("ends", lambda e: F.xxhash64("house", e, "place"))).alias("h"))
 
 
 def same_building(readings: DataFrame) -> DataFrame:
     """``a < b``: numbers of readings of the same building: any two that agree, one of them at least a sure one.
 
-    Readings meet by any equal hash; those with other house numbers, directions or street types are rejected.
+    Readings meet by any equal hash, as numbers; each two that meet are compared once: those with other house numbers,
+    directions or street types, or without street names the same up to typing errors, are rejected.
     """
     left = hashes(readings)
-    cols = {c: f"{c}2" for c in ("sig", "sure", "direction", "kind", "house", "street")}
-    right = left.withColumnsRenamed(cols)
-    met = left.join(right.hint("merge"), "h").where((F.col("sig") < F.col("sig2")) & (F.col("sure") | F.col("sure2")))
-    kept = met.where((F.col("house") == F.col("house2")) & no_conflict("direction", "direction2") & no_conflict("kind", "kind2") & same_street(F.col("street"), F.col("street2")))
-    return kept.select(F.col("sig").alias("a"), F.col("sig2").alias("b")).distinct()
+    met = left.join(left.withColumnRenamed("rid", "rid2").hint("merge"), "h").where("rid < rid2").select("rid", "rid2").distinct()
+    cols = ("rid", "sig", "sure", "direction", "kind", "house", "streets")
+    one = readings.select(*cols)
+    met = met.join(one, "rid").join(one.withColumnsRenamed({c: f"{c}2" for c in cols}), "rid2").where("sig <> sig2 AND (sure OR sure2)")
+    alike = F.exists("streets", lambda x: F.exists("streets2", lambda y: same_street(x, y)))
+    kept = met.where((F.col("house") == F.col("house2")) & no_conflict("direction", "direction2") & no_conflict("kind", "kind2") & alike)
+    return kept.select(F.least("sig", "sig2").alias("a"), F.greatest("sig", "sig2").alias("b")).distinct()
 
 
 def ordered(a: Column, b: Column) -> tuple[Column, Column]:
