@@ -1,7 +1,9 @@
-"""String similarities that Spark has no function for, as one vectorized function over Arrow batches."""
+"""String similarities that Spark has no function for, as functions over Arrow batches."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,28 +78,33 @@ def jaro_winkler(a: str, b: str) -> float:
     return score
 
 
-KERNELS = ("name_fuzz", "name_token_sort", "name_token_set", "name_metaphone", "name_jaro_winkler", "addr_fuzz", "addr_token_set", "addr_jaro_winkler")
+def same_sound(a: str, b: str) -> float:
+    """1 if the first words have the same, not empty, Metaphone code."""
+    x, y = (a.split() or [""])[0], (b.split() or [""])[0]
+    code = metaphone(x) if x and y else ""
+    return 1.0 if code and code == metaphone(y) else 0.0
+
+
+def _kernel(compare: Callable[[str, str], float]):
+    """A similarity over Arrow batches; each different pair of strings of a batch is compared once, nulls as ''."""
 
+    @F.arrow_udf(T.DoubleType())
+    def kernel(a: pa.Array, b: pa.Array) -> pa.Array:
+        seen: dict[tuple[str, str], float] = {}
+        out = []
+        for pair in zip(a.to_pylist(), b.to_pylist()):
+            got = seen.get(pair)
+            if got is None:
+                got = seen[pair] = compare(pair[0] or "", pair[1] or "")
+            out.append(got)
+        return pa.array(out, pa.float64())
 
-@F.arrow_udf(T.StructType([T.StructField(k, T.DoubleType()) for k in KERNELS]))
-def pair_kernels(n1: pa.Array, n2: pa.Array, a1: pa.Array, a2: pa.Array) -> pa.Array:
-    """The similarities of KERNELS for a batch of pairs; each different pair of strings is compared once."""
-    seen: dict[tuple[str, str], tuple] = {}
+    return kernel
 
-    def of(a: str, b: str, name: bool) -> tuple:
-        key = (a, b, name)
-        got = seen.get(key)
-        if got is None:
-            if name:
-                x, y = (a.split() or [""])[0], (b.split() or [""])[0]
-                sound = 1.0 if x and y and metaphone(x) and metaphone(x) == metaphone(y) else 0.0
-                got = (indel_ratio(a, b), token_sort_ratio(a, b), token_set_ratio(a, b), sound, jaro_winkler(a, b))
-            else:
-                got = (indel_ratio(a, b), token_set_ratio(a, b), jaro_winkler(a, b))
-            seen[key] = got
-        return got
 
-    names = [of(a or "", b or "", True) for a, b in zip(n1.to_pylist(), n2.to_pylist())]
-    addrs = [of(a or "", b or "", False) for a, b in zip(a1.to_pylist(), a2.to_pylist())]
-    columns = [*zip(*names), *zip(*addrs)] if names else [()] * len(KERNELS)
-    return pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns], list(KERNELS))
+#: Features by name: the attribute they compare, and how; only those asked for are computed.
+KERNELS = {
+    "name_fuzz": ("name", _kernel(indel_ratio)), "name_token_sort": ("name", _kernel(token_sort_ratio)), "name_token_set": ("name", _kernel(token_set_ratio)),
+    "name_metaphone": ("name", _kernel(same_sound)), "name_jaro_winkler": ("name", _kernel(jaro_winkler)),
+    "addr_fuzz": ("addr", _kernel(indel_ratio)), "addr_token_set": ("addr", _kernel(token_set_ratio)), "addr_jaro_winkler": ("addr", _kernel(jaro_winkler)),
+}

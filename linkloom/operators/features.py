@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import text as X
-from linkloom.functions.similarity import KERNELS, pair_kernels
+from linkloom.functions.similarity import KERNELS
 
 #: The names and their order.
 FEATURES = (
@@ -44,7 +44,7 @@ def build_features(attributes: DataFrame) -> DataFrame:
     """The 24 similarities of each pair of ``pair_attributes``."""
     sets = {"t": lambda i: X.tokens(F.col(f"name{i}")), "s": lambda i: X.tokens(F.col(f"addr{i}")), "d": lambda i: F.array_distinct(X.numbers(F.col(f"addr{i}"))), "g": lambda i: F.array_distinct(X.grams(F.col(f"name{i}"), 2))}
     step = attributes.withColumns({f"{k}{i}": f(i) for k, f in sets.items() for i in (1, 2)})
-    step = step.withColumns({f"u{i}": F.array_distinct(F.col(f"t{i}")) for i in (1, 2)} | {"k": pair_kernels("name1", "name2", "addr1", "addr2")})
+    step = step.withColumns({f"u{i}": F.array_distinct(F.col(f"t{i}")) for i in (1, 2)})
     c = F.col
     t1, t2, u1, u2, d1, d2 = c("t1"), c("t2"), c("u1"), c("u2"), c("d1"), c("d2")
     len1, len2 = F.length("name1"), F.length("name2")
@@ -78,7 +78,7 @@ def build_features(attributes: DataFrame) -> DataFrame:
         "name_length_ratio": _share(shortest, longest),
         "addr_digit_exact": _flag((F.size(F.array_except(d1, d2)) == 0) & (F.size(F.array_except(d2, d1)) == 0)),
         "num_token_diff": _share(F.abs(F.size(t1) - F.size(t2)), tokens_max),
-    } | {k: c(f"k.{k}") for k in KERNELS}
+    } | {k: f(f"{what}1", f"{what}2") for k, (what, f) in KERNELS.items()}
     return step.select("source1_entity_id", "candidate_entity_id", *[out[f].alias(f) for f in FEATURES])
 
 
