@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 MOST = 62  #: letters of a text whose prefixes fit the bits of a state
-FRONTIER = 400_000  #: home texts that the searches of one round may meet together, about
+FRONTIER = 100_000  #: home texts that the searches of one round may meet together, about
 
 
 def few_errors(a: str, b: str, most: int = 2) -> int | None:
