@@ -56,7 +56,7 @@ def crowd(spark, tmp_path_factory):
     """A block of 150 records with 200: 30,000 pairs, of which 200 are alike."""
     d = str(tmp_path_factory.mktemp("crowd"))
     for n, rows in ((1, 150), (2, 100), (3, 100)):
-        data = [(f"S{n}-{i:08d}", f"Acme {'own' if n == 1 else 'other'}{i}" if i or n == 2 else "Acme bakery", f"{i if i else 1} Main Road 12345", "US", None, None) for i in range(rows)]
+        data = [(f"S{n}-{i:08d}", f"Acme {'own' if n == 1 else 'other'}{i}" if i or n == 2 else "Acme bakery", f"{i} Way{i} Town{i}", "US", None, None) for i in range(rows)]
         spark.createDataFrame(data, SOURCE).write.parquet(f"{d}/source{n}.parquet")
     return d
 
@@ -80,3 +80,8 @@ def written(monkeypatch):
 def test_threshold_filter_writes_no_pairs(spark, crowd, written):
     assert core.QUERIES["threshold_filter"](spark, crowd).count() > 0
     assert max(written) <= 200
+
+
+def test_singleton_reject_writes_no_pairs(spark, crowd, written):
+    assert core.QUERIES["singleton_reject"](spark, crowd).count() > 0
+    assert max(written) <= 800
