@@ -85,3 +85,8 @@ def test_threshold_filter_writes_no_pairs(spark, crowd, written):
 def test_singleton_reject_writes_no_pairs(spark, crowd, written):
     assert core.QUERIES["singleton_reject"](spark, crowd).count() > 0
     assert max(written) <= 800
+
+
+def test_decide_matches_writes_no_pairs(spark, crowd, written):
+    assert core.QUERIES["decide_matches"](spark, crowd).count() == 150
+    assert max(written) <= 800
