@@ -90,3 +90,8 @@ def test_singleton_reject_writes_no_pairs(spark, crowd, written):
 def test_decide_matches_writes_no_pairs(spark, crowd, written):
     assert core.QUERIES["decide_matches"](spark, crowd).count() == 150
     assert max(written) <= 800
+
+
+def test_entity_stats_writes_no_pairs(spark, crowd, written):
+    assert core.QUERIES["entity_stats"](spark, crowd).count() == 150
+    assert max(written) <= 800
