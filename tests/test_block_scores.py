@@ -95,3 +95,8 @@ def test_decide_matches_writes_no_pairs(spark, crowd, written):
 def test_entity_stats_writes_no_pairs(spark, crowd, written):
     assert core.QUERIES["entity_stats"](spark, crowd).count() == 150
     assert max(written) <= 800
+
+
+def test_second_best_writes_no_pairs(spark, crowd, written):
+    assert core.QUERIES["second_best"](spark, crowd).count() == 150
+    assert max(written) <= 800
