@@ -21,7 +21,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 
 #: Candidates of a block, about; a worker holds one.
-BLOCK = 65_536
+BLOCK = 32_768
 #: Numbers of most frequent grams that may be bounded instead of summed up, and the bound up to which that is done at first.
 LEVELS, LOOSE = (0, 64, 128, 256, 384, 512, 768, 1024, 2048), 0.17
 #: Candidates that are compared in full at a time; beyond, the frequent grams are summed up too.
@@ -235,7 +235,10 @@ class _Block:
         self.lead = [np.zeros(n, np.float32) if not level else np.sqrt(np.bincount(owner, weights=np.where(self.grams < level, w * w, 0), minlength=n)).astype(np.float32) for level in LEVELS]
         self.usual = [float(h.mean()) for h in self.lead]
         order = np.argsort(self.grams, kind="stable")
-        self.posts, self.w = owner[order], w[order]
+        self.posts = owner[order]
+        del owner
+        self.w = w[order]
+        del order, w
         self.at = np.concatenate([[0], np.cumsum(np.bincount(self.grams, minlength=len(words.idf)))])
         self.place = np.empty(n, np.int64)
         self.place[pc.sort_indices(self.ids).to_numpy()] = np.arange(n)
@@ -329,6 +332,7 @@ def nearest(texts: DataFrame, uri: str, blocks: dict[int, int], k: int, wide: bo
                             best.sort()
                             del best[k:]
                 del block
+                pa.default_memory_pool().release_unused()
             ids = rows.column("entity_id").to_pylist()
             out = [(ids[i], other, -sim) for i, best in enumerate(found) for sim, other, shared in best if not shared]
             if out:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from linkloom.config import Options
 from linkloom.operators import blocking as B
+from linkloom.operators.block_scores import HASHES, block_keys, block_pairs, within_cap
 from linkloom.operators.decide import decide_matches, explode_ids
 from linkloom.operators.evaluate import score_at_threshold, sweep_grid, threshold_sweep
 from linkloom.operators.features import build_features, pair_attributes
@@ -26,8 +27,14 @@ def exact_blocks(left: DataFrame, right: DataFrame, cap: int | None) -> DataFram
 
 def candidate_pairs(left: DataFrame, right: DataFrame, options: Options = Options()) -> DataFrame:
     """Block pairs and nearest neighbours, each pair once."""
-    near = tfidf_topk(left, country_sample(right, options.country_sample, options.seed), options.top_k, options.vocabulary).select("source1_entity_id", "candidate_entity_id")
-    return B.cap_pairs(exact_blocks(left, right, options.block_cap).unionByName(near).distinct(), options.pair_cap)
+    scratch = Scratch(left.sparkSession, "candidates")
+    one, two, over = block_keys(left, right, options.block_cap)
+    one, two = scratch.cut(one), scratch.cut(two)
+    # A neighbour that shares a block is among its pairs, so that no pairs have to be compared with others.
+    kept = one.withColumns({h: within_cap(h, over) for h in HASHES})
+    near = tfidf_topk(kept, country_sample(two, options.country_sample, options.seed), options.top_k, options.vocabulary, HASHES)
+    pairs = block_pairs(one, two, over).unionByName(near.select("source1_entity_id", "candidate_entity_id"))
+    return B.cap_pairs(pairs, options.pair_cap)
 
 
 @dataclass
