@@ -13,13 +13,15 @@ letters with errors at both its ends is not found.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkloom.runtime import Scratch
+from linkloom.runtime import Scratch, distinct_rows, meetings, regroup
 
 # Words of addresses in English, Indian English and French.
 STREET_TYPES = {
@@ -294,8 +296,20 @@ def same_building(readings: DataFrame) -> DataFrame:
     Readings meet by any equal hash, as numbers; each two that meet are compared once: those with other house numbers,
     directions or street types, or without street names the same up to typing errors, are rejected.
     """
-    left = hashes(readings)
-    met = left.join(left.withColumnRenamed("rid", "rid2").hint("merge"), "h").where("rid < rid2").select("rid", "rid2").distinct()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        rid, h = (rows.column(c).to_numpy() for c in ("rid", "h"))
+        every = np.ones(len(h), bool)
+        for a, b in meetings(h, every, every):
+            ordered = rid[a] < rid[b]
+            pairs = distinct_rows(rid[a[ordered]], rid[b[ordered]])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], ["rid", "rid2"])
+
+    met = regroup(hashes(readings), "h").mapInArrow(meet, "rid long, rid2 long").distinct()
     cols = ("rid", "sig", "sure", "direction", "kind", "house", "streets")
     one = readings.select(*cols)
     met = met.join(one, "rid").join(one.withColumnsRenamed({c: f"{c}2" for c in cols}), "rid2").where("sig <> sig2 AND (sure OR sure2)")

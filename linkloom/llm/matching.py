@@ -11,8 +11,10 @@ probability is its confidence.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from linkloom.llm.addresses import distinct_readings, same_building
 from linkloom.llm.groups import clean_id, list_ids
 from linkloom.llm.names import distinct_names, organisations
-from linkloom.runtime import Scratch
+from linkloom.runtime import Scratch, distinct_rows, meetings, regroup
 
 TRAIN_PAIRS = 20_000  #: labelled pairs the model is fitted on, at most
 CONFIDENCE = 0.5  #: least confidence of a match
@@ -100,8 +102,22 @@ def candidates(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame
     theirs = other.select("row", F.lit(None).cast("long").alias("there"), F.explode(by_name(F.concat(when(named & ~placed, alone("org")), when(named, every("org"))))).alias("key"))
     at_place = F.concat(by_building(c("sig"), nameless("sig"), all_("sig")))
     theirs = theirs.unionByName(other.where(placed).select("row", c("sig").alias("there"), F.explode(at_place).alias("key")))
-    met = mine.withColumnRenamed("row", "ra").join(theirs.withColumnRenamed("row", "rb").hint("merge"), "key").where("at <=> there")
-    return met.groupBy("ra", "rb").agg(F.max(c("at").isNotNull().cast("int")).alias("built"))
+    # A building's number is none below 0.
+    keyed = lambda rows, at, own: rows.select("key", F.col("row"), F.coalesce(at, F.lit(-1).cast("long")).alias("at"), F.lit(own).alias("own"))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        key, row, at, own = (c.to_numpy() for c in pa.Table.from_batches(held).columns)
+        for a, b in meetings(key, own, ~own):
+            same = at[a] == at[b]
+            a, b = a[same], b[same]
+            found = distinct_rows(row[a], row[b], (at[a] >= 0).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["ra", "rb", "built"])
+
+    both = keyed(mine, c("at"), True).unionByName(keyed(theirs, c("there"), False))
+    return regroup(both, "key").mapInArrow(meet, "ra long, rb long, built int").groupBy("ra", "rb").agg(F.max("built").alias("built"))
 
 
 def crowded(rows: DataFrame, weights: tuple[float, ...], scratch: Scratch) -> DataFrame | None:
@@ -138,7 +154,10 @@ def log_odds(weights: tuple[float, ...]) -> Column:
 def features(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """``ra, rb, a, c, site, flags``: the entities of a pair, the building of the other record, and FEATURES as bits."""
     cols = ("ent", "core", "org", "trades", "sig", "site", "house", "places", "code")
-    side = lambda s: rows.select(F.col("row").alias(f"r{s}"), *[F.col(c).alias(f"{c}_{s}") for c in cols])
+    # What is only compared travels as numbers.
+    number = lambda k: F.when(F.col(k).isNotNull(), F.xxhash64(k))
+    short = {k: number(k) for k in ("org", "house")} | {k: F.transform(k, lambda x: F.xxhash64(x)) for k in ("trades", "places")}
+    side = lambda s: rows.select(F.col("row").alias(f"r{s}"), *[short.get(c, F.col(c)).alias(f"{c}_{s}") for c in cols])
     p = pairs.join(side("a"), "ra").join(side("b"), "rb")
     c = F.col
     named = c("core_a").isNotNull() & c("core_b").isNotNull()
