@@ -12,6 +12,7 @@ letters with errors at both its ends is not found.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -52,17 +53,6 @@ for _i, _w in enumerate(ORDINALS, 1):
     for _s in ("st", "nd", "rd", "th"):
         ORDINAL_OF[f"{_i}{_s}"] = ORDINAL_OF[f"{ROMAN[_i - 1]}{_s}"] = _w
 
-READING = T.StructType(
-    [
-        T.StructField("house", T.StringType()),
-        T.StructField("streets", T.ArrayType(T.StringType(), False)),
-        T.StructField("direction", T.StringType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("places", T.ArrayType(T.StringType(), False)),
-        T.StructField("code", T.StringType()),
-        T.StructField("sure", T.BooleanType()),
-    ]
-)
 WIDE, WIDE_CODES, WIDE_OTHERS = 0.02, 10, 3  #: share and least number of postal codes, and least number of companions, of a wide place token
 _LOOKALIKE = str.maketrans("01", "ol")
 _GLUED_ORDINAL = re.compile(r"\b(\d{1,2}(?:st|nd|rd|th)|[ivx]{1,4}(?:st|nd|rd|th))([a-z]{2,})\b")
@@ -202,19 +192,14 @@ def read_all(clean: str | None, postal: str | None) -> list[tuple]:
     return out
 
 
-def reading(clean: Column, postal: Column) -> Column:
-    """``read_all`` over Arrow batches."""
-    return _reading(clean, postal)
+def _packed(readings: list[tuple]) -> str:
+    """Readings as one text; no token holds the signs between them, which are white space."""
+    return "\x1d".join("\x1e".join((h, "\x1f".join(streets), d, k, "\x1f".join(places), code, "1" if sure else "")) for h, streets, d, k, places, code, sure in readings)
 
 
-@F.arrow_udf(T.ArrayType(READING, False))
-def _reading(clean: pa.Array, postal: pa.Array) -> pa.Array:
-    names = [f.name for f in READING]
-    rows = [[dict(zip(names, r)) for r in read_all(a, p)] for a, p in zip(clean.to_pylist(), postal.to_pylist())]
-    one = pa.struct(
-        [("house", pa.string()), ("streets", pa.list_(pa.string())), ("direction", pa.string()), ("kind", pa.string()), ("places", pa.list_(pa.string())), ("code", pa.string()), ("sure", pa.bool_())]
-    )
-    return pa.array([r or None for r in rows], pa.list_(one))
+def _unpacked(text: str) -> list[tuple]:
+    parts = (r.split("\x1e") for r in text.split("\x1d"))
+    return [(h, streets.split("\x1f"), d, k, places.split("\x1f") if places else [], code, sure == "1") for h, streets, d, k, places, code, sure in parts]
 
 
 def same_street(a: Column, b: Column) -> Column:
@@ -228,22 +213,77 @@ def no_conflict(a: str, b: str) -> Column:
 
 
 def distinct_readings(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``clean_addr, postal, sig``: the number of each address's readings; and the readings of each number, with numbers ``rid`` of their own, the likeliest marked ``first``.
+    """``records`` with ``sig``, the number of the address's readings (null without any), instead of ``clean_addr, postal``; and the
+    readings of each number, with numbers ``rid`` of their own, the likeliest marked ``first``.
 
+    The number is a hash of the readings, so that no join is needed to find it; should two share one, another hash is taken.
     Copies of an address collapse to one set of readings before anything is compared.
     """
-    # Addresses are read once each, however many records bear them.  Those without a reading are left out after
-    # writing: a filter in the same plan would move below the distinct and read every address a second time.
-    texts = records.select("clean_addr", "postal").where("clean_addr <> ''").distinct()
-    read = scratch.cut(texts.withColumn("r", reading(F.col("clean_addr"), F.col("postal"))))
-    read = read.where("r IS NOT NULL").withColumn("h", F.xxhash64("r"))
-    one = scratch.cut(read.select("h", "r").distinct().withColumn("sig", F.monotonically_increasing_id()))
-    numbers = scratch.cut(read.join(one, ["h", "r"]).select("clean_addr", "postal", "sig"))
-    scratch.drop(read)
-    each = one.select("sig", F.posexplode("r").alias("at", "x")).select("sig", "x.*", (F.col("at") == 0).alias("first"))
-    distinct = scratch.cut(with_towns(each, scratch).withColumn("rid", F.monotonically_increasing_id()))
-    scratch.drop(one)
-    return numbers, distinct
+    salt = 0
+    while True:
+        read = scratch.cut(_read(records, salt))
+        each = scratch.cut(_each(read.where("r IS NOT NULL").select("sig", "r")))
+        if each.where("clash").isEmpty():
+            break
+        scratch.drop(read, each)
+        salt += 1
+    distinct = scratch.cut(with_towns(each.drop("clash"), scratch).withColumn("rid", F.monotonically_increasing_id()))
+    scratch.drop(each)
+    numbered = read.drop("r")
+    numbered.scratch_path = read.scratch_path
+    return numbered, distinct
+
+
+def _number(text: str, salt: int) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, salt=salt.to_bytes(8, "little")).digest(), "little") >> 1
+
+
+def _read(records: DataFrame, salt: int) -> DataFrame:
+    """Records with ``sig`` and, once at least for each number, the readings ``r`` as a text."""
+    kept = [c for c in records.columns if c not in ("clean_addr", "postal")]
+    most = 200_000  # addresses that a task remembers
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        about: dict[tuple, int | None] = {}
+        for batch in batches:
+            sigs, texts = [], []
+            for address in zip(batch.column("clean_addr").to_pylist(), batch.column("postal").to_pylist()):
+                text = None
+                if address not in about:
+                    if len(about) >= most:
+                        about.clear()
+                    found = read_all(*address)
+                    text = _packed(found) if found else None
+                    about[address] = _number(text, salt) if found else None
+                sigs.append(about[address])
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(sigs, pa.int64()), pa.array(texts, pa.string())], [*kept, "sig", "r"])
+
+    schema = T.StructType([*(records.schema[c] for c in kept), T.StructField("sig", T.LongType()), T.StructField("r", T.StringType())])
+    return records.mapInArrow(read, schema)
+
+
+def _each(read: DataFrame) -> DataFrame:
+    """``sig``, the parts of a reading, ``first``, ``clash``: each reading of each number once; clash: the number has other readings too."""
+    schema = pa.schema(
+        [("sig", pa.int64()), ("house", pa.string()), ("streets", pa.list_(pa.string())), ("direction", pa.string()), ("kind", pa.string()), ("places", pa.list_(pa.string())), ("code", pa.string()), ("sure", pa.bool_()),
+         ("first", pa.bool_()), ("clash", pa.bool_())]
+    )
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[int, str] = {}
+        clashing: set[int] = set()
+        for batch in batches:
+            for sig, text in zip(batch.column("sig").to_pylist(), batch.column("r").to_pylist()):
+                if texts.setdefault(sig, text) != text:
+                    clashing.add(sig)
+        told = list(texts.items())
+        for at in range(0, len(told), 20_000):
+            rows = [(sig, *r, k == 0, sig in clashing) for sig, text in told[at : at + 20_000] for k, r in enumerate(_unpacked(text))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    out = "sig long, house string, streets array<string>, direction string, kind string, places array<string>, code string, sure boolean, first boolean, clash boolean"
+    return regroup(read, "sig", then=tell, out=out)
 
 
 def with_towns(readings: DataFrame, scratch: Scratch, least: int = 2) -> DataFrame:
@@ -309,7 +349,7 @@ def same_building(readings: DataFrame) -> DataFrame:
             pairs = distinct_rows(rid[a[ordered]], rid[b[ordered]])
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], ["rid", "rid2"])
 
-    met = regroup(hashes(readings), "h").mapInArrow(meet, "rid long, rid2 long").distinct()
+    met = regroup(hashes(readings), "h", then=meet, out="rid long, rid2 long").distinct()
     cols = ("rid", "sig", "sure", "direction", "kind", "house", "streets")
     one = readings.select(*cols)
     met = met.join(one, "rid").join(one.withColumnsRenamed({c: f"{c}2" for c in cols}), "rid2").where("sig <> sig2 AND (sure OR sure2)")
@@ -330,8 +370,9 @@ def address_pairs(records: DataFrame) -> DataFrame:
     """
     scratch = Scratch(records.sparkSession, "addresses")
     rows = records.select(F.col("entity_id"), F.col("clean_addr"), F.coalesce("postal", F.lit("")).alias("postal")).where("entity_id <> '' AND clean_addr <> ''")
-    numbers, readings = distinct_readings(rows, scratch)
-    members = scratch.cut(rows.join(numbers, ["clean_addr", "postal"]).select("entity_id", "sig").distinct())
+    numbered, readings = distinct_readings(rows, scratch)
+    members = scratch.cut(numbered.where("sig IS NOT NULL").distinct())
+    scratch.drop(numbered)
     links = scratch.cut(same_building(readings))
     one = members.select(F.col("entity_id").alias("x"), F.col("sig").alias("a"))
     two = members.select(F.col("entity_id").alias("y"), F.col("sig").alias("b"))

@@ -10,14 +10,17 @@ probability is its confidence.
 
 from __future__ import annotations
 
+import hashlib
 import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkloom.llm.addresses import distinct_readings, same_building
 from linkloom.llm.groups import clean_id, list_ids
@@ -27,6 +30,7 @@ from linkloom.runtime import Scratch, distinct_rows, meetings, regroup
 TRAIN_PAIRS = 20_000  #: labelled pairs the model is fitted on, at most
 CONFIDENCE = 0.5  #: least confidence of a match
 BRANCHES = 20  #: businesses of an organisation up to which a record without address meets each of them singly; see ``crowded``
+SENT = 10_000  #: organisations that are sent to all tasks, some 0.2 MB; more are joined
 ROUNDS = 100  #: a bound for circles that never settle; reached, it is reported
 CHANGE = 0.002  #: largest change of a probability at which the messages have converged
 KEEP = 0.2  #: share of the old message that is kept, which calms circles of competitors
@@ -42,6 +46,7 @@ PRIOR = (3.0, 2.0, 1.5, 0.0, 0.5, -0.5, 2.0, 1.0, -3.0, 0.0, 0.5, -0.3, 0.5, 3.0
 
 
 #: An entity's records that differ in name or address are versions of it: ``ent`` is the entity's number, ``row`` the version's.
+#: branches: businesses of the organisation if there are more than BRANCHES, else 0.
 COLUMNS = ("row", "ent", "own", "core", "org", "branches", "trades", "sig", "site", "house", "places", "code")
 
 
@@ -50,21 +55,29 @@ def described(records: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     rows = records.where("entity_id <> ''").select(
         "entity_id", F.coalesce("clean_name", F.lit("")).alias("clean_name"), F.coalesce("clean_addr", F.lit("")).alias("clean_addr"), F.coalesce("postal", F.lit("")).alias("postal")
     )
-    numbers, readings = distinct_readings(rows, scratch)
     # From here on a record is its name and the number of its address's readings.
-    slim = rows.join(numbers, ["clean_addr", "postal"], "left").select("entity_id", "clean_name", "sig").repartition("entity_id").distinct()
+    numbered, readings = distinct_readings(rows, scratch)
+    slim = numbered.select("entity_id", "clean_name", "sig").repartition("entity_id").distinct()
     slim = slim.withColumn("row", F.monotonically_increasing_id()).withColumn("ent", F.min("row").over(W.partitionBy("entity_id")))
     slim = scratch.cut(slim)
+    scratch.drop(numbered)
     links = scratch.cut(same_building(readings))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     lowest = both.groupBy("a").agg(F.min("b").alias("low"))
     sites = readings.where("first").join(lowest, F.col("sig") == F.col("a"), "left").select("sig", F.least("sig", F.coalesce("low", "sig")).alias("site"), "house", "places", "code")
     orgs = organisations(distinct_names(slim), scratch)
-    out = slim.join(sites, "sig", "left").join(orgs, "clean_name", "left").withColumn("own", F.col("entity_id").startswith("S1-"))
-    out = scratch.cut(out.drop("clean_name", "entity_id"))
+    # What is long, the places, is joined last, and ids not at all.
+    out = slim.select("row", "ent", F.col("entity_id").startswith("S1-").alias("own"), "sig", "clean_name").join(orgs, "clean_name", "left").drop("clean_name").join(sites, "sig", "left")
+    out = scratch.cut(out)
+    scratch.drop(readings)
     branches = out.where("own AND org IS NOT NULL").groupBy("org").agg(F.count_distinct("ent").alias("branches"))
-    described = scratch.cut(out.join(branches, "org", "left").withColumn("branches", F.coalesce("branches", F.lit(0))).select(*COLUMNS))
-    scratch.drop(out, readings)
+    many = scratch.cut(branches.where(F.col("branches") > BRANCHES))
+    # A few such organisations go along wherever the rows are read; more are joined once.
+    few = many.count() <= SENT
+    described = out.join(F.broadcast(many) if few else many, "org", "left").withColumn("branches", F.coalesce("branches", F.lit(0))).select(*COLUMNS)
+    if not few:
+        described = scratch.cut(described)
+        scratch.drop(out)
     return described, slim.where("row = ent").select("ent", "entity_id"), links
 
 
@@ -72,38 +85,86 @@ def words(core: Column) -> Column:
     return F.split(core, " ")
 
 
+def _mixed(kind: int, *parts: np.ndarray) -> np.ndarray:
+    """A hash of numbers, row by row, other for each kind of key."""
+    h = np.uint64(kind * 0x9E3779B97F4A7C15 % 2**64)
+    for part in parts:
+        h = (h ^ part.astype(np.uint64)) * np.uint64(0xFF51AFD7ED558CCD)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC4CEB9FE1A85EC53)
+        h = h ^ (h >> np.uint64(29))
+    return h.astype(np.int64)
+
+
+def _ends(cores: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``cores``, and numbers of the beginnings and ends (four letters at most) of their words; each of a row once."""
+    seen = cores.dictionary_encode()
+    row, end = [], []
+    for i, core in enumerate(seen.dictionary.to_pylist()):
+        ends = {e for w in core.split(" ") for e in (w[:4], w[-4:])}
+        row += [i] * len(ends)
+        end += ends
+    letters = np.array(end, "U4").view(np.uint32).reshape(len(end), 4)
+    number = _mixed(0, *letters.T)
+    # The ends of a core lie together.
+    many = np.bincount(np.array(row, np.int64), minlength=len(seen.dictionary))
+    first = np.cumsum(many) - many
+    at = np.flatnonzero(np.asarray(cores.is_valid()))
+    core = seen.indices.drop_null().to_numpy().astype(np.int64)
+    n = many[core]
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(at, n), number[np.repeat(first[core], n) + within]
+
+
 def candidates(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """``ra, rb, built``: rows of source 1 and of other sources that share an organisation and a place, or (built) a building.
 
     Both sides list keys, and equal keys meet.  Of an organisation: its number with the house number, and with each place; without an
     address only the name speaks, and organisations of more than BRANCHES businesses are left to ``crowded``.  At a
     building: the beginning and end of a word of the name, or no name on a side, not all pairs of the building.
+    Keys are listed and met in tasks; a row of source 1 goes there once more for each building near by.
     """
     c = F.col
-    hashed = lambda kind, *parts: F.xxhash64(F.lit(kind), *parts)
-    when = lambda cond, key: F.when(cond, F.array(key)).otherwise(F.array().cast("array<bigint>"))
-    named, placed = c("org").isNotNull(), c("sig").isNotNull()
-    ends = F.array_distinct(F.flatten(F.transform(words(c("core")), lambda w: F.array(F.substr(w, F.lit(1), F.lit(4)), F.right(w, F.lit(4))))))
-
-    def by_name(more: Column) -> Column:
-        places = F.when(named & placed, F.transform("places", lambda p: hashed("place", "org", p))).otherwise(F.array().cast("array<bigint>"))
-        return F.concat(when(named & placed, hashed("house", "org", "house")), places, more)
-
-    def by_building(at: Column, bare: Column, any_: Column) -> Column:
-        return F.when(c("core").isNotNull(), F.concat(F.transform(ends, lambda e: hashed("end", at, e)), F.array(any_))).otherwise(F.array(bare))
-
-    one, other = rows.where("own"), rows.where("NOT own")
-    alone, every, nameless, all_ = (lambda *p: hashed("alone", *p)), (lambda *p: hashed("every", *p)), (lambda *p: hashed("nameless", *p)), (lambda *p: hashed("all", *p))
+    null = lambda kind: F.lit(None).cast(kind)
     near_by = links.unionByName(links.select(c("b").alias("a"), c("a").alias("b"))).select(c("a").alias("sig"), c("b").alias("at"))
-    here = one.where(placed).select("row", "sig", "core")
-    around = here.withColumn("at", c("sig")).unionByName(here.join(near_by, "sig"))
-    mine = one.select("row", F.lit(None).cast("long").alias("at"), F.explode(by_name(F.concat(when(named & (c("branches") <= BRANCHES), alone("org")), when(named & ~placed, every("org"))))).alias("key"))
-    mine = mine.unionByName(around.select("row", "at", F.explode(by_building(c("at"), all_("at"), nameless("at"))).alias("key")))
-    theirs = other.select("row", F.lit(None).cast("long").alias("there"), F.explode(by_name(F.concat(when(named & ~placed, alone("org")), when(named, every("org"))))).alias("key"))
-    at_place = F.concat(by_building(c("sig"), nameless("sig"), all_("sig")))
-    theirs = theirs.unionByName(other.where(placed).select("row", c("sig").alias("there"), F.explode(at_place).alias("key")))
-    # A building's number is none below 0.
-    keyed = lambda rows, at, own: rows.select("key", F.col("row"), F.coalesce(at, F.lit(-1).cast("long")).alias("at"), F.lit(own).alias("own"))
+    few = (c("branches") <= BRANCHES).alias("few")
+    whole = rows.select("row", "own", "core", F.when(c("org").isNotNull(), F.xxhash64("org")).alias("org"), few, c("sig").alias("at"), F.xxhash64("house").alias("house"), "places", F.lit(False).alias("near"))
+    around = rows.where("own AND sig IS NOT NULL").select("row", "sig", "core").join(near_by, "sig")
+    around = around.select("row", F.lit(True).alias("own"), "core", null("long").alias("org"), null("boolean").alias("few"), "at", null("long").alias("house"), null("array<string>").alias("places"), F.lit(True).alias("near"))
+
+    def spread(table: pa.Table) -> pa.Table:
+        column = {name: table.column(name).combine_chunks() for name in table.column_names}
+        filled = lambda name, value: pa.compute.fill_null(column[name], value).to_numpy(zero_copy_only=False)
+        valid = lambda name: np.asarray(column[name].is_valid())
+        row, own, near = (column[k].to_numpy(zero_copy_only=False) for k in ("row", "own", "near"))
+        named, placed, cored = valid("org") & ~near, valid("at"), valid("core")
+        org, house, at, few = filled("org", 0), filled("house", 0), filled("at", -1), filled("few", False)
+        keys = []
+
+        def put(which: np.ndarray, key: np.ndarray, at: np.ndarray | None = None) -> None:
+            keys.append((key, row[which], np.full(len(which), -1) if at is None else at, own[which]))
+
+        both = np.flatnonzero(named & placed)
+        put(both, _mixed(1, org[both], house[both]))
+        words = pa.compute.list_flatten(column["places"]).dictionary_encode()
+        town = np.array([int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") for w in words.dictionary.to_pylist()], np.uint64)
+        of = pa.compute.list_parent_indices(column["places"]).to_numpy()
+        kept = (named & placed)[of]
+        of, place = of[kept], words.indices.to_numpy()[kept]
+        put(of, _mixed(2, org[of], town[place]))
+        # Alone: the other side is known by its name only.  Every: so is the row of source 1, and meets all of its organisation.
+        alone = np.flatnonzero(named & np.where(own, few, ~placed))
+        put(alone, _mixed(3, org[alone]))
+        every = np.flatnonzero(named & ~(own & placed))
+        put(every, _mixed(4, org[every]))
+        which, end = _ends(column["core"])
+        kept = placed[which]
+        which, end = which[kept], end[kept]
+        put(which, _mixed(5, at[which], end), at[which])
+        # Where a side has no name: nameless rows of other sources, and those of source 1.
+        for kind, some in ((6, placed & np.where(own, cored, ~cored)), (7, placed & np.where(own, ~cored, cored))):
+            some = np.flatnonzero(some)
+            put(some, _mixed(kind, at[some]), at[some])
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*keys)], ["key", "row", "at", "own"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
@@ -116,8 +177,9 @@ def candidates(rows: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame
             found = distinct_rows(row[a], row[b], (at[a] >= 0).astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["ra", "rb", "built"])
 
-    both = keyed(mine, c("at"), True).unionByName(keyed(theirs, c("there"), False))
-    return regroup(both, "key").mapInArrow(meet, "ra long, rb long, built int").groupBy("ra", "rb").agg(F.max("built").alias("built"))
+    keyed = T.StructType([T.StructField("key", T.LongType()), T.StructField("row", T.LongType()), T.StructField("at", T.LongType()), T.StructField("own", T.BooleanType())])
+    met = regroup(whole.unionByName(around), "key", spread, keyed, meet, "ra long, rb long, built int")
+    return met.groupBy("ra", "rb").agg(F.max("built").alias("built"))
 
 
 def crowded(rows: DataFrame, weights: tuple[float, ...], scratch: Scratch) -> DataFrame | None:
@@ -157,7 +219,8 @@ def features(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     # What is only compared travels as numbers.
     number = lambda k: F.when(F.col(k).isNotNull(), F.xxhash64(k))
     short = {k: number(k) for k in ("org", "house")} | {k: F.transform(k, lambda x: F.xxhash64(x)) for k in ("trades", "places")}
-    side = lambda s: rows.select(F.col("row").alias(f"r{s}"), *[short.get(c, F.col(c)).alias(f"{c}_{s}") for c in cols])
+    # One side is of source 1, the other never is.
+    side = lambda s: rows.where("own" if s == "a" else "NOT own").select(F.col("row").alias(f"r{s}"), *[short.get(c, F.col(c)).alias(f"{c}_{s}") for c in cols])
     p = pairs.join(side("a"), "ra").join(side("b"), "rb")
     c = F.col
     named = c("core_a").isNotNull() & c("core_b").isNotNull()
@@ -267,8 +330,11 @@ def match_records(records: DataFrame, labels: DataFrame) -> DataFrame:
     """
     scratch = Scratch(records.sparkSession, "matching")
     rows, entities, links = described(records, scratch)
-    pairs = scratch.cut(features(candidates(rows, links, scratch), rows).drop("ra", "rb"))
+    # Written by itself, so that the shuffles of keys are gone when those of features come.
+    met = scratch.cut(candidates(rows, links, scratch))
     scratch.drop(links)
+    pairs = scratch.cut(features(met, rows).drop("ra", "rb"))
+    scratch.drop(met)
     known = labels.select(clean_id(F.col("source1_entity_id")).alias("entity_id"), list_ids(F.col("matched_entity_ids")).alias("ids")).where("entity_id <> ''")
     known = known.join(entities, "entity_id").select(F.col("ent").alias("a"), "ids")
     true = known.select("a", F.explode("ids").alias("c")).select("a", clean_id(F.col("c")).alias("entity_id")).join(entities, "entity_id")
